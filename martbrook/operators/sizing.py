@@ -1,0 +1,15 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(side: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Hint a broadcast when ``side`` has at most ``rows`` rows, else leave the join to the planner.
+
+    The count stops after ``rows + 1`` rows, so measuring a large side stays cheap.
+    """
+    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
