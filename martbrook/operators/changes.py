@@ -75,24 +75,31 @@ def keep_columns(data: Column, columns: Column, match: str = "exact") -> Column:
     return F.map_filter(data, lambda name, _: F.array_contains(listed, name))
 
 
-def route_changes(changes: DataFrame, config: DataFrame, match: str = "exact") -> Routed:
-    """Send each change to the target its (table, operation) is configured for.
+def tag_changes(changes: DataFrame, config: DataFrame, match: str = "exact") -> DataFrame:
+    """Give each change the target its (table, operation) is configured for, and trim its data.
 
-    Changes without a rule, or with an unknown sink type, come back as ``unrouted``.
-    The configuration is one row per table and operation, measured before it is broadcast.
+    ``outcome`` is fact, dim or unrouted (no rule, or an unknown sink type; data is left whole).
+    The configuration has one row per table and operation; it is measured before it is broadcast.
     """
     rules = config.select(
         F.col("source_table").alias("table"), F.col("operate_type").alias("type"),
-        "sink_type", "sink_table", "sink_columns", "sink_pk",
-    )
-    tagged = normalise_type(changes).join(broadcast_if_small(rules), ["table", "type"], "left")
-    sent = tagged.withColumn("data", keep_columns(F.col("data"), F.col("sink_columns"), match)).drop("sink_columns")
-    known = F.coalesce(F.col("sink_type").isin(TO_TOPIC, TO_DIMENSION), F.lit(False))
-    return Routed(
-        sent.filter(F.col("sink_type") == TO_TOPIC),
-        sent.filter(F.col("sink_type") == TO_DIMENSION),
-        tagged.filter(~known).select(*changes.columns),
-    )
+        F.when(F.col("sink_type") == TO_TOPIC, "fact").when(F.col("sink_type") == TO_DIMENSION, "dim").alias("outcome"),
+        "sink_table", "sink_columns", "sink_pk",
+    ).filter("outcome IS NOT NULL")
+    matched = normalise_type(changes).join(broadcast_if_small(rules), ["table", "type"], "left")
+    trimmed = keep_columns(F.col("data"), F.col("sink_columns"), match)
+    return matched.withColumns({
+        "data": F.when(F.col("outcome").isNull(), F.col("data")).otherwise(trimmed),
+        "outcome": F.coalesce("outcome", F.lit("unrouted")),
+    }).drop("sink_columns")
+
+
+def route_changes(changes: DataFrame, config: DataFrame, match: str = "exact") -> Routed:
+    """The three outputs of :func:`tag_changes`."""
+    tagged = tag_changes(changes, config, match)
+    facts, dims, unrouted = (tagged.filter(F.col("outcome") == name).drop("outcome")
+                             for name in ("fact", "dim", "unrouted"))
+    return Routed(facts, dims, unrouted.select(*changes.columns))
 
 
 def upsert_dimension(changes: DataFrame, columns: Sequence[str], order: str, key: str = "id",

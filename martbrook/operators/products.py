@@ -81,6 +81,20 @@ def product_metrics(pages: DataFrame, favors: DataFrame, carts: DataFrame, refun
     ])
 
 
+def _sums() -> list[Column]:
+    return [F.sum(name).alias(name) for name in (*COUNTS, *AMOUNTS)]
+
+
+def product_sums(metrics: DataFrame, window: str = "10 seconds", delay: str = "3 seconds") -> DataFrame:
+    """Only the sums per tumbling window and product: one shuffle, combined before it."""
+    return (
+        metrics.withColumn("event_time", event_time(F.col("ts")))
+        .withWatermark("event_time", delay)
+        .groupBy(F.window("event_time", window), "sku_id").agg(*_sums())
+        .select(*window_bounds(), "sku_id", *COUNTS, *AMOUNTS)
+    )
+
+
 def product_stats(metrics: DataFrame, window: str = "10 seconds", delay: str = "3 seconds") -> DataFrame:
     """Sums and distinct order counts per tumbling window and product; batch and streaming.
 
@@ -88,21 +102,16 @@ def product_stats(metrics: DataFrame, window: str = "10 seconds", delay: str = "
     id is one row and counting rows counts distinct ids. The shuffle of the first level also
     hashes the id, so a best seller is spread over all tasks and no id set is ever held.
     """
-    sums = (*COUNTS, *AMOUNTS)
     per_reference = (
         metrics.withColumn("event_time", event_time(F.col("ts")))
         .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", window), "sku_id", "ref_kind", "ref_id")
-        .agg(*(F.sum(name).alias(name) for name in sums))
+        .groupBy(F.window("event_time", window), "sku_id", "ref_kind", "ref_id").agg(*_sums())
     )
     return (
         per_reference.groupBy("window", "sku_id")
-        .agg(
-            *(F.sum(name).alias(name) for name in sums),
-            *(F.count(F.when(F.col("ref_kind") == kind, F.col("ref_id"))).alias(name)
-              for kind, name in REFERENCES.items()),
-        )
-        .select(*window_bounds(), "sku_id", *sums, *REFERENCES.values())
+        .agg(*_sums(), *(F.count(F.when(F.col("ref_kind") == kind, F.col("ref_id"))).alias(name)
+                         for kind, name in REFERENCES.items()))
+        .select(*window_bounds(), "sku_id", *COUNTS, *AMOUNTS, *REFERENCES.values())
     )
 
 

@@ -28,24 +28,31 @@ def first_visits(logs: DataFrame) -> DataFrame:
     )
 
 
-def repair_new_flag(logs: DataFrame, visits: DataFrame | None = None) -> DataFrame:
-    """Clear the first-visit flag on records from any other date than the visitor's first.
+def repair_flag(rows: DataFrame, visits: DataFrame) -> DataFrame:
+    """Clear ``is_new`` on rows from any other date than the visitor's first.
 
-    Records without the flag neither read nor set that date, so only flagged ones are joined
-    (and shuffled). ``visits`` (mid, first_date) replaces the dates found in ``logs`` itself.
+    Rows without the flag neither read nor set that date, so only flagged ones are joined
+    (and shuffled). Works on any rows with ``mid``, ``is_new`` and ``ts``.
     """
-    visits = first_visits(logs) if visits is None else visits
-    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    flagged = F.coalesce(F.col("is_new") == "1", F.lit(False))
     other_date = date_text(F.col("ts")) != F.col("first_date")
     repaired = (
-        logs.filter(flagged)
-        .withColumn("mid", F.col("common.mid"))
-        .join(visits, "mid", "left")
-        .withColumn("common", F.col("common").withField(
-            "is_new", F.when(other_date, "0").otherwise(F.col("common.is_new"))))
+        rows.filter(flagged).join(visits, "mid", "left")
+        .withColumn("is_new", F.when(other_date, "0").otherwise(F.col("is_new")))
+        .select(*rows.columns)
+    )
+    return rows.filter(~flagged).unionByName(repaired)
+
+
+def repair_new_flag(logs: DataFrame, visits: DataFrame | None = None) -> DataFrame:
+    """:func:`repair_flag` on app logs; ``visits`` replaces the dates found in ``logs`` itself."""
+    visits = first_visits(logs) if visits is None else visits
+    flat = logs.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
+    return (
+        repair_flag(flat, visits)
+        .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
         .select(*logs.columns)
     )
-    return logs.filter(~flagged).unionByName(repaired)
 
 
 # --- daily unique visitors -----------------------------------------------------
@@ -95,6 +102,7 @@ def bounces(pages: DataFrame, within_ms: int = 1000, order: Sequence[str] = ("ts
 # --- visitor metrics -------------------------------------------------------------
 def _metric(rows: DataFrame, **counts: Column) -> DataFrame:
     return rows.select(
+        F.col("common.mid").alias("mid"),
         *(F.col(f"common.{key}").alias(key) for key in STAT_KEYS),
         *(counts.get(name, F.lit(0)).cast("bigint").alias(name) for name in STAT_SUMS),
         "ts",

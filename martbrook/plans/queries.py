@@ -95,27 +95,20 @@ def cdc_clean(spark, folder):
     return _renamed(changes.normalise_type(changes.clean_changes(_flat(spark, folder))))
 
 
-def _routed(spark, folder):
-    return changes.route_changes(changes.clean_changes(_flat(spark, folder)), given.routing(spark))
+def _tagged(spark, folder):
+    return changes.tag_changes(changes.clean_changes(_flat(spark, folder)), given.routing(spark))
 
 
 @query
 def route_by_config(spark, folder):
-    routed = _routed(spark, folder)
-    return (
-        _renamed(routed.facts, F.lit("fact").alias("outcome"), "sink_table")
-        .unionByName(_renamed(routed.dims, F.lit("dim").alias("outcome"), "sink_table"))
-        .unionByName(_renamed(routed.unrouted, F.lit("unrouted").alias("outcome"),
-                              F.lit(None).cast("string").alias("sink_table")))
-    )
+    return _renamed(_tagged(spark, folder), "outcome", "sink_table")
 
 
 @query
 def route_column_trim(spark, folder):
-    routed = _routed(spark, folder)
+    sent = _tagged(spark, folder).filter(F.col("outcome") != "unrouted")
     kept = F.concat_ws(",", F.array_sort(F.map_keys("data")))
-    return _renamed(routed.facts.unionByName(routed.dims), "sink_table", kept.alias("kept"),
-                    F.col("data")["id"].alias("id"))
+    return _renamed(sent, "sink_table", kept.alias("kept"), F.col("data")["id"].alias("id"))
 
 
 @query
@@ -236,17 +229,17 @@ def keyword_stats_sql(spark, folder):
 # --- dashboard -----------------------------------------------------------------------
 @query
 def gmv_daily(spark, folder):
-    return _doubles(dashboard.gmv_by_day(Warehouse(spark, folder).sales_stats))
+    return _doubles(dashboard.gmv_by_day(Warehouse(spark, folder).sales_sums))
 
 
 @query
 def gmv_top_brand(spark, folder):
-    return _doubles(dashboard.gmv_by_brand(Warehouse(spark, folder).sales_stats))
+    return _doubles(dashboard.gmv_by_brand(Warehouse(spark, folder).sales_sums))
 
 
 @query
 def gmv_top_category(spark, folder):
-    return _doubles(dashboard.gmv_by_category(Warehouse(spark, folder).sales_stats))
+    return _doubles(dashboard.gmv_by_category(Warehouse(spark, folder).sales_sums))
 
 
 @query

@@ -72,10 +72,6 @@ class Warehouse:
     def pages(self) -> DataFrame:
         return applog.page_logs(self.logs)
 
-    @cached_property
-    def repaired_pages(self) -> DataFrame:
-        return applog.page_logs(visitors.repair_new_flag(self.logs))
-
     @cached_property
     def order_wide(self) -> DataFrame:
         return wide.order_wide(self.orders, self.details)
@@ -108,9 +104,17 @@ class Warehouse:
         stats = products.product_stats(products.order_metrics(self.order_wide), WINDOW)
         return products.product_stats_wide(stats, self.product_dim)
 
+    @cached_property
+    def sales_sums(self) -> DataFrame:
+        """The same for questions about amounts, which need no distinct orders."""
+        stats = products.product_sums(products.order_metrics(self.order_wide), WINDOW)
+        return products.product_stats_wide(stats, self.product_dim)
+
     @cached_property
     def visitor_stats(self) -> DataFrame:
-        pages = self.repaired_pages
+        """The flag depends on visitor and date alone, so it is repaired once, on the metric rows,
+        instead of on each of the three inputs they come from."""
+        pages = self.pages.drop("start", "displays")
         metrics = visitors.visitor_metrics(
             pages, visitors.unique_visitors(pages, ORDER), visitors.bounces(pages, BOUNCE_MS, ORDER))
-        return visitors.visitor_stats(metrics, WINDOW)
+        return visitors.visitor_stats(visitors.repair_flag(metrics, visitors.first_visits(self.logs)), WINDOW)

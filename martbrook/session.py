@@ -36,12 +36,14 @@ def build_session(master: str | None = None, app: str = "martbrook", **extra: st
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session on the same context, so that state-store settings stay out of the caller's."""
     child = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        child.conf.set(key, spark.conf.get(key))
     for key, value in SETTINGS.items():
         if key.startswith("spark.sql."):
-            if key != "spark.sql.session.timeZone":
-                child.conf.set(key, value)
+            child.conf.set(key, value)
+    child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    # Every state partition is a store of its own, committed in every batch: more than two
+    # per core only adds overhead.
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    child.conf.set("spark.sql.shuffle.partitions", min(wanted, 2 * spark.sparkContext.defaultParallelism))
     return child
 
 

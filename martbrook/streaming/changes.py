@@ -55,8 +55,8 @@ def route_job(changes: DataFrame, out: str, config: Callable[[SparkSession], Dat
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rules = config(spark)
-        cleaned = clean_changes(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        routed = route_changes(cleaned, rules, match)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        routed = route_changes(clean_changes(batch), rules, match)
         routed.facts.write.mode("overwrite").partitionBy("sink_table").parquet(f"{out}/facts/batch={number}")
         append_batch(routed.unrouted, f"{out}/unrouted", number)
         dims = routed.dims.persist(StorageLevel.MEMORY_AND_DISK)
@@ -68,7 +68,7 @@ def route_job(changes: DataFrame, out: str, config: Callable[[SparkSession], Dat
             snapshot = upsert_dimension(mine, columns, order, key, old, apply_deletes)
             append_batch(snapshot, f"{out}/dim/{table}", number)
         dims.unpersist()
-        cleaned.unpersist()
+        batch.unpersist()
 
     return (
         changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/route")
