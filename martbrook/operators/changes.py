@@ -22,24 +22,25 @@ class Routed(NamedTuple):
 def flatten_envelopes(raw: DataFrame, column: str = "value") -> DataFrame:
     """Capture envelopes to ``database, table, type, data``; a delete has empty data.
 
-    Columns of ``raw`` other than the text (an offset, a time) are kept.
+    Columns of ``raw`` other than the text (an offset, a time) are kept. The generator parses
+    each text once; as a projection, later filters would repeat the parsing.
     """
     rest = [name for name in raw.columns if name != column]
-    op = F.lower(F.col("e.op"))
-    return raw.select(*rest, F.from_json(column, CHANGE_ENVELOPE).alias("e")).select(
+    op = F.lower("op")
+    return raw.select(*rest, F.inline(F.array(F.from_json(column, CHANGE_ENVELOPE)))).select(
         *rest,
-        F.col("e.source.db").alias("database"),
-        F.col("e.source.table").alias("table"),
+        F.col("source.db").alias("database"),
+        F.col("source.table").alias("table"),
         F.when(op.isin("create", "c"), "insert").when(op == "u", "update").when(op == "d", "delete")
         .when(op == "r", "read").otherwise(op).alias("type"),
-        F.coalesce(F.col("e.after"), F.create_map().cast("map<string,string>")).alias("data"),
+        F.coalesce(F.col("after"), F.create_map().cast("map<string,string>")).alias("data"),
     )
 
 
 def parse_changes(raw: DataFrame, column: str = "value") -> DataFrame:
     """Change events that are already flat JSON."""
     rest = [name for name in raw.columns if name != column]
-    return raw.select(*rest, F.from_json(column, CHANGE).alias("c")).select(*rest, "c.*")
+    return raw.select(*rest, F.inline(F.array(F.from_json(column, CHANGE))))
 
 
 def clean_changes(changes: DataFrame) -> DataFrame:

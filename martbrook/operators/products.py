@@ -63,7 +63,7 @@ def comment_metrics(comments: DataFrame) -> DataFrame:
 
 
 def order_metrics(wide: DataFrame) -> DataFrame:
-    return _metric(wide, F.col("sku_id"), _created(), "order", F.col("order_id"),
+    return _metric(wide, F.col("sku_id"), F.col("create_ts"), "order", F.col("order_id"),
                    order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.times import text_time, window_bounds
+from ..functions.times import event_time, window_bounds
 
 PROVINCE = {
     "province_id": "province_id", "province_name": "province_name", "area_code": "province_area_code",
@@ -18,7 +18,7 @@ def province_stats(wide: DataFrame, window: str = "10 seconds", delay: str = "0
     Grouping by order first spreads a province with most of the orders over all tasks.
     """
     per_order = (
-        wide.withColumn("event_time", text_time(F.col("create_time")))
+        wide.withColumn("event_time", event_time(F.col("create_ts")))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", window), *(F.col(c).alias(n) for n, c in PROVINCE.items()), "order_id")
         .agg(F.sum("split_total_amount").alias("amount"))

@@ -6,13 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.times import age_years, event_time, text_time
+from ..functions.times import age_years, event_time, millis_text, text_time
 from ..schemas import ORDER_WIDE
 
 ORDER_HEADER = (
     "order_status", "create_time", "create_date", "create_hour", "activity_reduce_amount",
     "coupon_reduce_amount", "original_total_amount", "feight_fee", "total_amount",
-    "province_id", "user_id",
+    "province_id", "user_id", "create_ts",
 )
 DETAIL_LINE = (
     "sku_id", "sku_name", "order_price", "sku_num",
@@ -76,7 +76,7 @@ def payment_wide(payments: DataFrame, wide: DataFrame, seconds: int = 1800,
     Where both have a column (order, user and **total amount**), the payment's value stands.
     """
     p = payments.withColumn("p_time", text_time(F.col("callback_time"))).withWatermark("p_time", delay).alias("p")
-    w = wide.withColumn("w_time", text_time(F.col("create_time"))).withWatermark("w_time", delay).alias("w")
+    w = wide.withColumn("w_time", event_time(F.col("create_ts"))).withWatermark("w_time", delay).alias("w")
     paid = (
         (F.col("p.order_id") == F.col("w.order_id"))
         & (F.col("w_time") >= F.col("p_time") - F.expr(f"INTERVAL {seconds} SECONDS"))
@@ -86,13 +86,13 @@ def payment_wide(payments: DataFrame, wide: DataFrame, seconds: int = 1800,
         w, p, same = _salted(w, p, F.xxhash64("w.detail_id", "w.sku_id"), salts)
         paid = paid & same
     from_payment = ("order_id", "user_id", "total_amount")
-    dropped = (*from_payment, "create_time", "create_date", "create_hour", "expire_time", "operate_time")
+    dropped = (*from_payment, "create_ts", "create_time", "create_date", "create_hour", "expire_time", "operate_time")
     return p.join(w, paid).select(
         F.col("p.id").alias("payment_id"), "p.subject", "p.payment_type",
         F.col("p.create_time").alias("payment_create_time"), "p.callback_time",
         *(F.col(f"p.{name}") for name in from_payment),
-        F.col("w.create_time").alias("order_create_time"),
-        *(F.col(f"w.{name}") for name in ORDER_WIDE.names if name not in dropped),
+        millis_text(F.col("w.create_ts")).alias("order_create_time"),
+        *(F.col(f"w.{name}") for name in wide.columns if name not in dropped),
     )
 
 

@@ -229,7 +229,7 @@ def keyword_stats_sql(spark, folder):
 # --- dashboard -----------------------------------------------------------------------
 @query
 def gmv_daily(spark, folder):
-    return _doubles(dashboard.gmv_by_day(Warehouse(spark, folder).sales_sums))
+    return _doubles(dashboard.gmv_by_day(Warehouse(spark, folder).sales))
 
 
 @query

@@ -7,12 +7,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import applog, products, visitors, wide
+from ..session import written
 from ..sources import given
 
 WINDOW = "1 hour"  # the given events are sparse: ten-second windows would hold one row each
 BOUNCE_MS = 3_600_000
 AS_OF = "2024-01-01"
 ORDER = ("ts", "seq")
+METRIC_COLUMNS = ("order_id", "detail_id", "sku_id", "sku_num", "split_total_amount", "create_ts")
 
 
 class Warehouse:
@@ -86,12 +88,16 @@ class Warehouse:
 
     # statistics
     def metrics(self, order_wide: DataFrame | None = None, payment_wide: DataFrame | None = None) -> DataFrame:
+        """All seven inputs as metric rows. The wide orders feed two of them, so unless given
+        they are written once rather than joined twice."""
+        if order_wide is None:
+            order_wide = written(self.order_wide.select(*METRIC_COLUMNS), "order_wide")
+        if payment_wide is None:
+            payment_wide = wide.payment_wide(self.payments, order_wide)
         events, lineitem = self.fact("events"), self.fact("lineitem")
         return products.product_metrics(
             self.pages, given.favor_info(events), given.cart_info(events),
-            given.order_refund_info(lineitem), given.comment_info(lineitem),
-            self.order_wide if order_wide is None else order_wide,
-            self.payment_wide if payment_wide is None else payment_wide,
+            given.order_refund_info(lineitem), given.comment_info(lineitem), order_wide, payment_wide,
         )
 
     @cached_property
@@ -104,11 +110,14 @@ class Warehouse:
         stats = products.product_stats(products.order_metrics(self.order_wide), WINDOW)
         return products.product_stats_wide(stats, self.product_dim)
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        """The same for questions about amounts alone: no distinct orders, no names."""
+        return products.product_sums(products.order_metrics(self.order_wide), WINDOW)
+
     @cached_property
     def sales_sums(self) -> DataFrame:
-        """The same for questions about amounts, which need no distinct orders."""
-        stats = products.product_sums(products.order_metrics(self.order_wide), WINDOW)
-        return products.product_stats_wide(stats, self.product_dim)
+        return products.product_stats_wide(self.sales, self.product_dim)
 
     @cached_property
     def visitor_stats(self) -> DataFrame:

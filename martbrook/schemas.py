@@ -55,6 +55,7 @@ ORDER_WIDE = _struct(
     province_name=S, province_area_code=S, province_iso_code=S, province_3166_2_code=S,
     user_age=I, user_gender=S,
     spu_id=L, tm_id=L, category3_id=L, spu_name=S, tm_name=S, category3_name=S,
+    create_ts=L,  # create_time as epoch milliseconds, so that no later step parses the text again
 )
 
 # --- result tables (the order of columns is that of the store) --------------

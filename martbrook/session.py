@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -58,3 +58,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="martbrook-")
     return os.path.join(base, "martbrook", f"{name}-{uuid.uuid4().hex}")
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back: computed once, with no lineage to redo."""
+    spark = rows.sparkSession
+    folder = work_dir(spark, name)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

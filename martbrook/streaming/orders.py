@@ -17,7 +17,7 @@ from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
 
-LINE_SALTS = 8  # state partitions that the lines of one order may spread over
+LINE_SALTS = 4  # state partitions that the lines of one order may spread over
 
 
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
