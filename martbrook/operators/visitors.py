@@ -13,43 +13,56 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.times import date_text, event_time, window_bounds
 from .applog import is_entry
 
+HOT_RECORDS = 1_000_000  # from here on a visitor's records are spread over several tasks
+
 STAT_KEYS = ("vc", "ch", "ar", "is_new")
 STAT_SUMS = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 
 
 # --- new-visitor flag --------------------------------------------------------
 def first_visits(logs: DataFrame) -> DataFrame:
-    """Per visitor, the date of the earliest record that claims to be a first visit."""
+    """Per visitor, the date of the earliest of their ``records`` that claim to be a first visit."""
     return (
         logs.filter(F.col("common.is_new") == "1")
         .groupBy(F.col("common.mid").alias("mid"))
-        .agg(F.min("ts").alias("first_ts"))
-        .select("mid", date_text(F.col("first_ts")).alias("first_date"))
+        .agg(F.min("ts").alias("first_ts"), F.count("*").alias("records"))
+        .select("mid", date_text(F.col("first_ts")).alias("first_date"), "records")
     )
 
 
-def repair_flag(rows: DataFrame, visits: DataFrame) -> DataFrame:
+def repair_flag(rows: DataFrame, visits: DataFrame, hot: int = HOT_RECORDS) -> DataFrame:
     """Clear ``is_new`` on rows from any other date than the visitor's first.
 
     Rows without the flag neither read nor set that date, so only flagged ones are joined
     (and shuffled). Works on any rows with ``mid``, ``is_new`` and ``ts``.
+
+    Visitors with ``hot`` or more records are looked up by broadcast; there can be no more of
+    them than records divided by ``hot``. Their rows then take a made-up join key, which
+    spreads them over the shuffle where the visitor's own would send all to one task.
     """
+    busy = visits.filter(F.col("records") >= hot).select(
+        F.col("mid").alias("busy_mid"), F.col("first_date").alias("busy_date"))
+    dates = visits.select(F.col("mid").alias("key"), "first_date")
     flagged = F.coalesce(F.col("is_new") == "1", F.lit(False))
-    other_date = date_text(F.col("ts")) != F.col("first_date")
+    spread = F.xxhash64("ts").cast("string")
+    first = F.coalesce("busy_date", "first_date")
     repaired = (
-        rows.filter(flagged).join(visits, "mid", "left")
-        .withColumn("is_new", F.when(other_date, "0").otherwise(F.col("is_new")))
+        rows.filter(flagged)
+        .join(F.broadcast(busy), F.col("mid") == F.col("busy_mid"), "left")
+        .withColumn("key", F.when(F.col("busy_mid").isNull(), F.col("mid")).otherwise(spread))
+        .join(dates, "key", "left")
+        .withColumn("is_new", F.when(date_text(F.col("ts")) != first, "0").otherwise(F.col("is_new")))
         .select(*rows.columns)
     )
     return rows.filter(~flagged).unionByName(repaired)
 
 
-def repair_new_flag(logs: DataFrame, visits: DataFrame | None = None) -> DataFrame:
+def repair_new_flag(logs: DataFrame, visits: DataFrame | None = None, hot: int = HOT_RECORDS) -> DataFrame:
     """:func:`repair_flag` on app logs; ``visits`` replaces the dates found in ``logs`` itself."""
     visits = first_visits(logs) if visits is None else visits
     flat = logs.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
     return (
-        repair_flag(flat, visits)
+        repair_flag(flat, visits, hot)
         .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
         .select(*logs.columns)
     )

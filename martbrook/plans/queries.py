@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,8 +24,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def tuned(spark: SparkSession, folder: str) -> DataFrame:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+                    "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+            spark.conf.set(key, "true")
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = tuned
+    return tuned
 
 
 def _doubles(rows: DataFrame) -> DataFrame:

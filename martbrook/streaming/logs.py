@@ -38,14 +38,14 @@ def split_job(logs: DataFrame, out: str) -> DataStreamWriter:
         if earlier is None:
             new, visits = found, found
         else:
-            seen_here = broadcast_if_small(found.select("mid"), 1_000_000)
-            known = earlier.filter(F.col("batch") < number).drop("batch").join(seen_here, "mid", "left_semi")
+            seen_here = broadcast_if_small(found.select("mid", "records"), 1_000_000)
+            known = earlier.filter(F.col("batch") < number).drop("batch").join(seen_here, "mid")
             new = found.join(known, "mid", "left_anti")
             visits = known.unionByName(new)
         repaired = repair_new_flag(batch, visits).persist(StorageLevel.MEMORY_AND_DISK)
         for topic, rows in zip((START, PAGE, DISPLAY), split_logs(repaired)):
             append_batch(rows, f"{out}/{topic}", number)
-        append_batch(new, f"{out}/{VISITS}", number)
+        append_batch(new.drop("records"), f"{out}/{VISITS}", number)
         for held in (repaired, found, batch):
             held.unpersist()
 
