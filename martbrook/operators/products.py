@@ -44,6 +44,18 @@ def display_metrics(pages: DataFrame) -> DataFrame:
                    F.col("shown.item"), F.col("ts"), display_ct=F.lit(1))
 
 
+def page_metrics(pages: DataFrame) -> DataFrame:
+    """Clicks and exposures together, in one pass over the page log."""
+    seen = lambda item, click, display: F.struct(
+        item.alias("item"), F.lit(click).alias("click"), F.lit(display).alias("display"))
+    none = F.array().cast("array<struct<item:string,click:int,display:int>>")
+    click = F.when(F.col("page.page_id") == "good_detail", F.array(seen(F.col("page.item"), 1, 0)))
+    products = F.filter("displays", lambda shown: shown["item_type"] == "sku_id")
+    shown = F.transform(products, lambda shown: seen(shown["item"], 0, 1))
+    rows = pages.select("ts", F.inline(F.concat(F.coalesce(click, none), F.coalesce(shown, none))))
+    return _metric(rows, F.col("item"), F.col("ts"), click_ct=F.col("click"), display_ct=F.col("display"))
+
+
 def favor_metrics(favors: DataFrame) -> DataFrame:
     return _metric(favors, F.col("sku_id"), _created(), favor_ct=F.lit(1))
 
@@ -76,8 +88,8 @@ def product_metrics(pages: DataFrame, favors: DataFrame, carts: DataFrame, refun
                     comments: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
     """The seven inputs as one set of metric rows."""
     return reduce(DataFrame.unionByName, [
-        click_metrics(pages), display_metrics(pages), favor_metrics(favors), cart_metrics(carts),
-        refund_metrics(refunds), comment_metrics(comments), order_metrics(orders), payment_metrics(payments),
+        page_metrics(pages), favor_metrics(favors), cart_metrics(carts), refund_metrics(refunds),
+        comment_metrics(comments), order_metrics(orders), payment_metrics(payments),
     ])
 
 

@@ -33,39 +33,41 @@ def first_visits(logs: DataFrame) -> DataFrame:
 def repair_flag(rows: DataFrame, visits: DataFrame, hot: int = HOT_RECORDS) -> DataFrame:
     """Clear ``is_new`` on rows from any other date than the visitor's first.
 
-    Rows without the flag neither read nor set that date, so only flagged ones are joined
-    (and shuffled). Works on any rows with ``mid``, ``is_new`` and ``ts``.
-
-    Visitors with ``hot`` or more records are looked up by broadcast; there can be no more of
-    them than records divided by ``hot``. Their rows then take a made-up join key, which
-    spreads them over the shuffle where the visitor's own would send all to one task.
+    Works on any rows with ``mid``, ``is_new`` and ``ts``, in one pass. Visitors with ``hot`` or
+    more records are looked up by broadcast; there can be no more of them than records divided
+    by ``hot``. Their rows, and rows without the flag, which neither read nor set the date, take
+    a made-up join key that spreads them over the shuffle. It may hit a visitor by chance, and
+    what it finds is not used then.
     """
     busy = visits.filter(F.col("records") >= hot).select(
         F.col("mid").alias("busy_mid"), F.col("first_date").alias("busy_date"))
-    dates = visits.select(F.col("mid").alias("key"), "first_date")
+    dates = visits.filter(F.col("records") < hot).select(F.col("mid").alias("key"), "first_date")
     flagged = F.coalesce(F.col("is_new") == "1", F.lit(False))
     spread = F.xxhash64("ts").cast("string")
     first = F.coalesce("busy_date", "first_date")
-    repaired = (
-        rows.filter(flagged)
-        .join(F.broadcast(busy), F.col("mid") == F.col("busy_mid"), "left")
-        .withColumn("key", F.when(F.col("busy_mid").isNull(), F.col("mid")).otherwise(spread))
+    return (
+        rows.join(F.broadcast(busy), F.col("mid") == F.col("busy_mid"), "left")
+        .withColumn("key", F.when(flagged & F.col("busy_mid").isNull(), F.col("mid")).otherwise(spread))
         .join(dates, "key", "left")
-        .withColumn("is_new", F.when(date_text(F.col("ts")) != first, "0").otherwise(F.col("is_new")))
+        .withColumn("is_new", F.when(flagged & (date_text(F.col("ts")) != first), "0").otherwise(F.col("is_new")))
         .select(*rows.columns)
     )
-    return rows.filter(~flagged).unionByName(repaired)
 
 
 def repair_new_flag(logs: DataFrame, visits: DataFrame | None = None, hot: int = HOT_RECORDS) -> DataFrame:
-    """:func:`repair_flag` on app logs; ``visits`` replaces the dates found in ``logs`` itself."""
+    """:func:`repair_flag` on app logs; only records that carry the flag are joined and shuffled.
+
+    ``visits`` replaces the dates found in ``logs`` itself.
+    """
     visits = first_visits(logs) if visits is None else visits
-    flat = logs.withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
-    return (
+    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    flat = logs.filter(flagged).withColumns({"mid": F.col("common.mid"), "is_new": F.col("common.is_new")})
+    repaired = (
         repair_flag(flat, visits, hot)
         .withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
         .select(*logs.columns)
     )
+    return logs.filter(~flagged).unionByName(repaired)
 
 
 # --- daily unique visitors -----------------------------------------------------

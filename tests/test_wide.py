@@ -85,6 +85,8 @@ def test_all_product_metrics(spark):
     whole = wide.order_wide(orders(spark), details(spark, 0))
     paid = table(spark, schemas.PAYMENT_INFO, {"id": 70, "order_id": 1, "total_amount": D(90),
                                                "create_time": text(T0), "callback_time": text(T0)})
+    apart = products.click_metrics(pages).unionByName(products.display_metrics(pages))
+    assert values(products.page_metrics(pages), *apart.columns) == values(apart, *apart.columns)
     metrics = products.product_metrics(
         pages, table(spark, schemas.FAVOR_INFO, at, at), table(spark, schemas.CART_INFO, at),
         table(spark, schemas.REFUND_INFO, {**at, "order_id": 1, "refund_amount": D(3)}, {**at, "order_id": 1}),
