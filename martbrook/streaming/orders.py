@@ -16,6 +16,7 @@ from ..operators.wide import order_wide, payment_wide, with_dimensions
 from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
+from .runtime import adaptive
 
 LINE_SALTS = 4  # state partitions that the lines of one order may spread over
 
@@ -26,8 +27,9 @@ def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
     """``dims`` gives the ``users``, ``provinces`` and ``products`` tables."""
 
     def write(batch: DataFrame, number: int) -> None:
-        wide = with_dimensions(batch, **dims(batch.sparkSession), as_of=as_of)
-        append_batch(wide, f"{out}/dwm_order_wide", number)
+        with adaptive(batch.sparkSession):
+            wide = with_dimensions(batch, **dims(batch.sparkSession), as_of=as_of)
+            append_batch(wide, f"{out}/dwm_order_wide", number)
 
     return (
         order_wide(orders, details, salts=salts).writeStream.outputMode("append").foreachBatch(write)
@@ -43,8 +45,9 @@ def payment_wide_job(payments: DataFrame, wide: DataFrame, out: str, salts: int
 def product_stats_job(metrics: DataFrame, out: str, products: Callable[[SparkSession], DataFrame],
                       window: str = "10 seconds", delay: str = "3 seconds") -> DataStreamWriter:
     def write(batch: DataFrame, number: int) -> None:
-        stats = product_stats_wide(batch, products(batch.sparkSession))
-        append_batch(result_rows(stats, PRODUCT_STATS), f"{out}/product_stats", number, day_from="stt")
+        with adaptive(batch.sparkSession):
+            stats = product_stats_wide(batch, products(batch.sparkSession))
+            append_batch(result_rows(stats, PRODUCT_STATS), f"{out}/product_stats", number, day_from="stt")
 
     return (
         product_stats(metrics, window, delay).writeStream.outputMode("append").foreachBatch(write)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
@@ -21,6 +23,21 @@ def keep_running(writer: DataStreamWriter, every: str = "5 seconds") -> Streamin
     return writer.trigger(processingTime=every).start()
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the batch queries of a ``foreachBatch``.
+
+    Spark turns it off for a whole stateful stream, since it may not change the number of state
+    partitions. What is done with a finished batch has no state, and joins there need it.
+    """
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def read_if_there(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame | None:
     """A folder an earlier batch may have written."""
     try:
