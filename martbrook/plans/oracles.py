@@ -147,6 +147,13 @@ VIEWS = {
                   FROM lineitem
         UNION ALL SELECT c_custkey, 'customer', c_custkey % 4, CAST(c_custkey AS VARCHAR), NULL, NULL, NULL, c_name,
                          c_mktsegment, 4 FROM customer""",
+    "latest_rule": """
+        SELECT lower(p_brand) AS source_table,
+               CASE p_partkey % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS operate_type,
+               CASE WHEN p_size % 2 = 0 THEN 'hbase' ELSE 'kafka' END AS sink_type,
+               'dwd_' || replace(p_name, ' ', '_') AS sink_table, 'id,' || lower(p_type) AS sink_columns
+        FROM part WHERE p_partkey % 50 <> 49
+        QUALIFY row_number() OVER (PARTITION BY p_brand, p_partkey % 3 ORDER BY p_partkey DESC) = 1""",
     "clean_change": """
         SELECT *, CASE turn WHEN 1 THEN 'update' ELSE 'insert' END AS op_type FROM change WHERE turn <> 2""",
     "routed": """
@@ -253,12 +260,16 @@ ORACLES = {
              WHEN src_table = 'orders' THEN 'id,order_status'
              WHEN op_type = 'insert' THEN 'id,name,segment' ELSE 'id,segment' END AS kept
         FROM routed WHERE outcome <> 'unrouted'"""),
-    "config_latest": """SELECT lower(p_brand) AS source_table,
-        CASE p_partkey % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS operate_type,
-        CASE WHEN p_size % 2 = 0 THEN 'hbase' ELSE 'kafka' END AS sink_type,
-        'dwd_' || replace(p_name, ' ', '_') AS sink_table, 'id,' || lower(p_type) AS sink_columns
-        FROM part WHERE p_partkey % 50 <> 49
-        QUALIFY row_number() OVER (PARTITION BY p_brand, p_partkey % 3 ORDER BY p_partkey DESC) = 1""",
+    "fact_messages": _sql("""SELECT sink_table AS topic, CASE WHEN op_type = 'insert'
+        THEN '{"id":"' || id || '","user_id":"' || user_id || '","order_status":"' || order_status
+             || '","total_amount":"' || total_amount || '"}'
+        ELSE '{"id":"' || id || '","order_status":"' || order_status || '"}' END AS value
+        FROM routed JOIN (SELECT o_orderkey, o_custkey AS user_id FROM orders) ON seq = o_orderkey
+        WHERE outcome = 'fact'"""),
+    "config_latest": _sql("SELECT * FROM latest_rule"),
+    "dim_table_columns": _sql("""SELECT sink_table, i - 1 AS position, string_split(sink_columns, ',')[i] AS "column",
+        i = 1 AS is_key FROM latest_rule, (VALUES (1), (2)) AS place(i)
+        WHERE sink_type = 'hbase' AND operate_type = 'insert'"""),
     "dim_upsert_latest": """SELECT CAST(coalesce(c_custkey, k) AS VARCHAR) AS id, c_name AS name,
         coalesce(latest, c_mktsegment) AS segment
         FROM customer FULL JOIN (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS latest

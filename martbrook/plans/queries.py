@@ -119,13 +119,28 @@ def route_column_trim(spark, folder):
     return _renamed(sent, "sink_table", kept.alias("kept"), F.col("data")["id"].alias("id"))
 
 
+@query
+def fact_messages(spark, folder):
+    """Routed facts as messages, each for the topic its rule names."""
+    return topics.as_messages(_tagged(spark, folder).filter(F.col("outcome") == "fact"))
+
+
+def _latest_rules(spark, folder):
+    return changes.latest_config(given.routing_history(Warehouse(spark, folder).table("part")), "seq")
+
+
 @query
 def config_latest(spark, folder):
-    history = given.routing_history(Warehouse(spark, folder).table("part"))
-    return changes.latest_config(history, "seq").select(
+    return _latest_rules(spark, folder).select(
         "source_table", "operate_type", "sink_type", "sink_table", "sink_columns")
 
 
+@query
+def dim_table_columns(spark, folder):
+    """The tables, columns and keys that the current rules call for."""
+    return changes.dimension_columns(_latest_rules(spark, folder))
+
+
 @query
 def dim_upsert_latest(spark, folder):
     house = Warehouse(spark, folder)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from martbrook import schemas
 from martbrook.operators import products, provinces, visitors, wide
@@ -60,6 +60,18 @@ def test_visitor_operators_need_no_window_over_a_visitor(hot_logs):
         assert "partial_" in plan
 
 
+def test_hot_visitor_results_equal_the_window_forms(spark, hot_logs):
+    """The aggregates against sorting each visitor's whole history."""
+    mid, entry = F.col("common.mid"), F.coalesce(F.col("page.last_page_id"), F.lit("")) == ""
+    day = F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")
+    first = hot_logs.filter(entry).withColumn("n", F.row_number().over(Window.partitionBy(mid, day).orderBy("ts", "seq")))
+    assert values(visitors.unique_visitors(hot_logs, ("ts", "seq")), "seq") == values(first.filter("n = 1"), "seq")
+    for limit in (1000, 27_000, 60_000, 3_600_000):
+        after = F.lead("ts").over(Window.partitionBy(mid).orderBy("ts", "seq"))
+        alone = hot_logs.withColumn("after", after).filter(entry).filter(F.expr(f"after IS NULL OR after - ts >= {limit}"))
+        assert values(visitors.bounces(hot_logs, limit, ("ts", "seq")), "seq") == values(alone, "seq")
+
+
 def test_flag_repair_spreads_the_hot_visitor(spark, hot_logs, shuffle_joins):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     flagged_rows = hot_logs.filter("common.is_new = '1'").count()

@@ -100,6 +100,20 @@ def test_unique_visitor_keeps_the_first_to_arrive(spark, tmp_path):
     assert values(results.read_result(spark, f"{out}/dwm_unique_visitor"), "seq") == [(2,), (4,)]
 
 
+def test_unique_visitor_days_follow_the_session_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        rows = logs(spark, log("a", "2024-01-01 15:59:00", seq=1), log("a", "2024-01-01 16:01:00", seq=2),
+                    log("a", "2024-01-02 15:00:00", seq=3))
+        topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+        topic.add(rows)
+        drain(log_jobs.unique_visitor_job(topic.read(), out))
+        streamed = values(results.read_result(spark, f"{out}/dwm_unique_visitor"), "seq")
+        assert streamed == values(visitors.unique_visitors(rows), "seq") == [(1,), (2,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     topic = Topic(spark, tmp_path / "logs", LOGS)
     topic.add(logs(spark, log("a", T0), log("a", T0 + 14_000, last="x")))
