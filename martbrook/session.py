@@ -40,10 +40,12 @@ def streaming_session(spark: SparkSession) -> SparkSession:
         if key.startswith("spark.sql."):
             child.conf.set(key, value)
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    # Every state partition is a store of its own, committed in every batch: more than two
-    # per core only adds overhead.
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    child.conf.set("spark.sql.shuffle.partitions", min(wanted, 2 * spark.sparkContext.defaultParallelism))
+    if spark.conf.get("spark.master", "").startswith("local"):
+        # Every state partition is a store of its own, committed in every batch: on one machine
+        # more than two per core only add overhead. On a cluster the setting stands.
+        wanted = min(wanted, 2 * spark.sparkContext.defaultParallelism)
+    child.conf.set("spark.sql.shuffle.partitions", wanted)
     return child
 
 

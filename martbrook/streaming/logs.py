@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.times import event_time
@@ -16,36 +16,49 @@ from ..operators.visitors import bounces, first_visits, repair_new_flag, visitor
 from ..schemas import KEYWORD_STATS, VISITOR_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
-from .runtime import day_offset, read_if_there
+from .runtime import day_offset
 
 START, PAGE, DISPLAY, VISITS = "dwd_start_log", "dwd_page_log", "dwd_display_log", "first_visit"
-VISIT_SCHEMA = "mid string, first_date string, batch int"
+VISIT_SCHEMA = "mid string, first_date string"
+REBASE = 500  # every so many batches all first visits are written again, as the new starting point
 
 
-def split_job(logs: DataFrame, out: str) -> DataStreamWriter:
+def known_visits(spark: SparkSession, out: str, before: int, rebase: int = REBASE) -> DataFrame | None:
+    """The first visits written by earlier batches: the last full copy and the additions since."""
+    if before == 0:
+        return None
+    start = (before - 1) // rebase * rebase
+    return spark.read.schema(VISIT_SCHEMA).parquet(*(f"{out}/{VISITS}/batch={n}" for n in range(start, before)))
+
+
+def split_job(logs: DataFrame, out: str, rebase: int = REBASE) -> DataStreamWriter:
     """Repair the new-visitor flag and write the start, page and exposure logs.
 
     What must be remembered, each visitor's first date, is an append-only table: a batch adds
-    the visitors it sees first. That keeps the job inside Spark's join and aggregation, which
-    split a visitor with very many records; keyed state would run them through one task.
+    the visitors it sees first, and every ``rebase`` batches one writes all of them, so that no
+    batch reads more than that many folders. That keeps the job inside Spark's join and
+    aggregation, which spread a visitor with very many records; keyed state would run them
+    through one task.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         found = first_visits(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        earlier = read_if_there(spark, f"{out}/{VISITS}", VISIT_SCHEMA)
+        earlier = known_visits(spark, out, number, rebase)
         if earlier is None:
             new, visits = found, found
         else:
             seen_here = broadcast_if_small(found.select("mid", "records"), 1_000_000)
-            known = earlier.filter(F.col("batch") < number).drop("batch").join(seen_here, "mid")
+            known = earlier.join(seen_here, "mid")
             new = found.join(known, "mid", "left_anti")
             visits = known.unionByName(new)
         repaired = repair_new_flag(batch, visits).persist(StorageLevel.MEMORY_AND_DISK)
         for topic, rows in zip((START, PAGE, DISPLAY), split_logs(repaired)):
             append_batch(rows, f"{out}/{topic}", number)
-        append_batch(new.drop("records"), f"{out}/{VISITS}", number)
+        added = new.drop("records")
+        full = earlier is not None and number % rebase == 0
+        append_batch(earlier.unionByName(added) if full else added, f"{out}/{VISITS}", number)
         for held in (repaired, found, batch):
             held.unpersist()
 

@@ -83,6 +83,20 @@ def test_log_jobs_equal_batch(spark, tmp_path):
     assert set(schemas.VISITOR_STATS) < set(stats.columns)
 
 
+def test_first_visits_are_written_whole_now_and_then(spark, tmp_path):
+    topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+    days = [logs(spark, log("old", T0 + day * 86_400_000, seq=10 * day), log(f"m{day}", T0 + day * 86_400_000, seq=10 * day + 1))
+            for day in range(5)]
+    for rows in days:
+        topic.add(rows)
+    drain(log_jobs.split_job(topic.read(), out, rebase=2))
+    assert values(results.read_result(spark, f"{out}/{log_jobs.PAGE}"), "seq", "common.is_new") == sorted(
+        [(10 * d, "1" if d == 0 else "0") for d in range(5)] + [(10 * d + 1, "1") for d in range(5)], key=str)
+    counts = [spark.read.parquet(f"{out}/{log_jobs.VISITS}/batch={n}").count() for n in range(5)]
+    assert counts == [2, 1, 4, 1, 6]
+    assert log_jobs.known_visits(spark, out, 5, rebase=2).count() == 6
+
+
 def test_bounce_next_record_in_a_later_batch(spark, tmp_path):
     topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
     topic.add(logs(spark, log("a", T0 + 900, seq=1), log("b", T0 + 900, seq=2)))
