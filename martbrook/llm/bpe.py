@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .texts import ROWS, map_texts
+from .texts import ROWS, map_texts, ship_package
 
 #: Entries that a worker keeps of each memo: pieces of text, and pairs of tokens.
 PIECES, PAIRS = 300_000, 500_000
@@ -240,6 +240,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Rows of :func:`encode` with ``decoded``, the bytes of their ids; null ids count as none."""
+    ship_package(encoded.sparkSession)
     schema = T.StructType([*encoded.select("doc_id", "ids").schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

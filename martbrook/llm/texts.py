@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import work_dir
+
 #: Rows that a task turns into output at once; its memory is bounded by so many texts.
 ROWS = 512
 
@@ -42,6 +47,7 @@ def map_texts(
     Other columns of ``docs`` are not read, whatever their names.
     """
     schema = output_schema(docs, id_col, result)
+    ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step, out = make(), to_arrow_schema(schema)
@@ -55,6 +61,27 @@ def map_texts(
     return docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(run, schema)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    folder = work_dir(spark, "package")
+    files, path = file_system(folder)
+    files.create_dir(path)
+    with files.open_output_stream(f"{path}/{top.name}.zip") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(f"{folder}/{top.name}.zip")
+    _shipped.add(context.applicationId)
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a shared folder and the path in it; plain paths are local ones."""
     if "://" in uri or uri.startswith("file:"):
