@@ -1,3 +1,37 @@
 """SQL for the registered queries of the training-data operators, where SQL can express them."""
 
 ORACLES: dict[str, str] = {}
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op1_exact_dedup"] = f"""
+WITH folded AS (SELECT doc_id, {_FOLDED} AS folded FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(folded) AS text_sha256
+FROM folded WINDOW same AS (PARTITION BY folded)
+"""
+
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_CUT = "regexp_extract_all({}, " + _WORDS + ")"
+
+ORACLES["op2_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_CUT.format(_FOLDED)} AS w FROM documents),
+b AS (SELECT item_id, {_CUT.format(_FOLDED)} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(w, at, at + least(len(w), 10) - 1) AS key
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS at FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(key) AS n FROM windows),
+parts AS (
+  SELECT doc_id, at, n, list_slice(w, at, at + n - 1) AS key
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS at FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT doc_id, at, n, item_id FROM parts JOIN windows USING (key)),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(at, at + n)) AS word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

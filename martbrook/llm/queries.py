@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, secret_scan
+from . import bpe, decontaminate, exact_dedup, secret_scan
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def vocabulary(spark: SparkSession) -> bpe.Vocabulary:
     return bpe.Vocabulary(spark, RANKS, public_tokenizers.PATTERN)
 
 
+@query
+def op1_exact_dedup(spark, folder):
+    found = exact_dedup.exact_groups(table(spark, folder, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 @query
 def op2_benchmark_decontamination(spark, folder):
     hits = decontaminate.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
