@@ -12,7 +12,7 @@ ORACLE_SQL = None
 
 def decontamination(spark, docs, sf_dir):
     """Documents without a passage of the benchmark."""
-    return decontaminate.decontaminated(docs, decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark, docs, sf_dir):

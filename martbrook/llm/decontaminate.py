@@ -14,7 +14,7 @@ from collections.abc import Callable
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import map_texts, named, whole_text
+from .texts import map_texts, named, text_test, whole_text
 
 WINDOW = 10
 #: Benchmark text that one automaton takes, in bytes. Its nodes take about 100 bytes per byte of
@@ -186,7 +186,18 @@ def _joined_spans(grouped: DataFrame, docs: DataFrame, id_col: str, text_col: st
     return none.unionByName(some.select("doc_id", "n_words", "u.n_hit", "item_ids", "u.spans"))
 
 
-def decontaminated(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that have a hit word; columns as they were."""
-    bad = hits.filter("n_hit > 0").select(F.col("doc_id").alias("__hit_id"))
-    return docs.join(bad, named(id_col).eqNullSafe(F.col("__hit_id")), "left_anti")
+def decontaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` without a hit word, with their columns; no shuffle."""
+    spark = docs.sparkSession
+    for block in _blocks(items, item_id_col, item_text_col, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+
+        def make(shared=shared):
+            automaton = Automaton(shared.value, window)
+            return lambda text: not automaton.scan(text)[1]
+
+        docs = docs.filter(text_test(spark, make)(whole_text(text_col)))
+    return docs

@@ -18,16 +18,16 @@ ORACLES["op2_benchmark_decontamination"] = f"""
 WITH d AS (SELECT doc_id, {_CUT.format(_FOLDED)} AS w FROM documents),
 b AS (SELECT item_id, {_CUT.format(_FOLDED)} AS w FROM benchmark),
 windows AS (
-  SELECT DISTINCT item_id, list_slice(w, at, at + least(len(w), 10) - 1) AS key
-  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS at FROM b WHERE len(w) > 0)),
+  SELECT DISTINCT item_id, list_slice(w, pos, pos + least(len(w), 10) - 1) AS key
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS pos FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT len(key) AS n FROM windows),
 parts AS (
-  SELECT doc_id, at, n, list_slice(w, at, at + n - 1) AS key
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS at FROM d, sizes WHERE len(w) >= n)),
-found AS (SELECT doc_id, at, n, item_id FROM parts JOIN windows USING (key)),
+  SELECT doc_id, pos, n, list_slice(w, pos, pos + n - 1) AS key
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT doc_id, pos, n, item_id FROM parts JOIN windows USING (key)),
 hits AS (
   SELECT doc_id, count(DISTINCT word) AS n_hit
-  FROM (SELECT doc_id, unnest(range(at, at + n)) AS word FROM found) GROUP BY doc_id),
+  FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM found) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
@@ -35,3 +35,12 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+named AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM named
+"""

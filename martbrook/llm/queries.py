@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, secret_scan
+from . import bpe, decontaminate, exact_dedup, secret_scan, toxicity, warc
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op2_benchmark_decontamination(spark, folder):
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op3_warc(spark, folder):
+    return warc.archived(table(spark, folder, "pages"))
+
+
 @query
 def op4_byte_bpe(spark, folder):
     words = vocabulary(spark)
@@ -59,3 +64,10 @@ def op5_secret_scan(spark, folder):
     return found.select(
         "doc_id", *(count(k) for k in secret_scan.KINDS), F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op7_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.with_fold(toxicity.scores(docs, model)).select("doc_id", "held_out", "score", "predicted")

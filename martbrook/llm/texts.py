@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -61,6 +62,19 @@ def map_texts(
     return docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def text_test(spark: SparkSession, make: Callable[[], Callable[[str], bool]]) -> Callable[[Column], Column]:
+    """A condition on whole texts for ``filter``: rows keep their columns and need no join."""
+    ship_package(spark)
+
+    @F.pandas_udf(T.BooleanType())
+    def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        step = make()
+        for texts in batches:
+            yield texts.map(step).astype(bool)
+
+    return test
+
+
 _shipped: set[str] = set()
 
 
