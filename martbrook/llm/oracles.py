@@ -44,3 +44,22 @@ SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM named
 """
+
+ORACLES["op10_ngram_jaccard"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_FOLDED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, pos, pos + 3), ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS pos FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY ALL) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = reach.a GROUP BY a
+"""

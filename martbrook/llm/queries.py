@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, secret_scan, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, secret_scan, toxicity, warc
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op7_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     return toxicity.with_fold(toxicity.scores(docs, model)).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op10_ngram_jaccard(spark, folder):
+    return jaccard.similar_documents(table(spark, folder, "documents"))
