@@ -11,16 +11,18 @@ before is taken back. A position that led nowhere is never entered again, so the
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .texts import ROWS, map_texts, ship_package
+from .texts import ROWS, named, output_schema, ship_package, whole_text
 
 #: Entries that a worker keeps of each memo: pieces of text, and pairs of tokens.
 PIECES, PAIRS = 300_000, 500_000
@@ -120,7 +122,7 @@ class Encoder:
 
     def piece_ids(self, piece: str) -> list[int]:
         """Ids of one match of the pattern."""
-        text = piece.encode("utf-8", "surrogatepass").decode("latin-1")
+        text = piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1")
         whole = self.id_of.get(text)
         if whole is not None:  # a token of its own is always kept whole by the rank files' library
             return [whole]
@@ -165,26 +167,28 @@ class Encoder:
             else:
                 raise ValueError("the vocabulary lacks a byte")
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        out: list[int] = []
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of a stretch of text, as 32-bit numbers one after the other."""
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isascii() and word.isalpha():  # one match of the pattern
+            return array("i", self.piece_ids(chunk)).tobytes()
+        parts, known = [], self.pieces.known
         for piece in self.pattern.findall(chunk):
-            out += self.piece_ids(piece)
-        return out
+            ids = known(piece)
+            parts.append(array("i", self.piece_ids(piece)).tobytes() if ids is None else ids)
+        return b"".join(parts)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text.
 
         The pattern never matches across a space that follows a sign or comes before one, other than
         as a match's first character; so the text is cut there, and what the pieces between give is
         kept. Texts with spaces inside longer white space are not cut.
         """
-        if _INNER.search(text):
-            return self.chunk_ids(text)
-        first, *rest = text.split(" ")
-        out = list(self.pieces[first]) if first else []
-        for ids in map(self.pieces.__getitem__, [" " + c for c in rest]):
-            out += ids
-        return out
+        if "\x00" in text or _INNER.search(text):
+            return np.frombuffer(self.chunk_ids(text), dtype=np.int32)
+        chunks = text.replace(" ", "\x00 ").split("\x00")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, chunks)), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -196,6 +200,10 @@ class _Memo(dict):
     def __init__(self, make: Callable, most: int):
         self.make, self.most, self.old = make, most, {}
 
+    def known(self, key):
+        value = self.get(key)
+        return self.old.get(key) if value is None else value
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
@@ -231,11 +239,22 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     looked at. An empty table gives no rows.
     """
 
-    def make():
-        encoder = vocabulary.encoder()
-        return lambda text: (encoder.encode(text),)
+    schema = output_schema(docs, id_col, "ids array<int>")
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, out = vocabulary.encoder(), to_arrow_schema(schema)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids = [encoder.encode(text) for text in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids), pa.int32()))
+                columns = [part.column(0).cast(out.field(0).type), lists.cast(out.field(1).type)]
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    return map_texts(docs, make, "ids array<int>", id_col, text_col)
+    texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    return texts.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -248,7 +267,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                texts = [encoder.decode(ids or ()) for ids in part.column(1).to_pylist()]
+                flat = part.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+                texts, first = [], 0
+                for n in part.column(1).value_lengths().to_pylist():
+                    texts.append(encoder.decode(flat[first:first + (n or 0)]))
+                    first += n or 0
                 columns = [part.column(k).cast(out.field(k).type) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], schema=out)
 
