@@ -1,29 +1,49 @@
-"""The training-data pipeline over documents."""
+"""The training-data pipeline over documents: what is toxic, repeated or leaked goes, the rest is encoded."""
 
 from __future__ import annotations
 
-from martbrook.llm import bpe, decontaminate
+from martbrook.llm import bpe, decontaminate, exact_dedup, jaccard, toxicity
 from martbrook.llm.queries import vocabulary
 from martbrook.llm.texts import table
 from martbrook.session import written
 
+#: The first stage is a trained classifier, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def decontamination(spark, docs, sf_dir):
+def without_toxic(spark, docs, sf_dir):
+    """Documents that the classifier, trained on the labelled ones, does not call toxic."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def without_copies(spark, docs, sf_dir):
+    """Of documents with equal texts the one with the largest id."""
+    return exact_dedup.deduplicated(docs)
+
+
+def without_near_copies(spark, docs, sf_dir):
+    """Of documents connected by near-duplicate links the one with the least id. Shingles are five
+    words, and a link takes a similarity of 0.8."""
+    return jaccard.one_of_each(docs, jaccard.Join(words=5, percent=80))
+
+
+def without_benchmark(spark, docs, sf_dir):
     """Documents without a passage of the benchmark."""
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-def token_ids(spark, docs, sf_dir):
-    """Token ids of every document, checked by decoding them."""
+def as_tokens(spark, docs, sf_dir):
+    """Token ids of every document, and digests of them and of what they decode to."""
     words = vocabulary(spark)
-    return bpe.token_digests(bpe.decode(bpe.encode(docs, words), words))
+    return bpe.token_digests(bpe.decode(bpe.encode(docs, words), words), "ids")
 
 
 STAGES = [
-    ("benchmark decontamination", decontamination),
-    ("byte-level BPE", token_ids),
+    ("toxicity", without_toxic),
+    ("exact dedup", without_copies),
+    ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("byte-level BPE", as_tokens),
 ]
 
 

@@ -278,9 +278,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, schema)
 
 
-def token_digests(decoded: DataFrame) -> DataFrame:
-    """Rows of :func:`decode` as numbers of tokens and digests of ids and bytes."""
+def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """Rows of :func:`decode` as numbers of tokens and digests of ids and bytes, and ``more`` columns."""
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)

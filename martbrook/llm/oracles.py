@@ -54,9 +54,9 @@ s AS (
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (
   SELECT a, b FROM (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
     GROUP BY ALL) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-  WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+  WHERE 100 * n_both >= 85 * (na.n + nb.n - n_both)),
 reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)

@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, secret_scan, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, secret_scan, token_files, toxicity, warc
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -73,6 +74,11 @@ def op7_toxicity(spark, folder):
     return toxicity.with_fold(toxicity.scores(docs, model)).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op9_token_files(spark, folder):
+    return token_files.id_checksums(table(spark, folder, "documents"), TOKENIZER)
+
+
 @query
 def op10_ngram_jaccard(spark, folder):
     return jaccard.similar_documents(table(spark, folder, "documents"))

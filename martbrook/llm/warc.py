@@ -299,7 +299,9 @@ def read_packages(packages: DataFrame, id_type: T.DataType) -> DataFrame:
                 if rows:
                     yield _batch(rows, out)
 
-    read = packages.select("package").repartition("package").mapInArrow(run, schema)
+    # A task for each package: these rows are too small for Spark to judge the work by their size.
+    each = packages.select("package").repartitionByRange(max(1, packages.count()), "package")
+    read = each.mapInArrow(run, schema)
     return read.select(F.col("page_id").cast(id_type).alias("page_id"), "payload_digest", "record_type",
                        F.col("refers_to").cast(id_type).alias("refers_to"), "payload")
 
