@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, secret_scan, token_files, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, quality, secret_scan, surrogates, token_files, toxicity, warc
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,14 @@ def op5_secret_scan(spark, folder):
         joined(F.col("spans")).alias("spans"))
 
 
+@query
+def op6_pii_surrogates(spark, folder):
+    """The key is part of this query so that its result can be told; use a secret one."""
+    found = surrogates.pseudonymised(table(spark, folder, "documents"), b"a key for tests only")
+    spans = F.transform("entities", lambda e: F.concat_ws(":", e["kind"], e["start"], e["end"], e["new_start"], e["new_end"]))
+    return found.select("doc_id", F.size("entities").cast("bigint").alias("n_entities"), F.concat_ws(",", spans).alias("spans"), "text")
+
+
 @query
 def op7_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
@@ -74,6 +82,13 @@ def op7_toxicity(spark, folder):
     return toxicity.with_fold(toxicity.scores(docs, model)).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op8_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.with_fold(quality.graded(docs, model)).select("doc_id", "held_out", "expected_grade", "tail", "selected")
+
+
 @query
 def op9_token_files(spark, folder):
     return token_files.id_checksums(table(spark, folder, "documents"), TOKENIZER)
