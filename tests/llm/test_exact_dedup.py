@@ -1,0 +1,80 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from cases import TEXTS, documents, plain
+from martbrook.llm import exact_dedup
+
+
+def folded(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[folded(text)].append(i)
+    return sorted(
+        (i, max(g), len(g), hashlib.sha256(text.encode()).hexdigest()) for text, g in groups.items() for i in g)
+
+
+def result(found):
+    return plain(found, "doc_id", "keep_id", "group_size", "digest")
+
+
+def test_awkward_texts(spark, tmp_path):
+    docs = documents(spark, folder=tmp_path)
+    found = exact_dedup.exact_groups(docs)
+    assert result(found) == brute(enumerate(TEXTS))
+    assert all(r.kept == (r.doc_id == r.keep_id) for r in found.collect())
+
+
+def test_state_goes_on_over_batches_and_restarts(spark, tmp_path):
+    texts = [f"text {n % 7}" for n in range(60)]
+    docs = documents(spark, texts, folder=tmp_path)
+    found = exact_dedup.exact_groups(docs, files_a_batch=1)
+    assert result(found) == brute(enumerate(texts))
+
+    folder = str(tmp_path / "job")
+    for part in range(3):  # arrivals come later, to the same state
+        some = docs.filter(F.col("doc_id") % 3 == part)
+        exact_dedup.arrivals(some, place=F.col("doc_id")).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema("digest string, doc_id bigint, place bigint").parquet(f"{folder}/in")
+        exact_dedup.run_state(stream, folder)
+    state = exact_dedup.groups(spark, folder, docs.schema["doc_id"].dataType)
+    assert plain(state.select("digest", "keep.doc_id", "group_size")) == sorted({(d, k, n) for _, k, n, d in brute(enumerate(texts))})
+
+
+def test_colliding_digests_are_told_apart_by_bytes(spark, tmp_path):
+    texts = [f"text {n % 9}" for n in range(40)] + [None, ""]
+    docs = documents(spark, texts, folder=tmp_path)
+    weak = lambda text: F.substring(F.sha2(text, 256), 1, 1)
+    found = exact_dedup.exact_groups(docs, digest=weak)
+    assert plain(found, "doc_id", "keep_id", "group_size") == sorted(r[:3] for r in brute(enumerate(texts)))
+    kept = exact_dedup.deduplicated(docs, digest=weak)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r[1] for r in brute(enumerate(texts))})
+
+
+def test_repeated_rows_and_null_ids(spark, tmp_path):
+    docs = documents(spark, ["a", "A", "a", "b", "b", "c"], [5, 5, None, None, None, 1], tmp_path)
+    found = exact_dedup.exact_groups(docs)
+    assert [r[1:] for r in plain(found, "doc_id", "keep_id", "group_size")] == [(None, 2), (None, 2), (5, 3), (1, 1), (5, 3), (5, 3)]
+    assert found.filter("kept").count() == 3
+    kept = exact_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert plain(kept.select("doc_id", F.lower("text"))) == [(None, "b"), (1, "c"), (5, "a")]
+
+
+def test_empty_table(spark, tmp_path):
+    docs = documents(spark, [], folder=tmp_path)
+    assert exact_dedup.exact_groups(docs).count() == 0
+    assert exact_dedup.deduplicated(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("copies", [400])
+def test_a_hot_text_reaches_its_state_combined(spark, tmp_path, copies):
+    docs = documents(spark, ["hot"] * copies + ["cold"], folder=tmp_path)
+    found = exact_dedup.exact_groups(docs)
+    assert found.filter("group_size = 400").count() == copies and found.filter("kept").count() == 2
