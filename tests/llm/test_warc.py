@@ -1,0 +1,119 @@
+import gzip
+import hashlib
+import io
+import struct
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from cases import LONG, plain
+from martbrook.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string"
+
+
+def reader(data):
+    return warc.RangeReader(lambda at, size: data[at:at + size], len(data))
+
+
+def zipped(members, comment=b"", **options):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", **options) as archive:
+        for name, data in members:
+            archive.writestr(zipfile.ZipInfo(name), data)
+        archive.comment = comment
+    return out.getvalue()
+
+
+def content(data, name):
+    read = reader(data)
+    at, size = read.span(name)
+    return data[at:at + size]
+
+
+def test_members_are_found_behind_a_comment():
+    data = zipped([("a", b"first"), ("dir/ü", b"second")], b"PK\x05\x06 is in the comment, too")
+    assert content(data, "a") == b"first" and content(data, "dir/ü") == b"second"
+    assert reader(zipped([])).members == {}
+
+
+def test_zip64_by_number_of_entries():
+    data = zipped([(str(n), b"%d" % n) for n in range(66_000)])
+    assert b"PK\x06\x06" in data
+    read = reader(data)
+    assert len(read.members) == 66_000 and content(data, "65999") == b"65999"
+
+
+def test_zip64_sizes_and_offsets_in_entries():
+    """An archive whose entry has all of its numbers in the ZIP64 field, as above 4 GB."""
+    name, body = b"big", b"stored bytes"
+    local = b"PK\x03\x04" + struct.pack("<HHHHHIIIHH", 45, 0, 0, 0, 0, 0, 0, 0, len(name), 4) + name + b"\x99\x00\x00\x00" + body
+    field = struct.pack("<HHQQQ", 1, 24, len(body), len(body), 0)
+    entry = (b"PK\x01\x02" + struct.pack("<HHHHHHIIIHHHHHII", 45, 45, 0, 0, 0, 0, 0, 2 ** 32 - 1, 2 ** 32 - 1, len(name), len(field), 0, 0, 0, 0, 2 ** 32 - 1)
+             + name + field)
+    end64 = b"PK\x06\x06" + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, 1, 1, len(entry), len(local))
+    place = b"PK\x06\x07" + struct.pack("<IQI", 0, len(local) + len(entry), 1)
+    end = b"PK\x05\x06" + struct.pack("<HHHHIIH", 0, 0, 2 ** 16 - 1, 2 ** 16 - 1, 2 ** 32 - 1, 2 ** 32 - 1, 0)
+    assert content(local + entry + end64 + place + end, "big") == body
+
+
+def test_compressed_members_are_not_listed_and_damage_is_noticed():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("packed", b"x" * 100, zipfile.ZIP_DEFLATED)
+        archive.writestr("stored", b"y", zipfile.ZIP_STORED)
+    assert list(reader(out.getvalue()).members) == ["stored"]
+    for bad in (b"", b"PK", out.getvalue()[:-1], b"PK\x05\x06" * 10):
+        with pytest.raises(ValueError):
+            reader(bad)
+
+
+def test_record_round_trip():
+    payload = "é\r\n\r\nWARC/1.1\r\n\r\n".encode()
+    fields, body = warc.parse_record(warc.warc_record("7", "http://a b/\r\nWARC-Type: x", payload, None, False))
+    assert body == payload and fields["warc-type"] == "response"
+    assert fields["warc-payload-digest"] == "sha1:" + hashlib.sha1(payload).hexdigest()
+    fields, body = warc.parse_record(warc.warc_record("7", "u", payload, "9", True))
+    assert body == b"" and fields["warc-refers-to"] == warc.record_id("9")
+
+
+def brute(rows):
+    data = [(i, (h or "").encode()) for i, _, h in rows]
+    out = []
+    for i, payload in data:
+        same = [j for j, p in data if p == payload and j is not None]
+        first = max(same) if len(payload) >= 1000 and same and sum(p == payload for _, p in data) > 1 else i
+        out.append((i, len(payload), hashlib.sha1(payload).hexdigest(), "response" if i == first else "revisit", None if i == first else first))
+    return sorted(out, key=str)
+
+
+def test_awkward_pages(spark, tmp_path):
+    big, wide = "b" * 1000, "é" * 500
+    rows = [(1, "http://x/", None), (2, None, ""), (3, "http://y/\n", "small"), (4, "u", "small"), (5, "u", big), (6, "u", big), (7, "u", big),
+            (8, "u", "b" * 999), (9, "u", "b" * 999), (10, "u", wide), (11, "u", wide), (None, "u", big), (None, "u", "alone" * 300),
+            (12, "u", LONG), (13, "u", LONG), (13, "u", LONG), (14, "u", "\x00\r\n\r\n" * 400)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit(n) for n in ("page", "digest", "refers_to", "payload", "size", "again")})
+    frame.repartition(3).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    found = warc.archived(pages)
+    assert sorted(plain(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), key=str) == brute(rows)
+
+    folder = str(tmp_path / "packages")
+    packages = warc.write_packages(pages, folder, package_bytes=2000)
+    assert packages.count() > 3  # tasks begin another package when one is full
+    texts = {(r.page_id, bytes(r.payload)) for r in warc.read_packages(packages, pages.schema["page_id"].dataType).collect() if r.payload is not None}
+    assert {(i, (h or "").encode()) for i, _, h in rows if (i, h) not in [(5, big), (6, big), (None, big), (10, wide), (12, LONG)]} == texts
+
+
+def test_empty_table(spark):
+    assert warc.archived(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_damaged_payload_is_noticed(spark, tmp_path):
+    record = warc.warc_record("1", "u", b"text", None, False).replace(b"\r\n\r\ntext", b"\r\n\r\ntexT")
+    packed = gzip.compress(record)
+    path = str(tmp_path / "bad.zip")
+    open(path, "wb").write(zipped([(warc.DATA, packed), (warc.INDEX, b'["1", 0, %d, "response", null]' % len(packed))]))
+    with pytest.raises(Exception, match="damaged"):
+        warc.read_packages(spark.createDataFrame([(path,)], "package string"), spark.createDataFrame([], SCHEMA).schema["page_id"].dataType).count()
