@@ -48,9 +48,11 @@ def processing_millis() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def today() -> int:
-    """Today as ``yyyymmdd``, the default day of the dashboard."""
-    return int(dt.date.today().strftime("%Y%m%d"))
+def day_text(day: int, later: int = 0) -> Column:
+    """``yyyymmdd`` as ``yyyy-MM-dd``, or some days later; 0 means today in the session time zone."""
+    if day == 0:
+        return F.date_format(F.date_add(F.current_date(), later), "yyyy-MM-dd")
+    return F.lit(str(dt.datetime.strptime(str(day), "%Y%m%d").date() + dt.timedelta(days=later)))
 
 
 def on_day(column: Column, day: int) -> Column:
@@ -58,9 +60,8 @@ def on_day(column: Column, day: int) -> Column:
 
     A plain range on the stored text, so that it reaches the scan and prunes row groups.
     """
-    first = dt.datetime.strptime(str(day or today()), "%Y%m%d").date()
-    after = first + dt.timedelta(days=1)
-    return (column >= f"{first} 00:00:00") & (column < f"{after} 00:00:00")
+    midnight = F.lit(" 00:00:00")
+    return (column >= F.concat(day_text(day), midnight)) & (column < F.concat(day_text(day, 1), midnight))
 
 
 def age_years(birthday: Column, as_of: str | Column) -> Column:

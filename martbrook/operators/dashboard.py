@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.rates import bounce_rate, pages_per_session, seconds_per_session
-from ..functions.times import hour_label, on_day
+from ..functions.times import day_text, hour_label, on_day
 
 # The weight of a keyword by where it came from.
 SOURCE_WEIGHTS = {"SEARCH": 10, "ORDER": 5, "CART": 2, "CLICK": 1}
@@ -19,7 +19,11 @@ VISITOR_SUMS = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 
 
 def _on(stats: DataFrame, day: int | None) -> DataFrame:
-    return stats if day is None else stats.filter(on_day(F.col("stt"), day))
+    """The rows of a day; of a stored table, whose folders are days, only that folder is read."""
+    if day is None:
+        return stats
+    found = stats.filter(on_day(F.col("stt"), day))
+    return found.filter(F.col("dt") == day_text(day)) if "dt" in stats.columns else found
 
 
 def _sum(name: str) -> Column:

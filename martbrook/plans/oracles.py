@@ -223,7 +223,11 @@ def _top(keys: str, extra: str = "") -> str:
         GROUP BY {keys} HAVING sum(order_amount) > 0 ORDER BY sum(order_amount) DESC, {keys} LIMIT 5"""
 
 
-def _pivot() -> str:
+DAY_NO = 19725  # 2024-01-03, in days since 1970
+OF_DAY = f" WHERE hour_no // 24 = {DAY_NO}"
+
+
+def _pivot(which: str = "") -> str:
     def row(name: str, value: str) -> str:
         def of(flag: str) -> str:
             return f"coalesce((SELECT CAST({value} AS DOUBLE) FROM totals WHERE is_new = '{flag}'), 0.0)"
@@ -236,8 +240,8 @@ def _pivot() -> str:
         row("visitors", "uv"), row("page_views", "pv"), row("bounce_rate", half_up.format(10000, "uj", "100.0")),
         row("seconds_per_session", tenths), row("pages_per_session", half_up.format(100, "pv", "100.0")),
     ]
-    totals = """(SELECT is_new, sum(uv_ct) AS uv, sum(pv_ct) AS pv, sum(sv_ct) AS sv, sum(uj_ct) AS uj,
-        sum(dur_sum) AS dur FROM visitor_stats GROUP BY is_new)"""
+    totals = f"""(SELECT is_new, sum(uv_ct) AS uv, sum(pv_ct) AS pv, sum(sv_ct) AS sv, sum(uj_ct) AS uj,
+        sum(dur_sum) AS dur FROM visitor_stats{which} GROUP BY is_new)"""
     return "\nUNION ALL ".join(rows).replace("FROM totals", f"FROM {totals}")
 
 
@@ -334,3 +338,23 @@ ORACLES = {
         UNION ALL SELECT sink_table, id, CASE WHEN op_type = 'insert' THEN name || '/' || segment ELSE segment END
                   FROM routed WHERE outcome = 'dim'"""),
 }
+
+# One day of a stored table.
+ORACLES |= {
+    "gmv_of_day": _sql(f"""SELECT 20240103 AS day, CAST(coalesce(sum(order_amount), 0) AS DOUBLE) AS order_amount
+        FROM sales{OF_DAY} UNION ALL SELECT 20230101, 0.0"""),
+    "gmv_top_brand_of_day": _sql(_top("tm_id, tm_name").replace("FROM sales", f"FROM sales{OF_DAY}")),
+    "gmv_top_category_of_day": _sql(_top("category3_id, category3_name").replace("FROM sales", f"FROM sales{OF_DAY}")),
+    "gmv_top_spu_of_day": _sql(_top("spu_id, spu_name", ", CAST(sum(order_ct) AS BIGINT) AS order_ct").replace(
+        "FROM sales", f"FROM sales{OF_DAY}")),
+    "province_amount_of_day": _sql(f"""SELECT province_id, n_name AS province_name,
+        CAST(sum(split_total_amount) AS DOUBLE) AS order_amount FROM wide {PROVINCE_JOIN}
+        WHERE create_ts // 86400000 = {DAY_NO} GROUP BY ALL"""),
+    "visitor_totals_of_day": ORACLES["visitor_totals"].replace(
+        "FROM visitor_stats GROUP BY is_new", f"FROM visitor_stats{OF_DAY} GROUP BY is_new"),
+    "visitor_new_vs_old_of_day": _sql(_pivot(OF_DAY)),
+    "visitor_by_hour_of_day": ORACLES["visitor_by_hour"].replace(
+        "hour_no % 24 = h", f"hour_no % 24 = h AND hour_no // 24 = {DAY_NO}"),
+    "keyword_score_of_day": _sql(f"""SELECT keyword, CAST(10 * sum(ct) AS BIGINT) AS ct FROM keyword_stats{OF_DAY}
+        GROUP BY keyword ORDER BY sum(ct) DESC, keyword LIMIT 20"""),
+}

@@ -14,7 +14,7 @@ from ..functions.tokens import tokens
 from ..operators import applog, changes, dashboard, keywords, products, provinces, visitors, wide
 from ..session import streaming_session, work_dir
 from ..sources import given, topics
-from ..sources.results import read_result
+from ..sources.results import append_batch, read_result, result_rows
 from ..streaming import changes as change_jobs, logs as log_jobs, orders as order_jobs
 from ..streaming.runtime import drain
 from .warehouse import AS_OF, BOUNCE_MS, ORDER, WINDOW, Warehouse
@@ -290,6 +290,67 @@ def visitor_by_hour(spark, folder):
     return dashboard.visitors_by_hour(Warehouse(spark, folder).visitor_stats)
 
 
+# --- dashboard, one day of a stored table ------------------------------------------------
+DAY, EMPTY_DAY = 20240103, 20230101
+
+
+def stored(spark: SparkSession, stats: DataFrame, name: str) -> DataFrame:
+    """Statistics as the jobs leave them: written in a folder for each day, and read back."""
+    out = work_dir(spark, name)
+    append_batch(result_rows(stats, [*stats.columns, "ts"]), out, 0, day_from="stt")
+    return read_result(spark, out).drop("ts")
+
+
+@query
+def gmv_of_day(spark, folder):
+    sales = stored(spark, Warehouse(spark, folder).sales_sums, "product_stats")
+    return _doubles(dashboard.gmv(sales, DAY).withColumn("day", F.lit(DAY)).unionByName(
+        dashboard.gmv(sales, EMPTY_DAY).withColumn("day", F.lit(EMPTY_DAY))))
+
+
+@query
+def gmv_top_brand_of_day(spark, folder):
+    return _doubles(dashboard.gmv_by_brand(stored(spark, Warehouse(spark, folder).sales_sums, "product_stats"), day=DAY))
+
+
+@query
+def gmv_top_category_of_day(spark, folder):
+    return _doubles(dashboard.gmv_by_category(stored(spark, Warehouse(spark, folder).sales_sums, "product_stats"), day=DAY))
+
+
+@query
+def gmv_top_spu_of_day(spark, folder):
+    return _doubles(dashboard.gmv_by_spu(stored(spark, Warehouse(spark, folder).sales_stats, "product_stats"), day=DAY))
+
+
+@query
+def province_amount_of_day(spark, folder):
+    stats = stored(spark, _province_stats(Warehouse(spark, folder)), "province_stats")
+    return _doubles(dashboard.amount_by_province(stats, DAY))
+
+
+@query
+def visitor_totals_of_day(spark, folder):
+    return dashboard.visitor_totals(stored(spark, Warehouse(spark, folder).visitor_stats, "visitor_stats"), DAY)
+
+
+@query
+def visitor_new_vs_old_of_day(spark, folder):
+    return _doubles(dashboard.new_versus_returning(stored(spark, Warehouse(spark, folder).visitor_stats, "visitor_stats"), DAY))
+
+
+@query
+def visitor_by_hour_of_day(spark, folder):
+    return dashboard.visitors_by_hour(stored(spark, Warehouse(spark, folder).visitor_stats, "visitor_stats"), DAY)
+
+
+@query
+def keyword_score_of_day(spark, folder):
+    pages = applog.page_logs(Warehouse(spark, folder).searched_logs)
+    stats = keywords.keyword_stats(keywords.keywords(keywords.searches(pages)), WINDOW)
+    return dashboard.keyword_ranking(stored(spark, stats, "keyword_stats"), n=20, day=DAY, descending=True)
+
+
 def _document_keywords(spark, folder) -> DataFrame:
     """Keyword counts of all documents, each document standing for one kind of source."""
     source = F.element_at(F.array(*map(F.lit, ("SEARCH", "ORDER", "CART", "CLICK", "OTHER"))),

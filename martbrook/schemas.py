@@ -19,7 +19,7 @@ PAGE = _struct(page_id=S, last_page_id=S, item=S, during_time=L)
 DISPLAY = _struct(item=S, item_type=S)
 APP_LOG = _struct(common=COMMON, page=PAGE, start=TEXT_MAP, displays=T.ArrayType(DISPLAY), ts=L)
 
-CHANGE_ENVELOPE = _struct(source=_struct(db=S, table=S), op=S, after=TEXT_MAP)
+CHANGE_ENVELOPE = _struct(source=_struct(db=S, table=S), op=S, before=TEXT_MAP, after=TEXT_MAP)
 CHANGE = _struct(database=S, table=S, type=S, data=TEXT_MAP)
 ROUTING = _struct(
     source_table=S, operate_type=S, sink_type=S, sink_table=S, sink_columns=S, sink_pk=S, sink_extend=S

@@ -18,24 +18,26 @@ def result_rows(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
 def append_batch(rows: DataFrame, folder: str, batch: int, day_from: str | None = None) -> None:
     """Write one batch of a stream into its own sub-folder, so that a retry replaces it.
 
-    ``day_from`` names a time text; rows are then partitioned by its day, and readers of one
-    day open only that day's files.
+    ``day_from`` names a time text; rows then go to a folder for its day, and the batch's folder is
+    inside that, so readers of one day list and open only that day's files.
     """
-    target = f"{folder}/batch={batch}"
     if day_from is None:
-        rows.write.mode("overwrite").parquet(target)
-    else:
-        rows.withColumn("dt", F.substring(day_from, 1, 10)).write.mode("overwrite").partitionBy("dt").parquet(target)
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+        return
+    placed = rows.withColumns({"dt": F.substring(day_from, 1, 10), "batch": F.lit(batch)})
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(folder)
 
 
-def append_jdbc(rows: DataFrame, url: str, table: str, batch_rows: int = 10, **options: str) -> None:
+def append_jdbc(rows: DataFrame, url: str, table: str, batch_rows: int = 10_000, **options: str) -> None:
     """Append to a database table by column name, in batches of ``batch_rows`` statements."""
     rows.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_rows, **options).mode("append").save()
 
 
 def read_result(spark: SparkSession, folder: str, view: str | None = None) -> DataFrame:
-    """All batches of a result table, optionally registered as a view."""
-    rows = spark.read.parquet(folder).drop("batch")
+    """All batches of a result table, optionally registered as a view. ``dt`` stays text."""
+    rows = spark.read.option("inferTimestamp", "false").parquet(folder).drop("batch")
+    if "dt" in rows.columns:
+        rows = rows.withColumn("dt", F.col("dt").cast("string"))
     if view:
         rows.createOrReplaceTempView(view)
     return rows

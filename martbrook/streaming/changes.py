@@ -2,73 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.changes import TO_DIMENSION, clean_changes, route_changes, upsert_dimension
+from ..operators.changes import (
+    CELLS, clean_changes, create_dimension_tables, dimension_cells, dimension_rows, keyless, latest_config,
+    newest_cells, route_changes,
+)
 from ..sources.results import append_batch
 from .runtime import read_if_there
 
-MOST_TABLES = 10_000
+def read_cells(spark: SparkSession, out: str, table: str) -> DataFrame | None:
+    """All cells that were written for a dimension table; other tables' files are not listed."""
+    cells = T.StructType.fromDDL(CELLS)
+    schema = T.StructType([*(f for f in cells if f.name != "sink_table"), T.StructField("batch", T.LongType())])
+    found = read_if_there(spark, f"{out}/dim/sink_table={table}", schema)
+    return None if found is None else found.drop("batch").withColumn("sink_table", F.lit(table))
 
 
-def dimension_layout(config: DataFrame) -> dict[str, tuple[str, list[str]]]:
-    """Per dimension table, its key and the columns any rule keeps."""
-    rules = (
-        config.filter(F.col("sink_type") == TO_DIMENSION)
-        .select("sink_table", F.coalesce("sink_pk", F.lit("id")).alias("key"),
-                F.explode(F.split("sink_columns", ",")).alias("column"))
-        .groupBy("sink_table").agg(F.first("key").alias("key"), F.sort_array(F.collect_set("column")).alias("columns"))
-        .limit(MOST_TABLES + 1).collect()
-    )
-    if len(rules) > MOST_TABLES:
-        raise ValueError(f"the routing configuration names more than {MOST_TABLES} dimension tables")
-    return {rule["sink_table"]: (rule["key"], rule["columns"]) for rule in rules}
-
+def read_dimension(spark: SparkSession, out: str, table: str, key: str, columns: Sequence[str],
+                   apply_deletes: bool = False) -> DataFrame | None:
+    """A dimension as it is now."""
+    cells = read_cells(spark, out, table)
+    return None if cells is None else dimension_rows(cells, key, columns, apply_deletes)
 
-def _text_schema(key: str, columns: list[str]) -> T.StructType:
-    names = [key, *(name for name in columns if name != key)]
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
-
-def read_dimension(spark: SparkSession, out: str, table: str, key: str, columns: list[str],
-                   before: int | None = None) -> DataFrame | None:
-    """The newest snapshot of a dimension, optionally of batches earlier than ``before``."""
-    schema = _text_schema(key, columns)
-    versions = read_if_there(spark, f"{out}/dim/{table}", T.StructType([*schema, T.StructField("batch", T.IntegerType())]))
-    if versions is None:
-        return None
-    if before is not None:
-        versions = versions.filter(F.col("batch") < before)
-    newest = versions.agg(F.max("batch")).first()[0]
-    return None if newest is None else versions.filter(F.col("batch") == newest).drop("batch")
+def compact_dimension(spark: SparkSession, out: str, table: str, into: str) -> None:
+    """Write the newest cells of a table to another folder, laid out alike; for whoever runs the job to
+    put in the place of the many small ones while it does not run."""
+    cells = read_cells(spark, out, table)
+    if cells is not None:
+        newest_cells(cells).withColumn("batch", F.lit(-1).cast("bigint")).write.mode("overwrite").partitionBy(
+            "sink_table", "batch").parquet(f"{into}/dim")
 
 
 def route_job(changes: DataFrame, out: str, config: Callable[[SparkSession], DataFrame], order: str = "seq",
-              match: str = "exact", apply_deletes: bool = False) -> DataStreamWriter:
-    """Flat change events to fact files (one folder per target), dimension snapshots, and a
-    folder of events without a rule. ``config`` is read again for every batch."""
+              match: str = "exact", config_order: str = "seq", create_tables: bool = False) -> DataStreamWriter:
+    """Flat change events to fact files (one folder per target), dimension cells, and folders of events
+    without a rule and of dimension rows without a key.
+
+    ``config`` is read again for every batch. It may be a history, ordered by ``config_order``; the newest
+    entry of each table and operation counts. A batch writes the cells that it changes, to a folder
+    of its own in each dimension's folder, all in one job: its cost follows the batch, not the
+    dimensions. Dimensions are put together when read (:func:`read_dimension`). A repeated batch replaces
+    what it wrote.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rules = config(spark)
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        routed = route_changes(clean_changes(batch), rules, match)
-        routed.facts.write.mode("overwrite").partitionBy("sink_table").parquet(f"{out}/facts/batch={number}")
-        append_batch(routed.unrouted, f"{out}/unrouted", number)
-        dims = routed.dims.persist(StorageLevel.MEMORY_AND_DISK)
-        for table, (key, columns) in dimension_layout(rules).items():
-            mine = dims.filter(F.col("sink_table") == table)
-            if mine.isEmpty():
-                continue
-            old = read_dimension(spark, out, table, key, columns, before=number)
-            snapshot = upsert_dimension(mine, columns, order, key, old, apply_deletes)
-            append_batch(snapshot, f"{out}/dim/{table}", number)
-        dims.unpersist()
-        batch.unpersist()
+        if config_order in rules.columns:
+            rules = latest_config(rules, config_order)
+        if create_tables:
+            create_dimension_tables(spark, rules)
+        routed = route_changes(clean_changes(batch.persist(StorageLevel.MEMORY_AND_DISK)), rules, match)
+        try:
+            routed.facts.write.mode("overwrite").partitionBy("sink_table").parquet(f"{out}/facts/batch={number}")
+            append_batch(routed.unrouted, f"{out}/unrouted", number)
+            append_batch(keyless(routed.dims).drop("sink_pk"), f"{out}/keyless", number)
+            cells = dimension_cells(routed.dims, order).withColumn("batch", F.lit(number).cast("bigint"))
+            cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "sink_table", "batch").parquet(f"{out}/dim")
+        finally:
+            batch.unpersist()
 
     return (
         changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/route")

@@ -1,6 +1,9 @@
+import functools
 import json
+import random
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from martbrook import schemas
 from martbrook.operators import changes
@@ -46,10 +49,55 @@ def test_routing(spark):
     assert [(r.sink_table, r.type, r.data) for r in routed.facts.collect()] == [("dwd_orders", "insert", {"user_id": "2"})]
     assert [(r.sink_table, r.data) for r in routed.dims.collect()] == [("dim_users", {"id": "3"})]
     assert values(routed.unrouted, "table", "type") == [("odd", "insert"), ("orders", "delete")]
+    assert values(routed.dims, "key") == [("id",)]
     loose = changes.route_changes(rows, config, match="substring").facts.first().data
     assert loose == {"id": "1", "user_id": "2"}
 
 
+def test_key_is_kept_and_is_one_for_a_table(spark):
+    config = table(spark, schemas.ROUTING,
+                   rule("u", "insert", "hbase", "dim_users", "name,user_id"), rule("u", "update", "hbase", "dim_users", "name", "uid"),
+                   rule("v", "insert", "hbase", "dim_other", "name,user_id"))
+    rows = table(spark, schemas.CHANGE, change("u", "insert", uid="1", name="a", x="b"), change("u", "update", uid="1", name="c"),
+                 change("v", "insert", id="7", user_id="2", x="y"), change("v", "insert", name="without"))
+    dims = changes.route_changes(rows, config).dims
+    assert sorted((r.sink_table, r.key, sorted(r.data.items())) for r in dims.collect()) == [
+        ("dim_other", "id", [("id", "7"), ("user_id", "2")]), ("dim_other", "id", [("name", "without")]),
+        ("dim_users", "uid", [("name", "a"), ("uid", "1")]), ("dim_users", "uid", [("name", "c"), ("uid", "1")])]
+    assert changes.keyless(dims).count() == 1
+    wrong = table(spark, schemas.ROUTING, rule("u", "insert", "hbase", "d", "a", "a"), rule("u", "update", "hbase", "d", "b", "b"))
+    with pytest.raises(Exception, match="rules name two keys for d"):
+        changes.table_keys(wrong).collect()
+
+
+def test_deletes_from_envelopes(spark):
+    source = {"db": "d", "table": "t"}
+    raw = envelopes(spark, {"source": source, "op": "c", "after": {"id": 1, "a": "x"}},
+                    {"source": source, "op": "d", "before": {"id": 1, "a": "x"}, "after": None})
+    assert changes.clean_changes(changes.flatten_envelopes(raw)).count() == 1
+    flat = changes.clean_changes(changes.flatten_envelopes(raw, deletes=True))
+    config = table(spark, schemas.ROUTING, *(rule("t", op, "hbase", "dim_t", "a") for op in ("insert", "delete")))
+    cells = changes.dimension_cells(changes.route_changes(flat, config).dims, "seq")
+    assert changes.dimension_rows(cells, "id", ["id", "a"]).collect() == [("1", "x")]
+    assert changes.dimension_rows(cells, "id", ["id", "a"], apply_deletes=True).collect() == []
+
+
+def test_cells_are_the_upsert(spark):
+    """A dimension put together from the cells of many batches is the one that upserting gives."""
+    pick = random.Random(2)
+    rows = [(pick.choice(["insert", "update", "update", "delete"]), n, {"id": str(pick.randint(0, 5)), **{
+        c: str(n) for c in "ab" if pick.random() < 0.5}}) for n in range(60)]
+    whole = spark.createDataFrame(rows, "type string, seq long, data map<string,string>").withColumns(
+        {"sink_table": F.lit("t"), "key": F.lit("id")})
+    batches = [changes.dimension_cells(whole.filter((F.col("seq") / 7).cast("int") == n), "seq") for n in range(9)]
+    cells = functools.reduce(DataFrame.unionByName, batches)
+    for deletes in (False, True):
+        upserted = changes.upsert_dimension(whole, ["id", "a", "b"], "seq", apply_deletes=deletes)
+        found = changes.dimension_rows(cells, "id", ["id", "a", "b"], deletes)
+        want = values(upserted if deletes else changes.upsert_dimension(whole.filter("type != 'delete'"), ["id", "a", "b"], "seq"), "id", "a", "b")
+        assert values(found, "id", "a", "b") == want
+
+
 def test_latest_config_ignores_entries_without_key(spark):
     schema = schemas.ROUTING.fieldNames()
     history = table(spark, schemas.ROUTING, rule("a", "insert", "kafka", "old", "x"), rule("a", "insert", "hbase", "new", "y"),

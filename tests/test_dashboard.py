@@ -1,10 +1,14 @@
+import os
+import re
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
 from martbrook.functions import rates, times
+from martbrook.functions.times import day_text
 from martbrook.functions.tokens import tokens
 from martbrook.operators import dashboard, keywords
+from martbrook.sources.results import append_batch, read_result
 from rows import log, logs, values
 
 VISITORS = "stt string, is_new string, uv_ct long, pv_ct long, sv_ct long, uj_ct long, dur_sum long"
@@ -66,6 +70,30 @@ def test_day_filter_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(stt,2024-01-01 00:00:00)" in plan and "LessThan(stt,2024-01-02 00:00:00)" in plan
 
 
+def test_a_stored_day_is_one_folder(spark, tmp_path):
+    out = f"{tmp_path}/stats"
+    for batch in (0, 1, 1):  # the last one again
+        append_batch(sales(spark), out, batch, day_from="stt")
+    rows = read_result(spark, out)
+    frame = dashboard.gmv(rows, 20240101)
+    assert frame.first()[0] == 2 * D(19) and dashboard.gmv(rows, 20300101).first()[0] == D(0)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*dt#\d+[^]]*2024-01-01", plan)
+    assert sorted(os.listdir(out))[-2:] == ["dt=2024-01-01", "dt=2024-01-02"]
+
+
+def test_the_default_day_is_that_of_the_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        days = set()
+        for other in ("Pacific/Kiritimati", "Etc/GMT+12"):  # 26 hours apart
+            spark.conf.set("spark.sql.session.timeZone", other)
+            days.add(spark.range(1).select(day_text(0)).first()[0])
+        assert len(days) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_keyword_scores(spark):
     stats = spark.createDataFrame(
         [("pen", "SEARCH", 1), ("pen", "CLICK", 3), ("ink", "OTHER", 1), ("cup", "CART", 2), ("cup", "ORDER", 1)],
