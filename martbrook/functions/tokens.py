@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 import pandas as pd
@@ -10,6 +11,10 @@ from pyspark.sql import Column, SparkSession, functions as F
 WORD = r"[\p{L}\p{N}]+"
 
 
+#: Dictionaries of at most so many words become a regular expression, which stays in the JVM.
+PATTERN_WORDS = 200
+
+
 def tokens(text: Column, dictionary: Iterable[str] | None = None) -> Column:
     """The keywords of a text as an array.
 
@@ -17,18 +22,32 @@ def tokens(text: Column, dictionary: Iterable[str] | None = None) -> Column:
     With one: the longest dictionary word at each position, as for text written without
     spaces; characters outside every word are grouped into runs as above.
     """
-    runs = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    if dictionary is None:
-        return runs
-    words = frozenset(word.lower() for word in dictionary)
-    longest = max(map(len, words), default=1)
+    words = None if dictionary is None else frozenset(word.lower() for word in dictionary if word)
+    if words is None or len(words) <= PATTERN_WORDS:
+        return F.regexp_extract_all(F.lower(text), F.lit(word_pattern(words)), F.lit(0))
+    return _splitter(words)(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+
+
+def word_pattern(words: Iterable[str] | None = None) -> str:
+    """A pattern that matches one keyword after the other; the longest word wins, being tried first."""
+    known = sorted((w for w in words or () if re.fullmatch(r"[^\W_]+", w)), key=lambda w: (-len(w), w))
+    if not known:
+        return WORD
+    either = "|".join(known)
+    return rf"(?:{either})|(?:(?!{either})[\p{{L}}\p{{N}}])+"
+
+
+def _splitter(words: frozenset[str]):
+    """Cuts runs at the words of a large dictionary, which every worker is sent once."""
+    shared = SparkSession.active().sparkContext.broadcast((words, max(map(len, words), default=1)))
 
     @F.pandas_udf("array<string>")
     def split_runs(batch: pd.Series) -> pd.Series:
+        known, longest = shared.value
         return batch.map(lambda found: None if found is None else [
-            word for run in found for word in longest_match(run, words, longest)])
+            word for run in found for word in longest_match(run, known, longest)])
 
-    return split_runs(runs)
+    return split_runs
 
 
 def longest_match(run: str, words: frozenset[str], longest: int) -> list[str]:
@@ -48,9 +67,13 @@ def longest_match(run: str, words: frozenset[str], longest: int) -> list[str]:
     return out
 
 
-def register_keyword_function(spark: SparkSession, name: str = "ik_analyze") -> None:
-    """``SELECT ... FROM t, LATERAL name(text) AS k(word)``; Catalyst inlines the body."""
+def register_keyword_function(spark: SparkSession, name: str = "ik_analyze", dictionary: Iterable[str] | None = None) -> None:
+    """``SELECT ... FROM t, LATERAL name(text) AS k(word)``; Catalyst inlines the body. A dictionary is
+    limited to what one pattern takes."""
+    words = [] if dictionary is None else sorted({word.lower() for word in dictionary if word})
+    if len(words) > PATTERN_WORDS:
+        raise ValueError(f"the SQL function takes at most {PATTERN_WORDS} words; use tokens() for more")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING) "
-        f"RETURN SELECT explode(regexp_extract_all(lower(text), r'{WORD}', 0))"
+        f"RETURN SELECT explode(regexp_extract_all(lower(text), r'{word_pattern(words)}', 0))"
     )

@@ -34,9 +34,9 @@ def keyword_stats(words: DataFrame, window: str = "10 seconds", delay: str = "3
 
 
 def keyword_stats_sql(spark: SparkSession, pages: DataFrame, window: str = "10 seconds",
-                      delay: str = "3 seconds") -> DataFrame:
+                      delay: str = "3 seconds", dictionary: Iterable[str] | None = None) -> DataFrame:
     """The same job as chained SQL over a view, batch or streaming."""
-    register_keyword_function(spark)
+    register_keyword_function(spark, dictionary=dictionary)
     pages.select(
         F.struct(F.col("page.page_id"), F.col("page.item")).alias("page"),
         event_time_seconds(F.col("ts")).alias("order_time"),

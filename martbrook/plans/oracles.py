@@ -42,7 +42,7 @@ VIEWS = {
         UNION ALL
         SELECT CAST(k + 1 AS VARCHAR), 'activity_id', ms, page_id FROM page_log WHERE event_type = 'view'""",
     "order_info": """
-        SELECT o_orderkey AS id, o_custkey % 25 AS province_id, o_orderstatus AS order_status, o_custkey AS user_id,
+        SELECT o_orderkey AS id, o_custkey % 26 AS province_id, o_orderstatus AS order_status, o_custkey AS user_id,
                CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount,
                epoch_ms(TIMESTAMP '2024-01-01') + (o_orderkey * 7919) % 2592000 * 1000 AS create_ts
         FROM orders""",
@@ -125,14 +125,16 @@ VIEWS = {
                CAST(n_regionkey AS VARCHAR) AS area_code, 'N' || n_nationkey AS iso_code,
                'X-' || n_nationkey AS iso_3166_2, count(DISTINCT order_id) AS order_count,
                CAST(sum(split_total_amount) AS DOUBLE) AS order_amount
-        FROM wide w LEFT JOIN nation ON w.province_id = n_nationkey AND n_nationkey <> 24 GROUP BY ALL""",
+        FROM wide w LEFT JOIN nation ON w.province_id = n_nationkey GROUP BY ALL""",
     "keyword_stats": """
         SELECT {stt_hour} AS stt, {edt_hour} AS edt, ms // 3600000 AS hour_no, keyword, count(*) AS ct,
                'SEARCH' AS source
         FROM (SELECT ms, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS keyword
-              FROM page_log JOIN documents ON doc_id = seq % (SELECT max(doc_id) + 1 FROM documents)
-              WHERE event_type = 'view')
+              FROM search)
         GROUP BY ms // 3600000, keyword""",
+    "search": """
+        SELECT doc_id AS seq, text, epoch_ms(TIMESTAMP '2024-01-01') + (doc_id * 7919) % 2592000 * 1000 AS ms
+        FROM documents""",
     "keyword_source": """
         SELECT keyword, CAST(sum(weight) AS BIGINT) AS ct, count(*) AS raw
         FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS keyword,
@@ -205,7 +207,7 @@ PAID = f"""SELECT payment_id, order_id, detail_id, sku_id, user_id, payment_type
     {AT.format('order_ts')} AS order_create_time, CAST(split_total_amount AS DOUBLE) AS split_total_amount,
     CAST(total_amount AS DOUBLE) AS total_amount FROM paid"""
 AGE = "CAST(floor(date_diff('day', DATE '1960-01-01' + CAST(c_custkey % 15000 AS INTEGER), DATE '2024-01-01') / 365) AS INTEGER)"
-PROVINCE_JOIN = "LEFT JOIN nation ON province_id = n_nationkey AND n_nationkey <> 24"
+PROVINCE_JOIN = "LEFT JOIN nation ON province_id = n_nationkey"
 VISIT = f"SELECT seq, mid, {AT.format('ms')} AS at FROM "
 VISITOR = "SELECT stt, edt, vc, ch, ar, is_new, uv_ct, pv_ct, sv_ct, uj_ct, dur_sum FROM visitor_stats"
 PROVINCE = """SELECT stt, edt, province_id, province_name, area_code, iso_code, iso_3166_2, order_count, order_amount
@@ -327,7 +329,7 @@ ORACLES = {
     "stream_bounce": _sql(VISIT + "closed_bounce"),
     "stream_visitor_stats": _sql(VISITOR + _closed("max(ms) FROM visitor_metric"), "closed_bounce"),
     "stream_keyword_stats": _sql(KEYWORD + _closed(
-        "max(ms // 1000 * 1000) FROM page_log WHERE event_type = 'view'")),
+        "max(ms) FROM search")),
     "stream_order_wide": _sql(f"""SELECT {WIDE}, {AGE} AS user_age, n_name AS province_name, tm_name
         FROM wide LEFT JOIN customer ON user_id = c_custkey {PROVINCE_JOIN} LEFT JOIN products ON sku_id = sku"""),
     "stream_payment_wide": _sql(PAID),
@@ -355,6 +357,13 @@ ORACLES |= {
     "visitor_new_vs_old_of_day": _sql(_pivot(OF_DAY)),
     "visitor_by_hour_of_day": ORACLES["visitor_by_hour"].replace(
         "hour_no % 24 = h", f"hour_no % 24 = h AND hour_no // 24 = {DAY_NO}"),
+    "keyword_dictionary": """SELECT keyword, count(*) AS ct FROM (SELECT unnest(regexp_extract_all(regexp_replace(
+        lower(text), '(tion|then|ing|the|ent|er|ó)', ' \\1 ', 'g'), '[\\p{L}\\p{N}]+')) AS keyword FROM documents) GROUP BY keyword""",
+    "view_messages": _sql(f"""SELECT 'dwm_unique_visitor' AS topic, '{{"mid":"' || mid || '","at":"' || {AT.format('ms')}
+        || '"}}' AS value FROM uniques"""),
+    "declared_view_stats": _sql("""SELECT strftime(make_timestamp(create_ts // 3600000 * 3600000000), '%Y-%m-%d %H:%M:%S') AS stt,
+        order_status, count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS total_amount FROM order_info
+        GROUP BY create_ts // 3600000, order_status"""),
     "keyword_score_of_day": _sql(f"""SELECT keyword, CAST(10 * sum(ct) AS BIGINT) AS ct FROM keyword_stats{OF_DAY}
         GROUP BY keyword ORDER BY sum(ct) DESC, keyword LIMIT 20"""),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import (
     date_text, event_time_seconds, hour_label, millis_text, text_millis, time_text,
@@ -249,6 +249,37 @@ def keyword_stats_sql(spark, folder):
     return keywords.keyword_stats_sql(spark, pages, WINDOW)
 
 
+DICTIONARY = ("the", "then", "ing", "tion", "er", "ent", "ó")  # as text without spaces would need
+
+
+@query
+def keyword_dictionary(spark, folder):
+    """All documents cut at the words of a small dictionary."""
+    words = keywords.keywords(Warehouse(spark, folder).table("documents").select(
+        F.col("text").alias("fullword"), F.lit(None).alias("order_time")), DICTIONARY)
+    return words.groupBy("keyword").agg(F.count("*").alias("ct"))
+
+
+@query
+def view_messages(spark, folder):
+    """Messages for one topic."""
+    found = _visit(visitors.unique_visitors(Warehouse(spark, folder).pages, ORDER))
+    return topics.as_messages(found.select("mid", "at"), "dwm_unique_visitor")
+
+
+@query
+def declared_view_stats(spark, folder):
+    """JSON text declared as a view with an event time, and a windowed question in SQL."""
+    rows = Warehouse(spark, folder).orders.select("create_time", "order_status", "total_amount")
+    text = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+    schema = T.StructType.fromDDL("create_time string, order_status string, total_amount decimal(16,2)")
+    topics.declare_view(text, "declared_orders", schema, "create_time", "3 seconds")
+    return _doubles(spark.sql(f"""
+        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt, order_status, count(*) AS orders,
+               sum(total_amount) AS total_amount
+        FROM declared_orders GROUP BY window(rowtime, '{WINDOW}'), order_status"""))
+
+
 # --- dashboard -----------------------------------------------------------------------
 @query
 def gmv_daily(spark, folder):

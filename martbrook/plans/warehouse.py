@@ -36,7 +36,7 @@ class Warehouse:
 
     @cached_property
     def searched_logs(self) -> DataFrame:
-        return given.with_search_text(self.logs, self.table("documents"))
+        return given.search_log(self.fact("documents"))
 
     @cached_property
     def orders(self) -> DataFrame:

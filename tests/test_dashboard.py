@@ -1,12 +1,16 @@
 import os
+import random
 import re
+from collections import Counter
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from martbrook.functions import rates, times
 from martbrook.functions.times import day_text
-from martbrook.functions.tokens import tokens
+from martbrook.functions import tokens as tokens_module
+from martbrook.functions.tokens import register_keyword_function, tokens
 from martbrook.operators import dashboard, keywords
 from martbrook.sources.results import append_batch, read_result
 from rows import log, logs, values
@@ -111,6 +115,22 @@ def test_tokens(spark):
         ["我", "说", "我", "是", "你的", "爸爸", "哎"], None]
 
 
+def test_dictionary_forms_agree(spark, monkeypatch):
+    pick = random.Random(1)
+    texts = ["".join(pick.choice("abAB é,") for _ in range(30)) for _ in range(50)]
+    words = ["ab", "aba", "B", "éa", "a b", "(", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    pattern = [r[0] for r in rows.select(tokens(F.col("text"), words)).collect()]
+    register_keyword_function(spark, "cut_words", words)
+    rows.createOrReplaceTempView("cut_texts")
+    found = spark.sql("SELECT word, count(*) AS n FROM cut_texts, LATERAL cut_words(text) GROUP BY word").collect()
+    assert {r.word: r.n for r in found} == Counter(w for ws in pattern for w in ws)
+    monkeypatch.setattr(tokens_module, "PATTERN_WORDS", 0)
+    assert [r[0] for r in rows.select(tokens(F.col("text"), words)).collect()] == pattern
+    with pytest.raises(ValueError):
+        register_keyword_function(spark, "cut_words", words)
+
+
 def test_searches(spark):
     pages = logs(spark, log("a", "2024-01-01 00:00:01.500", page="good_list", item="red pen"),
                  log("a", "2024-01-01 00:00:09", page="good_list", item="Pen"),
