@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import processing_millis
 
@@ -15,16 +15,17 @@ def result_rows(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stamped.select(*columns)
 
 
-def append_batch(rows: DataFrame, folder: str, batch: int, day_from: str | None = None) -> None:
+def append_batch(rows: DataFrame, folder: str, batch: int, day_from: str | Column | None = None) -> None:
     """Write one batch of a stream into its own sub-folder, so that a retry replaces it.
 
-    ``day_from`` names a time text; rows then go to a folder for its day, and the batch's folder is
+    ``day_from`` names a time text, or is a column with a day; rows then go to a folder for its day, and the batch's folder is
     inside that, so readers of one day list and open only that day's files.
     """
     if day_from is None:
         rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
         return
-    placed = rows.withColumns({"dt": F.substring(day_from, 1, 10), "batch": F.lit(batch)})
+    day = F.substring(day_from, 1, 10) if isinstance(day_from, str) else day_from
+    placed = rows.withColumns({"dt": day, "batch": F.lit(batch)})
     placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(folder)
 
 

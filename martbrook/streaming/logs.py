@@ -8,15 +8,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.times import event_time
-from ..operators.applog import is_entry, split_logs
+from ..functions.times import date_text
+from ..operators.applog import split_logs
 from ..operators.keywords import keyword_stats, keywords, searches
 from ..operators.sizing import broadcast_if_small
-from ..operators.visitors import bounces, first_visits, repair_new_flag, visitor_metrics, visitor_stats
+from ..operators.visitors import bounces, first_visits, repair_new_flag, unique_visitors, visitor_metrics, visitor_stats
 from ..schemas import KEYWORD_STATS, VISITOR_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
-from .runtime import day_offset
+from .runtime import adaptive, read_if_there
 
 START, PAGE, DISPLAY, VISITS = "dwd_start_log", "dwd_page_log", "dwd_display_log", "first_visit"
 VISIT_SCHEMA = "mid string, first_date string"
@@ -54,44 +54,57 @@ def split_job(logs: DataFrame, out: str, rebase: int = REBASE) -> DataStreamWrit
             new = found.join(known, "mid", "left_anti")
             visits = known.unionByName(new)
         repaired = repair_new_flag(batch, visits).persist(StorageLevel.MEMORY_AND_DISK)
-        for topic, rows in zip((START, PAGE, DISPLAY), split_logs(repaired)):
-            append_batch(rows, f"{out}/{topic}", number)
-        added = new.drop("records")
-        full = earlier is not None and number % rebase == 0
-        append_batch(earlier.unionByName(added) if full else added, f"{out}/{VISITS}", number)
-        for held in (repaired, found, batch):
-            held.unpersist()
+        try:
+            for topic, rows in zip((START, PAGE, DISPLAY), split_logs(repaired)):
+                append_batch(rows, f"{out}/{topic}", number)
+            added = new.drop("records")
+            full = earlier is not None and number % rebase == 0
+            append_batch(earlier.unionByName(added) if full else added, f"{out}/{VISITS}", number)
+        finally:
+            for held in (repaired, found, batch):
+                held.unpersist()
 
     return logs.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/split")
 
 
-def first_entries(pages: DataFrame, order: Sequence[str] = ("ts",), delay: str = "1 day") -> DataFrame:
-    """Streaming daily uniques, emitted in the batch that first sees a visitor on a date.
+UNIQUES = "dwm_unique_visitor"
 
-    Rows are grouped per visitor and day; a group is passed on only in the batch in which it
-    was started, so each is emitted once. State ends with its day plus ``delay``.
-    """
-    stamped = (
-        pages.filter(is_entry())
-        .withColumn("event_time", event_time(F.col("ts")))
-        .withWatermark("event_time", delay)
-        .withColumn("arrived", F.current_timestamp())
-    )
-    day = F.window("event_time", "1 day", startTime=day_offset(pages.sparkSession))
-    return (
-        stamped.groupBy(day, F.col("common.mid").alias("mid"))
-        .agg(F.min_by(F.struct("arrived", *pages.columns), F.struct("arrived", *order)).alias("first"))
-        .filter(F.col("first.arrived") == F.current_timestamp())
-        .select(*(F.col(f"first.{name}") for name in pages.columns))
-    )
+
+def known_visitors(spark: SparkSession, out: str, days: Sequence[str], before: int) -> DataFrame | None:
+    """Visitors that batches earlier than ``before`` have passed on for these days: ``mid, dt``. Only the
+    folders of these days are read."""
+    found = read_if_there(spark, f"{out}/{UNIQUES}", "common struct<mid: string>, dt string, batch bigint")
+    if found is None:
+        return None
+    return found.filter(F.col("dt").isin(list(days)) & (F.col("batch") < before)).select("common.mid", "dt")
 
 
 def unique_visitor_job(pages: DataFrame, out: str, order: Sequence[str] = ("ts",)) -> DataStreamWriter:
-    return (
-        first_entries(pages, order).writeStream.outputMode("update")
-        .foreachBatch(lambda batch, number: append_batch(batch, f"{out}/dwm_unique_visitor", number))
-        .option("checkpointLocation", f"{out}/checkpoints/unique_visitor")
-    )
+    """Streaming daily uniques: a batch passes on its first entry of each visitor on each date that no
+    earlier batch has passed on.
+
+    What was passed on is looked up in the output, whose folders are days, so a batch reads the days
+    that it has entries for and no clock or watermark decides: entries that come late, by whatever time,
+    still count for their day, and a repeated batch gives the same rows. Days are those of the
+    session time zone, as in the batch form.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        with adaptive(spark):
+            first = unique_visitors(batch, order).withColumn("dt", date_text(F.col("ts"))).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                days = [row["dt"] for row in first.select("dt").distinct().collect()]  # as many as the calendar has
+                known = known_visitors(spark, out, days, number)
+                if known is not None:
+                    known = known.withColumnsRenamed({"mid": "known_mid", "dt": "known_dt"})
+                    first = first.join(
+                        known, F.col("common.mid").eqNullSafe(F.col("known_mid")) & (F.col("dt") == F.col("known_dt")), "left_anti")
+                append_batch(first.drop("dt"), f"{out}/{UNIQUES}", number, date_text(F.col("ts")))
+            finally:
+                first.unpersist()
+
+    return pages.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/unique_visitor")
 
 
 def bounce_job(pages: DataFrame, out: str, within_ms: int = 1000, order: Sequence[str] = ("ts",),

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
-from zoneinfo import ZoneInfo
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -46,11 +44,3 @@ def read_if_there(spark: SparkSession, folder: str, schema: T.StructType | str)
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def day_offset(spark: SparkSession) -> str:
-    """Where a day starts in the session time zone, as an offset of daily windows (zones with
-    daylight saving need their own handling)."""
-    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
-    ahead = dt.datetime(2024, 1, 1, tzinfo=zone).utcoffset()
-    return f"{int(-ahead.total_seconds()) % 86400} seconds"

@@ -128,6 +128,25 @@ def test_unique_visitor_days_follow_the_session_zone(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_unique_visitor_late_rows_and_daylight_saving(spark, tmp_path):
+    """Nothing is lost however late it comes, nothing comes twice, and days are local dates."""
+    zone = "Europe/Berlin"  # 31 March 2024 has 23 hours there
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+        parts = [logs(spark, log("a", "2024-03-30 22:30:00", seq=1), log("a", "2024-03-30 23:30:00", seq=2), log("a", "2024-03-31 21:30:00", seq=3),
+                      log("a", "2024-03-31 22:30:00", seq=4)),
+                 logs(spark, log("a", "2024-04-05 10:00:00", seq=5), log("b", "2024-04-05 10:00:00", seq=6)),
+                 logs(spark, log("b", "2024-03-31 10:00:00", seq=7), log("a", "2024-03-31 10:00:00", seq=8))]
+        for part in parts:
+            topic.add(part)
+            drain(log_jobs.unique_visitor_job(topic.read(), out, ("ts", "seq")))
+        assert values(results.read_result(spark, f"{out}/dwm_unique_visitor"), "seq", "dt") == [
+            (1, "2024-03-30"), (2, "2024-03-31"), (4, "2024-04-01"), (5, "2024-04-05"), (6, "2024-04-05"), (7, "2024-03-31")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     topic = Topic(spark, tmp_path / "logs", LOGS)
     topic.add(logs(spark, log("a", T0), log("a", T0 + 14_000, last="x")))
