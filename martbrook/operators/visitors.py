@@ -34,8 +34,8 @@ def repair_flag(rows: DataFrame, visits: DataFrame, hot: int = HOT_RECORDS) -> D
     """Clear ``is_new`` on rows from any other date than the visitor's first.
 
     Works on any rows with ``mid``, ``is_new`` and ``ts``, in one pass. Visitors with ``hot`` or
-    more records are looked up by broadcast; there can be no more of them than records divided
-    by ``hot``. Their rows, and rows without the flag, which neither read nor set the date, take
+    more records, of whom there are few, are looked up on their own; the planner, which knows how large
+    that side is, sends it to all tasks or splits their rows over several. Their rows, and rows without the flag, which neither read nor set the date, take
     a made-up join key that spreads them over the shuffle. It may hit a visitor by chance, and
     what it finds is not used then.
     """
@@ -46,7 +46,7 @@ def repair_flag(rows: DataFrame, visits: DataFrame, hot: int = HOT_RECORDS) -> D
     spread = F.xxhash64("ts").cast("string")
     first = F.coalesce("busy_date", "first_date")
     return (
-        rows.join(F.broadcast(busy), F.col("mid") == F.col("busy_mid"), "left")
+        rows.join(busy, F.col("mid") == F.col("busy_mid"), "left")
         .withColumn("key", F.when(flagged & F.col("busy_mid").isNull(), F.col("mid")).otherwise(spread))
         .join(dates, "key", "left")
         .withColumn("is_new", F.when(flagged & (date_text(F.col("ts")) != first), "0").otherwise(F.col("is_new")))

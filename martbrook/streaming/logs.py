@@ -11,7 +11,6 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.times import date_text
 from ..operators.applog import split_logs
 from ..operators.keywords import keyword_stats, keywords, searches
-from ..operators.sizing import broadcast_if_small
 from ..operators.visitors import bounces, first_visits, repair_new_flag, unique_visitors, visitor_metrics, visitor_stats
 from ..schemas import KEYWORD_STATS, VISITOR_STATS
 from ..sources.results import append_batch, result_rows
@@ -49,8 +48,7 @@ def split_job(logs: DataFrame, out: str, rebase: int = REBASE) -> DataStreamWrit
         if earlier is None:
             new, visits = found, found
         else:
-            seen_here = broadcast_if_small(found.select("mid", "records"), 1_000_000)
-            known = earlier.join(seen_here, "mid")
+            known = earlier.join(found.select("mid", "records"), "mid")
             new = found.join(known, "mid", "left_anti")
             visits = known.unionByName(new)
         repaired = repair_new_flag(batch, visits).persist(StorageLevel.MEMORY_AND_DISK)
