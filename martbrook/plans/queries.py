@@ -26,10 +26,13 @@ QUERIES: dict[str, Query] = {}
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def tuned(spark: SparkSession, folder: str) -> DataFrame:
+        own = spark.newSession()  # same context and catalog; the caller's options stay as they are
+        for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+            own.conf.set(key, spark.conf.get(key))
         for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
                     "spark.sql.adaptive.forceOptimizeSkewedJoin"):
-            spark.conf.set(key, "true")
-        return fn(spark, folder)
+            own.conf.set(key, "true")
+        return fn(own, folder)
 
     QUERIES[fn.__name__] = tuned
     return tuned

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Optional session setting: how many partitions the state of streaming jobs has.
+STATE_PARTITIONS = "spark.martbrook.state.partitions"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -42,12 +45,15 @@ def streaming_session(spark: SparkSession) -> SparkSession:
         if key.startswith("spark.sql."):
             child.conf.set(key, value)
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.conf.get("spark.master", "").startswith("local"):
-        # Every state partition is a store of its own, committed in every batch: on one machine
-        # more than two per core only add overhead. On a cluster the setting stands.
-        wanted = min(wanted, 2 * spark.sparkContext.defaultParallelism)
-    child.conf.set("spark.sql.shuffle.partitions", wanted)
+    # Every state partition is a store of its own, committed in every batch, and their number is fixed
+    # in a job's checkpoint. STATE_PARTITIONS names it; else it is that of other shuffles, on a local
+    # master at most two per core.
+    wanted = spark.conf.get(STATE_PARTITIONS, None)
+    if wanted is None:
+        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if spark.conf.get("spark.master", "").startswith("local"):
+            wanted = min(wanted, 2 * spark.sparkContext.defaultParallelism)
+    child.conf.set("spark.sql.shuffle.partitions", int(wanted))
     return child
 
 
