@@ -7,7 +7,6 @@ from pyspark.sql import Window, functions as F
 
 from martbrook import schemas
 from martbrook.operators import products, provinces, visitors, wide
-from martbrook.operators.sizing import broadcast_if_small
 from rows import LOGS, values
 
 DAY = 86_400_000
@@ -137,9 +136,3 @@ def test_distinct_orders_of_a_best_seller_are_counted_apart(spark, shuffle_joins
     assert any("sku_id" in keys and "ref_id" in keys for keys in shuffles), shuffles
     exact = refunds.groupBy("sku_id").agg(F.countDistinct("order_id").alias("n"), F.sum("refund_amount").alias("a"))
     assert values(stats, "sku_id", "refund_order_ct", "refund_amount") == values(exact, "sku_id", "n", "a")
-
-
-def test_only_measured_sides_are_broadcast(spark, shuffle_joins):
-    rows, side = spark.range(1000), spark.range(200)
-    assert "BroadcastHashJoin" in rows.join(broadcast_if_small(side, 200), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in rows.join(broadcast_if_small(side, 199), "id")._jdf.queryExecution().executedPlan().toString()
