@@ -34,6 +34,14 @@ def _inward(links: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("a", F.col("least").alias("b"))).filter("a != b").distinct()
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node is tied to one other, which is tied to none."""
+    ties = stars.select(F.col("a").alias("node"), F.lit(1).alias("tied"), F.lit(0).alias("top")).unionByName(
+        stars.select(F.col("b").alias("node"), F.lit(0).alias("tied"), F.lit(1).alias("top")))
+    nodes = ties.groupBy("node").agg(F.sum("tied").alias("tied"), F.max("top").alias("top"))
+    return nodes.filter("tied > 1 OR tied > 0 AND top > 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``least`` of each node that has a link (a, b): the least node of its component.
 
@@ -47,13 +55,10 @@ def components(links: DataFrame) -> DataFrame:
     ordered = links.filter("a IS NOT NULL AND b IS NOT NULL AND a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     stars = _stored(ordered.distinct(), f"{folder}/0")
-    before = None
     for turn in range(1, MOST_ROUNDS):
         stars = _stored(_inward(_outward(stars)), f"{folder}/{turn}")
-        seen = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == before:
+        if _settled(stars):
             break
-        before = seen
     else:
         raise RuntimeError("components did not settle")
     return stars.select(F.col("a").alias("node"), F.col("b").alias("least")).unionByName(

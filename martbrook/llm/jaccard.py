@@ -20,14 +20,16 @@ different components is compared pair by pair.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import work_dir
@@ -37,12 +39,10 @@ from .texts import ROWS, named, output_schema, ship_package, whole_text
 
 _U = np.uint64
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
-                         0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=_U)
 #: Places in which a task counts shingles, to find frequent ones.
 COUNTER_BITS = 22
 #: Rounds of linking sets to one other before the rest is compared pair by pair.
-STAR_ROUNDS = 6
+STAR_ROUNDS = 2
 SET_ID = "struct<hash: bigint, size: int>"
 
 
@@ -98,14 +98,26 @@ def hashed_shingles(text: str, n: int, seed: int) -> np.ndarray:
     many = len(words) - n + 1
     total = np.full(many, seed, dtype=_U)
     for k in range(n):
-        total += mixed(hashes[k:k + many] + _U(k)) * _MULTIPLIERS[k % 8]
+        total += hashes[k:k + many] * _multiplier(k)
     return np.unique(mixed(total))
 
 
+@lru_cache(maxsize=64)
+def _multiplier(k: int) -> np.uint64:
+    return mixed(np.array([k + 1], dtype=_U))[0] | _U(1)
+
+
 def set_hash(found: np.ndarray) -> int:
     return int(mixed(np.array([found.sum(dtype=_U)], dtype=_U)).view(np.int64)[0])
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of the 1024 places, as 16 numbers. Sets differ in
+    at least as many shingles as their sketches do in bits."""
+    odd = np.bincount((found >> _U(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # --- bands and segments --------------------------------------------------------------
 def band_limits(join: Join, up_to: int) -> list[int]:
     """First sizes of the bands. A band's sets can be linked to its own and the next band only."""
@@ -161,20 +173,18 @@ CHANCE, PAIR_COST = 0.02, 5.0
 def entries(join: Join, band: Band, found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """What a set with these hashed shingles is indexed by for one band."""
     n, segments = len(found), band.ones + band.twos
-    salt = mixed(np.array([band.number + 1 + (join.seed << 20)], dtype=_U))[0]
-    where = (((mixed(found ^ salt) >> _U(32)) * _U(segments)) >> _U(32)).astype(np.int64)
-    rare = (~frequent).astype(np.int64)
-    marks = mixed(found + salt)
-    sums, sizes = np.zeros(segments, dtype=_U), np.zeros(segments, dtype=np.int64)
+    salt, names = _names(join.seed, band.number, segments)
+    marks = mixed(found ^ salt)
+    where = (((marks >> _U(32)) * _U(segments)) >> _U(32)).astype(np.int64)
+    rare = ~frequent
+    sums, sizes = np.zeros(segments, dtype=_U), np.bincount(where[rare], minlength=segments)
     np.add.at(sums, where, marks)
-    np.add.at(sizes, where, rare)
-    names = mixed(np.arange(segments, dtype=_U) * _MULTIPLIERS[0] + salt)
     keys, says = mixed(sums + names), sizes
     if band.twos:  # the first segments are those of weight 2
         two = where < band.twos
         less = mixed(sums[where[two]] - marks[two] + names[where[two]])
         empty = np.flatnonzero(np.bincount(where, minlength=segments)[:band.twos] == 0)
-        again = mixed(names[empty] + _MULTIPLIERS[1])  # an empty subset is worth 2 as well
+        again = mixed(~names[empty])  # an empty subset is worth 2 as well
         keys = np.concatenate([keys, less, again])
         says = np.concatenate([says, sizes[where[two]] - rare[two], np.zeros(len(empty), dtype=np.int64)])
     # What can differ from a linked set, where the smaller of both is in this band.
@@ -185,10 +195,17 @@ def entries(join: Join, band: Band, found: np.ndarray, frequent: np.ndarray) ->
     return keys
 
 
+@lru_cache(maxsize=4096)
+def _names(seed: int, band: int, segments: int) -> tuple[np.uint64, np.ndarray]:
+    """What tells the bands and their segments apart."""
+    salt = mixed(np.array([band + 1 + (seed << 20)], dtype=_U))[0]
+    return salt, mixed(np.arange(segments, dtype=_U) + salt)
+
+
 def of_set(join: Join, bands: list[Band], found: np.ndarray, frequent: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
     """Entries of a set, and whether it is in the band itself or only linked to it from the next."""
     n = len(found)
-    number = int(np.searchsorted([b.first for b in bands], n, side="right")) - 1
+    number = bisect_right(bands, n, key=lambda b: b.first) - 1
     yield entries(join, bands[number], found, frequent), True
     if number and join.largest(bands[number - 1].last) >= n:
         yield entries(join, bands[number - 1], found, frequent), False
@@ -385,33 +402,34 @@ def linked_sets(docs: DataFrame, join: Join, sets: DataFrame, frequent: np.ndarr
         return none
     texts = _stored(_texts(docs, join, sets, shared, id_col, text_col), f"{folder}/texts")
 
-    links, mixed_groups, found = None, shared, none
+    links, groups, found, before = None, shared, none, None
     for turn in range(STAR_ROUNDS):
-        best = _to_centres(mixed_groups, turn, join)
+        best = _to_centres(groups, turn, join, texts)
         new = _stored(verified(best, texts, join), f"{folder}/links{turn}")
         links = new if links is None else links.unionByName(new)
         found = _stored(components(links), f"{folder}/found{turn}")
-        mixed_groups = _stored(_mixed(mixed_groups, found), f"{folder}/mixed{turn}")
-        sizes = mixed_groups.groupBy("entry", "least").agg(F.count("*").alias("n")).groupBy("entry").agg(
+        groups = _stored(_mixed(groups, found), f"{folder}/mixed{turn}")
+        sizes = groups.groupBy("entry", "least").agg(F.count("*").alias("n")).groupBy("entry").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        rows, across = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
-        if not rows:
+        across = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0]
+        if not across:
             return found
-        if across <= 4 * rows:
-            break
-    rest = _stored(verified(_across(mixed_groups, join), texts, join), f"{folder}/rest")
+        if before is not None and across > 0.7 * before:
+            break  # what is left over is hardly linked at all
+        before = across
+    rest = _stored(verified(_across(groups, join, texts), texts, join), f"{folder}/rest")
     if rest.isEmpty():
         return found
     return _stored(components(links.unionByName(rest)), f"{folder}/found")
 
 
 def _texts(docs: DataFrame, join: Join, sets: DataFrame, shared: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One document's text for each set of ``shared``."""
+    """One document's text for each set of ``shared``, and its sketch."""
     one = sets.filter("size > 0").groupBy(F.struct("hash", "size").alias("set")).agg(F.min(F.struct("doc_id")).alias("first"))
     one = one.join(shared.select("set").distinct(), "set", "left_semi").select("set", F.col("first.doc_id").alias("first"))
     wanted = _stored(one, work_dir(docs.sparkSession, "jaccard_wanted"))
     some = may_contain(wanted, "first")
-    schema = T.StructType([*output_schema(docs, id_col, f"set {SET_ID}, text string").fields])
+    schema = output_schema(docs, id_col, f"set {SET_ID}, text string, sketch array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
@@ -422,30 +440,37 @@ def _texts(docs: DataFrame, join: Join, sets: DataFrame, shared: DataFrame, id_c
                 names = [{"hash": set_hash(x), "size": len(x)} for x in found]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).cast(out.field(0).type), pa.array(names, out.field(1).type),
-                    part.column(1).cast(out.field(2).type)], schema=out)
+                    part.column(1).cast(out.field(2).type), pa.array([sketch(x).tolist() for x in found], out.field(3).type)], schema=out)
 
     rows = docs.filter(some(named(id_col))).select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.mapInArrow(run, schema)  # the set again, should an id have several texts
     wanted = wanted.withColumnRenamed("set", "wanted")
-    return rows.join(wanted, (F.col("set") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first"))).select("set", "text")
+    return rows.join(wanted, (F.col("set") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first"))).select("set", "text", "sketch")
 
 
-def _fits(join: Join, a: str, b: str):
-    small, large = F.least(f"{a}.size", f"{b}.size"), F.greatest(f"{a}.size", f"{b}.size")
-    return large * join.percent <= small * 100
+def _may_link(join: Join) -> Column:
+    """Whether sets a and b can be linked by their sizes and sketches."""
+    a, b = F.col("a.size"), F.col("b.size")
+    sizes = F.greatest(a, b) * join.percent <= F.least(a, b) * 100
+    differ = F.lit(0)
+    for k in range(16):
+        differ = differ + F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+    return sizes & (differ * (100 + join.percent) <= (a + b) * (100 - join.percent))
 
 
-def _to_centres(groups: DataFrame, turn: int, join: Join) -> DataFrame:
-    """Each set with the centre that it shares most entries with. The centre of an entry's sets is the
-    one that comes first by a hash, another in each turn; sets connected to it already are left out."""
+def _to_centres(groups: DataFrame, turn: int, join: Join, texts: DataFrame) -> DataFrame:
+    """Each set with the centre that it shares most entries with, of those it can be linked to. The centre
+    of an entry's sets is the one that comes first by a hash, another in each turn; sets connected
+    to it already are left out."""
     order = F.xxhash64("set", F.lit(turn))
     chosen = ["least"] if "least" in groups.columns else []
     centre = groups.groupBy("entry").agg(F.min(F.struct(order.alias("order"), "set", *chosen)).alias("c"))
     pairs = groups.join(centre, "entry").filter(F.col("set") != F.col("c.set"))
     if chosen:
         pairs = pairs.filter(F.col("least") != F.col("c.least"))
-    pairs = pairs.select(F.col("set").alias("a"), F.col("c.set").alias("b")).filter(_fits(join, "a", "b"))
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    counted = pairs.groupBy(F.col("set").alias("a"), F.col("c.set").alias("b")).agg(F.count("*").alias("n"))
+    counted = counted.join(texts.select(F.col("set").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(
+        texts.select(F.col("set").alias("b"), F.col("sketch").alias("sketch_b")), "b").filter(_may_link(join))
     return counted.groupBy("a").agg(F.max(F.struct("n", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
 
@@ -457,12 +482,14 @@ def _mixed(groups: DataFrame, found: DataFrame) -> DataFrame:
     return of.join(several.select("entry"), "entry", "left_semi").select("entry", "set", "own", "least")
 
 
-def _across(groups: DataFrame, join: Join) -> DataFrame:
-    """Pairs of sets that share an entry but are in different components."""
-    one = groups.select("entry", F.col("set").alias("a"), F.col("own").alias("own_a"), F.col("least").alias("least_a"))
-    two = groups.select("entry", F.col("set").alias("b"), F.col("own").alias("own_b"), F.col("least").alias("least_b"))
+def _across(groups: DataFrame, join: Join, texts: DataFrame) -> DataFrame:
+    """Pairs of sets that share an entry, can be linked and are in different components. What can't be
+    linked is left out inside the join."""
+    rows = groups.join(texts.select("set", "sketch"), "set")
+    one, two = (rows.select("entry", *(F.col(c).alias(f"{name}_{side}") if name else F.col(c).alias(side) for c, name in (
+        ("set", ""), ("own", "own"), ("least", "least"), ("sketch", "sketch")))) for side in "ab")
     pairs = one.join(two, "entry").filter((F.col("a") < F.col("b")) & (F.col("least_a") != F.col("least_b")))
-    return pairs.filter(F.col("own_a") | F.col("own_b")).filter(_fits(join, "a", "b")).select("a", "b").distinct()
+    return pairs.filter(F.col("own_a") | F.col("own_b")).filter(_may_link(join)).select("a", "b").distinct()
 
 
 def similar_documents(
