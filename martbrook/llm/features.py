@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .id_filter import may_contain
 from .texts import named, whole_text
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -85,10 +86,16 @@ def remainder(id_col: str, folds: int = 3) -> Column:
 def labelled(docs: DataFrame, labels: DataFrame, label: Column, id_col: str, text_col: str, held_out: int) -> DataFrame:
     """Texts with a label, outside the held-out fold: (doc_id, text, y). Rows without an id or a label
     are left out; of several labels of a document the greatest counts."""
+    y = _judged(labels, label, held_out)
+    some = may_contain(y, "doc_id")
+    texts = docs.filter(some(named(id_col))).select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    # Labels grow with the documents: never sent to all tasks. Few texts without one get this far.
+    return texts.filter(remainder("doc_id") != held_out).join(y.hint("merge"), "doc_id")
+
+
+def _judged(labels: DataFrame, label: Column, held_out: int) -> DataFrame:
     y = labels.select(F.col("doc_id"), label.cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
-    y = y.filter(remainder("doc_id") != held_out).groupBy("doc_id").agg(F.max("y").alias("y"))
-    texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    return texts.filter(remainder("doc_id") != held_out).join(y, "doc_id")
+    return y.filter(remainder("doc_id") != held_out).groupBy("doc_id").agg(F.max("y").alias("y"))
 
 
 def sample(
@@ -96,8 +103,7 @@ def sample(
 ) -> Iterator[tuple[str, int]]:
     """Whole texts and labels of at most ``most`` labelled documents of each label, those whose ids'
     hashes are least; outside the held-out fold, as :func:`labelled`."""
-    y = labels.select(F.col("doc_id"), label.cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
-    y = y.filter(remainder("doc_id") != held_out).groupBy("doc_id").agg(F.max("y").alias("y"))
+    y = _judged(labels, label, held_out)
     levels = sorted(r["y"] for r in y.select("y").distinct().limit(100).collect())
     texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     for level in levels:
