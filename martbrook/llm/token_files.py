@@ -52,6 +52,11 @@ class TextIds:
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        #: Bytes of each token: its spelling has a character for each.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -70,7 +75,21 @@ class TextIds:
                 unknown.append(chunk)
             else:
                 known[chunk] = ids
-        for chunk, found in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)):
+        # Cut out of one long text again, at the bytes, what may stand next to anything.
+        plain = [c for c in unknown if len(c) > 1 and c[0] == " " and c[1].isprintable() and not c[1].isspace()]
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            at = np.cumsum(self.sizes[ids])
+            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in plain])
+            last = np.searchsorted(at, ends)
+            if not (at[last] == ends).all():
+                raise ValueError("a token runs across a space")
+            data, first = ids.tobytes(), 0
+            for chunk, end in zip(plain, (4 * (last + 1)).tolist()):
+                known[chunk] = data[first:end]
+                first = end
+        rest = [c for c in unknown if c not in known]
+        for chunk, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[chunk] = np.array(found.ids, dtype=np.uint32).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, chunks)), dtype=np.uint32) for chunks in cut]
 
