@@ -69,12 +69,15 @@ class WordCounts:
         return (np.concatenate([places, (1 << self.bits) + np.arange(self.SHARES)]), np.concatenate([values, shares]))
 
     def _shares(self, text: str, words: list[str]) -> np.ndarray:
-        n = max(1, len(text))
-        letters = sum(map(str.isalpha, text))
+        """Shares of letters (other than ASCII signs), capitals, digits and other signs; of different
+        words; and the length of words."""
+        counts = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8), minlength=256)
+        signs = max(1, int(counts[:0x80].sum() + counts[0xC0:].sum()))  # bytes that begin a character
+        capitals, digits, spaces = counts[0x41:0x5B].sum(), counts[0x30:0x3A].sum(), counts[0x09:0x0E].sum() + counts[0x20]
+        letters = capitals + counts[0x61:0x7B].sum() + counts[0xC0:].sum()
         return np.array([
-            letters / n, sum(map(str.isupper, text)) / max(1, letters), sum(map(str.isdigit, text)) / n,
-            1 - (letters + sum(map(str.isspace, text))) / n,
-            len(set(words)) / max(1, len(words)), min(1.0, n / max(1, len(words)) / 20),
+            letters / signs, capitals / max(1, letters), digits / signs, max(0.0, 1 - (letters + spaces) / signs),
+            len(set(words)) / max(1, len(words)), min(1.0, signs / max(1, len(words)) / 20),
         ])
 
 
