@@ -115,7 +115,9 @@ def exact_groups(
     came = spark.read.parquet(f"{folder}/arrivals")
     source = streaming_session(spark).readStream.schema(came.schema).option("maxFilesPerTrigger", files_a_batch)
     run_state(source.parquet(f"{folder}/arrivals"), folder)
-    state = groups(spark, folder, came.schema["doc_id"].dataType)
+    # Stored first: joined as it comes from its grouping, a hot digest could not be split over tasks.
+    groups(spark, folder, came.schema["doc_id"].dataType).write.parquet(f"{folder}/groups")
+    state = spark.read.parquet(f"{folder}/groups")
     came.join(state, "digest").write.parquet(f"{folder}/found")
     found = spark.read.parquet(f"{folder}/found")
 
