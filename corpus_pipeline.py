@@ -34,8 +34,7 @@ def without_benchmark(spark, docs, sf_dir):
 
 def as_tokens(spark, docs, sf_dir):
     """Token ids of every document, and digests of them and of what they decode to."""
-    words = vocabulary(spark)
-    return bpe.token_digests(bpe.decode(bpe.encode(docs, words), words), "ids")
+    return bpe.token_digests(bpe.encode(docs, vocabulary(spark), decoded=True), "ids")
 
 
 STAGES = [

@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .texts import ROWS, named, output_schema, ship_package, whole_text
 
 #: Entries that a worker keeps of each memo: pieces of text, and pairs of tokens.
-PIECES, PAIRS = 300_000, 500_000
+PIECES, PAIRS = 100_000, 100_000
 #: A run of white space that may not be cut at its spaces: a space after white space, before no sign.
 _INNER = regex.compile(r"\s (?!\S)")
 
@@ -232,14 +232,16 @@ class Vocabulary:
         return _encoder(self.key, self.shared)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token ids of every whole text: ``doc_id``, ``ids`` (array of int).
+def encode(
+    docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+) -> DataFrame:
+    """Token ids of every whole text: ``doc_id``, ``ids`` (array of int); with ``decoded`` also the bytes
+    that the ids decode to, as :func:`decode` gives them, made by the same worker.
 
     Null and empty texts have no ids. Every row is encoded, repeated ones too. Other columns are not
     looked at. An empty table gives no rows.
     """
-
-    schema = output_schema(docs, id_col, "ids array<int>")
+    schema = output_schema(docs, id_col, "ids array<int>" + ", decoded binary" * decoded)
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +253,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids), pa.int32()))
                 columns = [part.column(0).cast(out.field(0).type), lists.cast(out.field(1).type)]
+                if decoded:
+                    columns.append(pa.array([encoder.decode(x.tolist()) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
@@ -279,7 +283,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
-    """Rows of :func:`decode` as numbers of tokens and digests of ids and bytes, and ``more`` columns."""
+    """Rows with ids and ``decoded`` as numbers of tokens and digests of ids and bytes, and ``more`` columns."""
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),

@@ -47,8 +47,7 @@ def op3_warc(spark, folder):
 
 @query
 def op4_byte_bpe(spark, folder):
-    words = vocabulary(spark)
-    return bpe.token_digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), words), words))
+    return bpe.token_digests(bpe.encode(table(spark, folder, "documents"), vocabulary(spark), decoded=True))
 
 
 @query

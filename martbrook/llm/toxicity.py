@@ -62,10 +62,10 @@ def ratios(texts: DataFrame) -> tuple[np.ndarray, float]:
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     out, share = np.zeros(1 << BITS), toxic / max(1, toxic + clean)
     if toxic and clean:
-        found = gram_counts(texts).toPandas()
+        found = {name: column.to_numpy() for name, column in zip(("gram", "clean", "toxic"), gram_counts(texts).toArrow().columns)}
         values = (np.log((found["toxic"] + PRIOR * share) / (toxic + PRIOR))
                   - np.log((found["clean"] + PRIOR * (1 - share)) / (clean + PRIOR)))
-        out[found["gram"].to_numpy()] = np.where(np.abs(values) >= LEAST, values, 0.0)
+        out[found["gram"]] = np.where(np.abs(values) >= LEAST, values, 0.0)
     return out, share
 
 

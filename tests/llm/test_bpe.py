@@ -55,6 +55,9 @@ def test_awkward_texts(spark, tmp_path, library):
     encoded = bpe.encode(docs, words)
     assert plain(encoded) == [(i, library.encode_ordinary(t or "")) for i, t in enumerate(TEXTS)]
     assert [bytes(r[1]) for r in plain(bpe.decode(encoded, words), "doc_id", "decoded")] == [(t or "").encode() for t in TEXTS]
+    both = bpe.encode(docs, words, decoded=True)
+    assert plain(both, "doc_id", "ids") == plain(encoded)
+    assert [bytes(r[1]) for r in plain(both, "doc_id", "decoded")] == [(t or "").encode() for t in TEXTS]
     assert bpe.decode(bpe.encode(documents(spark, [], folder=tmp_path), words), words).count() == 0
     twice = bpe.encode(documents(spark, ["a b", "a b"], [None, None], tmp_path), words)
     assert plain(twice) == [(None, library.encode_ordinary("a b"))] * 2
