@@ -14,6 +14,7 @@ from collections.abc import Callable
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import written
 from .texts import map_texts, named, text_test, whole_text
 
 WINDOW = 10
@@ -29,6 +30,9 @@ _TO_WORDS = bytes(
 _OTHER = "\x00"
 RESULT = ("n_words bigint, n_hit bigint, item_ids array<string>, "
           "spans array<struct<start: bigint, end: bigint>>")
+#: What one of several passes finds: runs of hit words, and where they are in the text.
+PART = ("n_words bigint, item_ids array<string>, "
+        "runs array<struct<first: bigint, last: bigint, start: bigint, end: bigint>>")
 
 
 def words(text: str) -> list[bytes]:
@@ -106,6 +110,18 @@ def _scanner(shared, window: int) -> Callable:
     return make
 
 
+def _part_scanner(shared, window: int) -> Callable:
+    def make():
+        automaton = Automaton(shared.value, window)
+
+        def step(text):
+            n, runs, items = automaton.scan(text)
+            at = zip(runs, to_offsets(text, runs))
+            return n, items, [{"first": a, "last": b, "start": start, "end": end} for (a, b), (start, end) in at]
+        return step
+    return make
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, str]]]:
     """The benchmark in parts of about ``block_bytes``, by a hash of the text; the size is asked first."""
     rows = items.select(named(id_col).cast("string").alias("item"), whole_text(text_col).alias("text"))
@@ -134,56 +150,36 @@ def benchmark_hits(
     occur. Repeated document rows are each returned. Other columns are not looked at.
 
     A benchmark above ``block_bytes`` takes one pass over the documents for each such part (about
-    so many bytes each; a single longer item stays whole). The passes' spans are then merged, which
-    needs distinct document ids.
+    so many bytes each; a single longer item stays whole). Each row is then stored with a key of its
+    own, by which what the passes found is put together; ids may be null or repeat.
     """
     spark = docs.sparkSession
-    blocks = _blocks(items, item_id_col, item_text_col, block_bytes)
-    passes = [
-        map_texts(docs, _scanner(spark.sparkContext.broadcast(b), window), RESULT, id_col, text_col)
-        for b in blocks
-    ]
-    if len(passes) == 1:
-        return passes[0]
+    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(items, item_id_col, item_text_col, block_bytes)]
+    if len(blocks) == 1:
+        return map_texts(docs, _scanner(blocks[0], window), RESULT, id_col, text_col)
+    rows = docs.select(
+        F.struct(F.monotonically_increasing_id().alias("key"), named(id_col).alias("id")).alias("row"),
+        whole_text(text_col).alias("text"))
+    rows = written(rows, "decontaminate")  # keys must be the same in each pass
+    passes = [map_texts(rows, _part_scanner(b, window), PART, "row") for b in blocks]
     every = passes[0]
     for more in passes[1:]:
-        every = every.unionByName(more.filter("n_hit > 0"))
-    grouped = every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        F.flatten(F.collect_list("spans")).alias("spans"))
-    return _joined_spans(grouped, docs, id_col, text_col)
-
-
-def _joined_spans(grouped: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Spans of several passes merged; hit words are counted again in the text where there are any."""
-    texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-
-    @F.udf("struct<n_hit: bigint, spans: array<struct<start: bigint, end: bigint>>>")
-    def union(text, spans):
-        runs = merged([(s["start"], s["end"]) for s in spans])
-        lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-        # Runs that only a sign or a space divides are one run of words.
-        at, out, n = [m.span() for m in WORD.finditer(lowered)], [], 0
-        inside = iter(runs)
-        run, last = next(inside, None), False
-        for start, end in at:
-            while run and run[1] <= start:
-                run = next(inside, None)
-            hit = bool(run) and run[0] <= start
-            if hit:
-                n += 1
-                if last:
-                    out[-1] = (out[-1][0], end)
-                else:
-                    out.append((start, end))
-            last = hit
-        return n, out
-
-    some = grouped.filter(F.size("spans") > 0).join(texts, "doc_id")
-    some = some.select("doc_id", "n_words", "item_ids", union("text", "spans").alias("u"))
-    none = grouped.filter(F.size("spans") == 0).select(
-        "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_hit"), "item_ids", "spans")
-    return none.unionByName(some.select("doc_id", "n_words", "u.n_hit", "item_ids", "u.spans"))
+        every = every.unionByName(more.filter(F.size("runs") > 0))
+    grouped = every.groupBy(F.col("doc_id.key").alias("key")).agg(
+        F.first("doc_id.id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+        F.flatten(F.collect_list("runs")).alias("runs"))
+    union = F.udf(_union, "struct<n_hit: bigint, spans: array<struct<start: bigint, end: bigint>>>")
+    grouped = grouped.select("doc_id", "n_words", "item_ids", union("runs").alias("u"))
+    return grouped.select("doc_id", "n_words", "u.n_hit", "item_ids", "u.spans")
+
+
+def _union(runs: list) -> tuple[int, list[tuple[int, int]]]:
+    """Runs of several passes merged by their words; the offsets are those of the first and last word."""
+    starts = {r["first"]: r["start"] for r in runs}
+    ends = {r["last"]: r["end"] for r in runs}
+    found = merged([(r["first"], r["last"]) for r in runs])
+    return sum(b - a for a, b in found), [(starts[a], ends[b]) for a, b in found]
 
 
 def decontaminated(

@@ -71,3 +71,15 @@ def test_repeated_rows_and_clashing_columns_of_items(spark, tmp_path):
     docs = documents(spark, ["a b c", "a b c"], [7, 7], tmp_path)
     items = spark.createDataFrame([(1, "B c"), (1, "B c")], SCHEMA).withColumns({"n_hit": F.lit(1), "doc_id": F.lit(2)})
     assert result(dc.benchmark_hits(docs, items)) == [(7, 3, 2, ["1"], [(2, 5)])] * 2
+
+
+@pytest.mark.parametrize("block_bytes", [10 ** 6, 60])
+def test_null_and_repeated_ids(spark, tmp_path, rows, block_bytes):
+    _, items = rows
+    texts = [t for _, t in items if t] + ["no hit in here", None, "", "σ"]
+    ids = [None if k % 3 == 0 else k % 2 for k in range(2 * len(texts))]
+    docs = list(zip(ids, texts + texts[::-1]))
+    frame = documents(spark, [t for _, t in docs], ids, tmp_path)
+    found = dc.benchmark_hits(frame, spark.createDataFrame(items, SCHEMA), window=4, block_bytes=block_bytes)
+    plain_rows = [(r.doc_id, r.n_words, r.n_hit, r.item_ids, [tuple(s) for s in r.spans]) for r in found.collect()]
+    assert sorted(map(repr, plain_rows)) == sorted(repr(brute([d], items, 4)[0]) for d in docs)
