@@ -180,8 +180,9 @@ class Surrogates:
         self.marks = re.compile(r"[0-9@]")  # without any there is nothing for the pattern
         self.person = {n.lower(): (gender, script) for (gender, script), names in GIVEN.items() for n in names}
         self.family = {n.lower(): script for script, names in FAMILY.items() for n in names}
-        #: A text in which names are looked for has one of these between spaces.
-        self.openers = {n for names in GIVEN.values() for n in names} | set(TITLES) | {t + "." for t in TITLES}
+        #: A text in which names are looked for has one of these as a word, whatever signs are around it.
+        self.openers = {n for names in GIVEN.values() for n in names} | set(TITLES)
+        self.words = re.compile(r"\w+")
         given = "|".join(n for names in GIVEN.values() for n in names)
         family = "|".join(n for names in FAMILY.values() for n in names)
         # A family name after a given name or a title shows that they are names, and then each counts
@@ -249,7 +250,7 @@ class Surrogates:
                              and n.end() == m.end() and _valid(k, n[0])), None)
             if kind:
                 spans.append((kind, *m.span()))
-        if not self.openers.isdisjoint(text.split()):
+        if not self.openers.isdisjoint(self.words.findall(text)):
             matches = list(self.names.finditer(text))
             sure = {m[g] for m in matches if m["family"] and (m["title"] or m["given"]) for g in ("given", "family") if m[g]}
             spans += [("family" if g == "family" else "given", *m.span(g))

@@ -42,6 +42,14 @@ def test_names_keep_gender_script_and_coreference(subject):
     assert "Leon was a word, and so was Young." in new
 
 
+@pytest.mark.parametrize("text", [
+    "(Maria Schmidt)", '"John Smith" said', "Contact:Anna Weber", "[Mr. Young]", "«Иван Павлов»", "/Νίκος Παππάς/", "-Herr\tBauer,"])
+def test_names_after_signs(subject, text):
+    new, found = subject.rewrite(text)
+    assert found and found[-1].kind == "family"
+    assert all(text[e.start:e.end] not in new for e in found)
+
+
 def test_distinct_entities_stay_distinct(subject):
     numbers = [f"+1 (555) 555-{n:04d}" for n in range(2000)]
     new, found = subject.rewrite("; ".join(numbers))
