@@ -55,6 +55,13 @@ PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{
 #: In the order in which they win where they overlap.
 PATTERNS = (("email", EMAIL), ("ipv4", IPV4), ("iban", IBAN), ("card", CARD), ("ssn", SSN), ("phone", PHONE))
 PHONE_DIGITS = (9, 15)
+#: Numbers of digits, with what may be between and before them in cards, social security and phone numbers.
+RUN = r"\+?\(?\d+(?:\)?[ .-]?[+(]{0,2}\d+)*"
+#: Kinds that part of a run can be, with their patterns and least and most digits.
+PARTS = (("card", r"\d(?:[ -]?\d){12,18}", 13, 19), ("ssn", r"(?<!-)\d{3}-\d{2}-\d{4}", 9, 9),
+         ("phone", r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,5}){1,4}", *PHONE_DIGITS))
+#: How cards are printed.
+USUAL_CARD = r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}"
 
 
 @dataclass(frozen=True)
@@ -177,6 +184,12 @@ class Surrogates:
         self.keyed = Keyed(key)
         self.known: dict[tuple[str, str], str] = {}
         self.pattern = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in PATTERNS), re.ASCII)
+        self.parts = [(kind, re.compile(p, re.ASCII), least, most) for kind, p, least, most in PARTS]
+        self.run, self.number = re.compile(RUN, re.ASCII), re.compile(r"\d+", re.ASCII)
+        self.usual_card = re.compile(USUAL_CARD, re.ASCII)
+        self.goes_on = re.compile(r"\w|\.\d", re.ASCII)  # after a number that can't end a value
+        #: What a run of numbers may run into.
+        self.apart = re.compile(f"{EMAIL}|{IPV4}", re.ASCII)
         self.marks = re.compile(r"[0-9@]")  # without any there is nothing for the pattern
         self.person = {n.lower(): (gender, script) for (gender, script), names in GIVEN.items() for n in names}
         self.family = {n.lower(): script for script, names in FAMILY.items() for n in names}
@@ -240,15 +253,80 @@ class Surrogates:
         script = self.family[value.lower()]
         return self.keyed.name(f"family {script}", FAMILY[script], value)
 
+    def _run_end(self, text: str, start: int) -> int:
+        """Where the numbers from ``start`` on end, or an address among them begins."""
+        end = self.run.match(text, start).end()
+        for n in self.number.finditer(text, start, end):
+            if self.apart.match(text, n.start()):
+                return n.start()
+        return end
+
+    def _in_run(self, text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+        """The cards, social security and phone numbers in a run of numbers: those parts between separators
+        that have the most digits of usual cards, then the most digits, then are fewest."""
+        numbers = [n.span() for n in self.number.finditer(text, start, end)]
+        signs, counts = [], [0]  # where each number begins with its signs, and the digits before it
+        for a, b in numbers:
+            counts.append(counts[-1] + b - a)
+            while a > start and text[a - 1] in "(+":
+                a -= 1
+            signs.append(a)
+        # Sums for check digits, with the digits at even or at odd places counted twice.
+        sums = [0], [0]
+        for at, n in enumerate(int(c) for a, b in numbers for c in text[a:b]):
+            twice = 2 * n - 9 if n > 4 else 2 * n
+            for odd in (0, 1):
+                sums[odd].append(sums[odd][-1] + (twice if at % 2 == odd else n))
+        best: list[tuple[tuple[int, int, int], tuple[str, int] | None]] = [((0, 0, 0), None)] * (len(numbers) + 1)
+        for k in range(len(numbers) - 1, -1, -1):
+            best[k] = (best[k + 1][0], None)
+            if signs[k] > start and text[signs[k] - 1] == ".":  # decimals
+                continue
+            for last in range(k, len(numbers)):
+                until = counts[last + 1]
+                digits = until - counts[k]
+                if digits > 19:
+                    break
+                if digits < PHONE_DIGITS[0] or self.goes_on.match(text, numbers[last][1]):
+                    continue
+                checks = (sums[until % 2][until] - sums[until % 2][counts[k]]) % 10 == 0
+                found = next((kind for kind, p, least, most in self.parts if least <= digits <= most and (checks or kind != "card")
+                              and p.fullmatch(text, signs[k], numbers[last][1]) and _valid(kind, text[signs[k]:numbers[last][1]])), None)
+                if found:
+                    usual = found == "card" and self.usual_card.fullmatch(text, signs[k], numbers[last][1])
+                    of = best[last + 1][0]
+                    score = (of[0] + (digits if usual else 0), of[1] + digits, of[2] - 1)
+                    if score > best[k][0]:
+                        best[k] = (score, (found, last))
+        spans, k = [], 0
+        while k < len(numbers):
+            if best[k][1] is None:
+                k += 1
+            else:
+                kind, last = best[k][1]
+                spans.append((kind, signs[k], numbers[last][1]))
+                k = last + 1
+        return spans
+
     def entities(self, text: str) -> list[Entity]:
         """Entities from left to right, none overlapping."""
         spans, at = [], 0
         while (m := self.pattern.search(text, at)) if self.marks.search(text, at) else None:
             kind, at = m.lastgroup, m.end()
-            if not _valid(kind, m[0]):
-                kind = next((k for k, p in PATTERNS if k != kind and (n := re.compile(p, re.ASCII).match(text, m.start()))
-                             and n.end() == m.end() and _valid(k, n[0])), None)
-            if kind:
+            if kind == "iban" and not _valid(kind, m[0]):
+                # It may have taken words after it; else the next group may begin something.
+                ends = [n for n in range(m.end() - 1, m.start(), -1) if text[n] == " "]
+                end = next((n for n in ends if _valid(kind, text[m.start():n])), None)
+                at = end or min([m.end(), *ends])
+                spans += [(kind, m.start(), end)] if end else []
+            elif kind in ("card", "ssn", "phone"):
+                end = self._run_end(text, m.start())
+                if end == m.end() and _valid(kind, m[0]):
+                    spans.append((kind, *m.span()))
+                else:
+                    spans += self._in_run(text, m.start(), end)
+                    at = max(end, m.start() + 1)
+            else:
                 spans.append((kind, *m.span()))
         if not self.openers.isdisjoint(self.words.findall(text)):
             matches = list(self.names.finditer(text))

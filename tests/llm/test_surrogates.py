@@ -50,6 +50,28 @@ def test_names_after_signs(subject, text):
     assert all(text[e.start:e.end] not in new for e in found)
 
 
+@pytest.mark.parametrize("text, values", [
+    ("No. 12 4111 1111 1111 1111", ["card 4111 1111 1111 1111"]),
+    ("4111 1111 1111 1111 12 26", ["card 4111 1111 1111 1111"]),
+    ("AB12 4111-1111-1111-1111-7", ["card 4111-1111-1111-1111"]),
+    ("call 555-123-4567 555-765-4321", ["phone 555-123-4567", "phone 555-765-4321"]),
+    ("555 123 4567 555 765 4321 +1 (318) 555-2368", ["phone 555 123 4567", "phone 555 765 4321", "phone +1 (318) 555-2368"]),
+    ("555-123-4567 123-45-6789", ["phone 555-123-4567", "ssn 123-45-6789"]),
+    ("BE68 5390 0754 7034 EUR", ["iban BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00", ["iban BE68 5390 0754 7034", "iban DE89 3704 0044 0532 0130 00"]),
+    ("555-123-4567 55 10.0.0.1", ["phone 555-123-4567 55", "ipv4 10.0.0.1"]),
+    ("555-123-4567 12 123.foo@x.com", ["phone 555-123-4567 12", "email 123.foo@x.com"]),
+    ("12.50 13.75 14.25 15.00", []),
+])
+def test_values_next_to_digits_or_capitals(subject, text, values):
+    assert [f"{e.kind} {text[e.start:e.end]}" for e in subject.rewrite(text)[1]] == values
+
+
+def test_long_runs_of_numbers(subject):
+    text = "7 " * 50_000 + "call 555-123-4567 555-765-4321"
+    assert [text[e.start:e.end] for e in subject.entities(text)][-2:] == ["555-123-4567", "555-765-4321"]
+
+
 def test_distinct_entities_stay_distinct(subject):
     numbers = [f"+1 (555) 555-{n:04d}" for n in range(2000)]
     new, found = subject.rewrite("; ".join(numbers))
