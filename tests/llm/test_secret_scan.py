@@ -45,6 +45,30 @@ def test_entropy_spans_and_what_is_allowed():
     assert ss.scanner(ss.EntropyRule(allowed=(), known=()))("EXAMPLE9fK2xQ7LmZ4vT1bW8sRd0PyH3n")
 
 
+def test_glued_hex_as_bare_hex():
+    scan, pick, flagged = ss.scanner(), random.Random(6), 0
+    random_spans = lambda text: [s[1:] for s in scan(text) if s[0] == "entropy"]
+    for signs in ("0123456789ABCDEF", "0123456789abcdef"):
+        for size in [20] * 100 + [32, 40, 64] * 30:
+            value = "".join(pick.choice(signs) for _ in range(size))
+            bare = random_spans(value)
+            flagged += bool(bare)
+            for text, at in ((f"DIGEST={value}", 7), (f"sig_{value}", 4), (f"{value}/x-y", 0), (f"a=b&K9-{value}==", 7)):
+                glued = random_spans(text)
+                assert all(any(c <= a + at and b + at <= d for c, d in glued) for a, b in bare), text
+    assert flagged > 360
+
+
+def test_classes_of_windows():
+    scan = ss.scanner()
+    random_spans = lambda text: [s[1:] for s in scan(text) if s[0] == "entropy"]
+    assert random_spans("order_id9=31415926535897932384626433") == []  # a number, and it is one alone too
+    assert random_spans("order31415926535897932384626433") == []
+    assert random_spans("a31415926535897932384626433") == [(0, 24)]  # the rest is below 3 bits
+    assert random_spans("zz3F2A3F9C71D0713F2A9C") == [(2, 22)]
+    assert random_spans("v1/aInternationalisationAndSoOn/x2") == []
+
+
 def test_awkward_texts(spark, tmp_path):
     texts = [*TEXTS, "é token='s3cr3tvalue' " * 3]
     docs = documents(spark, texts, folder=tmp_path)
