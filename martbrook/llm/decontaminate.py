@@ -9,13 +9,15 @@ scanned once, whatever the number of windows.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
-from .texts import map_texts, named, text_test, whole_text
+from ..session import work_dir, written
+from .texts import file_system, map_texts, named, text_test, whole_text
 
 WINDOW = 10
 #: Benchmark text that one automaton takes, in bytes. Its nodes take about 100 bytes per byte of
@@ -42,7 +44,7 @@ def words(text: str) -> list[bytes]:
 class Automaton:
     """The windows of some benchmark items, and the items that have each of them."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str, str]], window: int = WINDOW):
         self.letters: dict[bytes, str] = {}
         self.window_items: list[set[str]] = []
         self.trie = ahocorasick.Automaton()
@@ -98,9 +100,9 @@ def to_offsets(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(at[start][0], at[end - 1][1]) for start, end in runs]
 
 
-def _scanner(shared, window: int) -> Callable:
+def _scanner(block: str, window: int) -> Callable:
     def make():
-        automaton = Automaton(shared.value, window)
+        automaton = Automaton(_items(block), window)
 
         def step(text):
             n, runs, items = automaton.scan(text)
@@ -110,9 +112,9 @@ def _scanner(shared, window: int) -> Callable:
     return make
 
 
-def _part_scanner(shared, window: int) -> Callable:
+def _part_scanner(block: str, window: int) -> Callable:
     def make():
-        automaton = Automaton(shared.value, window)
+        automaton = Automaton(_items(block), window)
 
         def step(text):
             n, runs, items = automaton.scan(text)
@@ -122,16 +124,25 @@ def _part_scanner(shared, window: int) -> Callable:
     return make
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The benchmark in parts of about ``block_bytes``, by a hash of the text; the size is asked first."""
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[str]:
+    """The benchmark in parts of about ``block_bytes``, by a hash of the text, each in a folder of its own that
+    tasks read; the driver sees the size only."""
     rows = items.select(named(id_col).cast("string").alias("item"), whole_text(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // block_bytes))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [
-        [(r["item"] if r["item"] is not None else "", r["text"]) for r in rows.filter(part == k).collect()]
-        for k in range(count)
-    ]
+    folder = work_dir(items.sparkSession, "benchmark")
+    rows.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(count))).write.partitionBy("part").parquet(folder)
+    return [f"{folder}/part={k}" for k in range(count)]
+
+
+def _items(folder: str) -> Iterator[tuple[str, str]]:
+    """Ids and texts of one part; nothing is stored of an empty one."""
+    files, path = file_system(folder)
+    if files.get_file_info(path).type == pafs.FileType.NotFound:
+        return
+    for batch in pads.dataset(path, filesystem=files, format="parquet").to_batches(columns=["item", "text"]):
+        for item, text in zip(*(column.to_pylist() for column in batch.columns)):
+            yield item if item is not None else "", text
 
 
 def benchmark_hits(
@@ -153,8 +164,7 @@ def benchmark_hits(
     so many bytes each; a single longer item stays whole). Each row is then stored with a key of its
     own, by which what the passes found is put together; ids may be null or repeat.
     """
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(items, item_id_col, item_text_col, block_bytes)]
+    blocks = _blocks(items, item_id_col, item_text_col, block_bytes)
     if len(blocks) == 1:
         return map_texts(docs, _scanner(blocks[0], window), RESULT, id_col, text_col)
     rows = docs.select(
@@ -174,7 +184,7 @@ def benchmark_hits(
     return grouped.select("doc_id", "n_words", "u.n_hit", "item_ids", "u.spans")
 
 
-def _union(runs: list) -> tuple[int, list[tuple[int, int]]]:
+def _union(runs):
     """Runs of several passes merged by their words; the offsets are those of the first and last word."""
     starts = {r["first"]: r["start"] for r in runs}
     ends = {r["last"]: r["end"] for r in runs}
@@ -189,10 +199,9 @@ def decontaminated(
     """The rows of ``docs`` without a hit word, with their columns; no shuffle."""
     spark = docs.sparkSession
     for block in _blocks(items, item_id_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(block)
 
-        def make(shared=shared):
-            automaton = Automaton(shared.value, window)
+        def make(block=block):
+            automaton = Automaton(_items(block), window)
             return lambda text: not automaton.scan(text)[1]
 
         docs = docs.filter(text_test(spark, make)(whole_text(text_col)))

@@ -83,3 +83,21 @@ def test_null_and_repeated_ids(spark, tmp_path, rows, block_bytes):
     found = dc.benchmark_hits(frame, spark.createDataFrame(items, SCHEMA), window=4, block_bytes=block_bytes)
     plain_rows = [(r.doc_id, r.n_words, r.n_hit, r.item_ids, [tuple(s) for s in r.spans]) for r in found.collect()]
     assert sorted(map(repr, plain_rows)) == sorted(repr(brute([d], items, 4)[0]) for d in docs)
+
+
+def test_benchmark_does_not_pass_through_the_driver(spark, tmp_path, rows, monkeypatch):
+    docs, items = rows
+    frame = documents(spark, [t for _, t in docs], [i for i, _ in docs], tmp_path)
+    benchmark, sizes = spark.createDataFrame(items, SCHEMA), []
+    collect = type(frame).collect
+
+    def counted(self):
+        out = collect(self)
+        sizes.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(frame), "collect", counted)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", None)
+    dc.benchmark_hits(frame, benchmark, window=4)
+    dc.decontaminated(frame, benchmark, window=4)
+    assert max(sizes) <= 1
