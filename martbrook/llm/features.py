@@ -101,19 +101,27 @@ def _judged(labels: DataFrame, label: Column, held_out: int) -> DataFrame:
     return y.filter(remainder("doc_id") != held_out).groupBy("doc_id").agg(F.max("y").alias("y"))
 
 
+#: Different labels that a sample can have.
+MOST_LABELS = 100
+
+
 def sample(
     docs: DataFrame, labels: DataFrame, label: Column, id_col: str, text_col: str, held_out: int, most: int,
 ) -> Iterator[tuple[str, int]]:
     """Whole texts and labels of at most ``most`` labelled documents of each label, those whose ids'
-    hashes are least; outside the held-out fold, as :func:`labelled`."""
+    hashes are least; outside the held-out fold, as :func:`labelled`. Of several texts of an id the one
+    whose hash is least counts. More than ``MOST_LABELS`` different labels are an error."""
     y = _judged(labels, label, held_out)
-    levels = sorted(r["y"] for r in y.select("y").distinct().limit(100).collect())
+    levels = sorted(r["y"] for r in y.select("y").distinct().limit(MOST_LABELS + 1).collect())
+    if len(levels) > MOST_LABELS:
+        raise ValueError(f"there are more than {MOST_LABELS} different labels")
     texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     for level in levels:
         chosen = y.filter(F.col("y") == level).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         rows = texts.join(F.broadcast(chosen), "doc_id")  # at most so many ids
-        for row in rows.orderBy("doc_id").toLocalIterator():
-            yield row["text"], row["y"]
+        one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+        for row in one.select("doc_id", "first.text").orderBy("doc_id").toLocalIterator():
+            yield row["text"], level
 
 
 def sigmoid(z):

@@ -108,3 +108,15 @@ def test_ordinal_slopes_and_order():
     rows = [(np.array([0]), np.array([v])) for v in x]
     model = quality._ordinal(rows, y, (0, 1, 2, 3), 1, 600, 0.0)
     assert abs(model.weights[0] - 3) < 0.3 and np.abs(model.thresholds - [-2.0, 0.5, 2.5]).max() < 0.3
+
+
+def test_sample_takes_one_text_an_id_and_no_more_labels_than_it_can(spark, tmp_path):
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 3 != 1]
+    docs = documents(spark, [f"text {k} {n}" for k in ids[:5] for n in range(50)], [k for k in ids[:5] for _ in range(50)], tmp_path)
+    labels = spark.createDataFrame([(k, k % 2) for k in ids[:5]], "doc_id bigint, y int")
+    found = list(features.sample(docs, labels, F.col("y"), "doc_id", "text", 1, 3))
+    assert sorted(int(t.split()[1]) for t, _ in found) == ids[:5] and all(int(t.split()[1]) % 2 == y for t, y in found)
+    assert found == list(features.sample(docs.repartition(7), labels, F.col("y"), "doc_id", "text", 1, 3))
+    many = spark.createDataFrame([(k, k) for k in ids[:101]], "doc_id bigint, y int")
+    with pytest.raises(ValueError):
+        list(features.sample(docs, many, F.col("y"), "doc_id", "text", 1, 3))
