@@ -31,7 +31,7 @@ from .range_coder import BLOCK, checksum, decode_blocks, encode_blocks
 from .texts import file_system, named, ship_package, whole_text
 
 # Fixed value: the mark at the start of a file.
-MAGIC = b"MBIDRC1\n"
+MAGIC = b"MBIDRC2\n"
 #: Ids from which a task begins another file; bounds its memory.
 FILE_IDS = 4 * 1024 * 1024
 #: Pieces of text whose ids a worker keeps, and texts that it tokenises at once.

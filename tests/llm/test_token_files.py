@@ -46,6 +46,15 @@ def test_prediction_pays():
     assert sum(len(b[2]) for b in rc.encode_blocks(np.zeros(4096, int))) < 100
 
 
+def test_most_frequent_id_is_predicted_without_context():
+    model = rc._Model(2)
+    for now in ([5, 9], [7, 9], [5, 8], [6, 9], [5, 4]):
+        model.learn(np.array(now), model.predict()[0] == np.array(now))
+    model.last = np.array([40_001, 40_001])  # not seen before
+    model.before = np.array([40_002, 40_002])
+    assert model.predict()[0].tolist() == [5, 9]
+
+
 def test_damage_and_wrong_ids_are_noticed():
     ids = shapes(200)[0]
     (n, check, data), *rest = rc.encode_blocks(ids, 64)
