@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, quality, secret_scan, surrogates, token_files, toxicity, warc
+from . import (
+    bpe, decontaminate, exact_dedup, jaccard, lexical_search, merkle, quality, quality_rules, secret_scan, surrogates,
+    token_files, toxicity, warc,
+)
 from .texts import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +99,26 @@ def op9_token_files(spark, folder):
 @query
 def op10_ngram_jaccard(spark, folder):
     return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
+@query
+def op11_lexical_search(spark, folder):
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_quality_rules(spark, folder):
+    return quality_rules.ruled(table(spark, folder, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, folder):
+    """The manifest, and a check of it against rows of which some were tampered with."""
+    leaf = ("doc_id", "source", "lang", "n_chars", "text")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    values = [F.col(c) if c != "n_chars" else F.col(c) + 1 for c in leaf]
+    found = merkle.manifest(
+        table(spark, folder, "documents"), leaf, "lang", tampered=F.when(touched, merkle.leaf(*values)))
+    checked = merkle.verified(found.withColumn("candidate", F.coalesce("tampered", "leaf")), "candidate")
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", "verified")

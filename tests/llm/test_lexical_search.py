@@ -1,0 +1,120 @@
+"""Ranked search against scoring everything, range maxima against maxima, awkward texts and items."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cases import LONG, TEXTS, documents
+from martbrook.llm import lexical_search
+from martbrook.llm.lexical_search import Found, RangeMaximum, Shard
+
+TERM = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+
+
+def terms(text):
+    return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for t in TERM.findall(text or "")]
+
+
+def brute(docs, items, best=20):
+    found = [(i, Counter(terms(text))) for i, text in docs]
+    found = [(i, c) for i, c in found if c]
+    n_docs, all_terms = len(found), sum(c.total() for _, c in found)
+    df = Counter(t for _, c in found for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, counts in found:
+            m = 100 - 25 + (25 * counts.total() * n_docs) // all_terms
+            score = sum(times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (
+                (1_000_000_000 * counts[t]) // (1000 * counts[t] + 12 * m)) for t, times in Counter(terms(text)).items() if t in counts)
+            if score > 0:
+                scored.append((-score, i is not None, i or 0, i))
+        out += [(item, rank, i, -score) for rank, (score, _, _, i) in enumerate(sorted(scored)[:best], 1)]
+    return sorted(out, key=str)
+
+
+def rows(frame):
+    return sorted([(r.item_id, r["rank"], r.doc_id, r.score) for r in frame.collect()], key=str)
+
+
+def items_table(spark, items):
+    return spark.createDataFrame(items, "item_id bigint, text string").withColumns({"query": F.lit("q"), "rank": F.lit(0), "score": F.lit(0)})
+
+
+def test_range_maximum():
+    random.seed(1)
+    for size in (1, 2, 3, 17, 64):
+        values = np.array([random.randrange(9) for _ in range(size)])
+        ranges = [(a, b) for a in range(size) for b in range(a + 1, size + 1)]
+        lo, hi = np.array(ranges).T
+        at = RangeMaximum(values)(lo, hi)
+        assert [values[k] for k in at] == [values[a:b].max() for a, b in ranges]
+        assert ((lo <= at) & (at < hi)).all()
+
+
+@pytest.mark.parametrize("at_a_time", [1, 3, 64])
+def test_shards_of_random_postings(at_a_time):
+    """One shard and several, ties and all, against sums over all postings."""
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        n, n_terms = int(rng.integers(1, 60)), int(rng.integers(1, 8))
+        ids, m = rng.integers(0, 40, n), rng.integers(75, 80, n)
+        owner, term = np.nonzero(rng.random((n, n_terms)) < 0.4)
+        tf, weights = rng.integers(1, 4, len(owner)), rng.integers(0, 5, n_terms)
+        asked = rng.permutation(n_terms)[: int(rng.integers(1, n_terms + 1))]
+        times = rng.integers(1, 3, len(asked))
+        impact = lexical_search.impacts(weights[term], tf, m[owner])
+        scores = np.zeros(n, dtype=np.int64)
+        for t, k in zip(asked, times):
+            np.add.at(scores, owner[term == t], k * impact[term == t])
+        want = sorted((-s, i) for s, i in zip(scores, ids) if s > 0)[:5]
+        found, cut = Found.none(), int(rng.integers(0, n + 1))
+        for part in (np.arange(n) < cut, np.arange(n) >= cut):
+            mine = part[owner]
+            renamed = np.cumsum(part) - 1
+            Shard(ids[part], m[part], renamed[owner[mine]], term[mine], tf[mine], weights).search(asked, times, found, 5, at_a_time)
+        assert [(-s, i) for s, i in zip(found.scores, found.ids)] == want
+
+
+def test_most_of_a_shard_is_not_scored():
+    """The bounds cut: of many documents few are split at."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    owner = np.repeat(np.arange(n), 3)
+    term = rng.integers(0, 50, len(owner))
+    owner, term = np.unique(np.stack([owner, term]), axis=1)
+    shard = Shard(np.arange(n), rng.integers(75, 400, n), owner, term, rng.integers(1, 9, len(owner)), rng.integers(100, 9000, 50))
+    scored = []
+    bounds = shard._bounds
+    shard._bounds = lambda lo, hi, times: (scored.append(len(lo)), bounds(lo, hi, times))[1]
+    shard.search(np.arange(5), np.ones(5, dtype=np.int64), Found.none(), 20)
+    assert sum(scored) / 2 < n / 10  # a split makes two intervals
+
+
+def test_awkward_documents_and_items(spark, tmp_path):
+    texts = [*TEXTS, "one one one two", "One, two; three-four", "two two two two two", "ſ K İ 中文", "one two three"]
+    ids = [*range(len(texts) - 4), 3, 3, None, None]
+    docs = documents(spark, texts, ids, tmp_path)
+    items = [(1, "one two three"), (2, "one ONE one"), (3, None), (4, ""), (5, "nowhere"), (6, "中文 ünïcode 字"), (None, "w1x1 w5x982 w0x0"),
+             (6, "tab nbsp control x"), (7, LONG)]
+    want = brute(list(zip(ids, texts)), items)
+    frame = items_table(spark, items)
+    assert rows(lexical_search.search(docs, frame)) == want
+    assert rows(lexical_search.search(docs, frame, block_bytes=200_000, postings=7)) == want
+    assert rows(lexical_search.search(docs, frame, best=2)) == brute(list(zip(ids, texts)), items, 2)
+    assert rows(lexical_search.search(docs, frame.limit(0))) == []
+    assert rows(lexical_search.search(docs.limit(0), frame)) == []
+    empty = documents(spark, [None, "", "--"], folder=tmp_path)
+    assert rows(lexical_search.search(empty, frame)) == []
+
+
+def test_copies_tie_by_id(spark, tmp_path):
+    texts = ["alpha beta gamma"] * 300 + ["alpha beta", "delta"] * 20
+    docs = documents(spark, texts, folder=tmp_path)
+    found = lexical_search.search(docs, items_table(spark, [(1, "gamma beta"), (2, "delta")]), postings=50)
+    assert rows(found) == brute(list(enumerate(texts)), [(1, "gamma beta"), (2, "delta")])

@@ -30,7 +30,7 @@ def test_query(spark, connection, name):
 
 def test_every_operator_has_a_query():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(numbers) == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
