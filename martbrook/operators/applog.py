@@ -56,3 +56,17 @@ def display_logs(pages: DataFrame) -> DataFrame:
 def split_logs(logs: DataFrame) -> SplitLogs:
     pages = page_logs(logs)
     return SplitLogs(start_logs(logs), pages, display_logs(pages))
+
+
+def outputs(logs: DataFrame, start: str, page: str, display: str) -> DataFrame:
+    """All records of :func:`split_logs` in one table, in one pass: ``topic`` (as named), the columns of the
+    logs, and those of a shown element (``item``, ``item_type``, ``page_id``); what a topic has not is null."""
+    shown = F.transform(F.filter("displays", lambda d: d.isNotNull()), lambda d: F.struct(F.lit(display).alias("topic"), d.alias("shown")))
+    none = F.lit(None).cast(logs.schema["displays"].dataType.elementType)
+    own = lambda topic: F.array(F.struct(F.lit(topic).alias("topic"), none.alias("shown")))
+    each = F.when(is_start(), own(start)).when(F.col("displays").isNull(), own(page)).otherwise(F.concat(own(page), shown))
+    rows = logs.select("*", F.inline(each))
+    whole = F.col("topic") != display
+    return rows.select(
+        "topic", *(F.col(name) if name == "ts" else F.when(whole, F.col(name)).alias(name) for name in logs.columns),
+        "shown.*", F.when(~whole, F.col("page.page_id")).alias("page_id"))

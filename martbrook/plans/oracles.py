@@ -36,7 +36,7 @@ VIEWS = {
         SELECT * FROM (SELECT *, lead(ms) OVER (PARTITION BY mid ORDER BY ms, seq) AS next_ms FROM page_log)
         WHERE is_entry AND (next_ms IS NULL OR next_ms - ms >= 3600000)""",
     "closed_bounce": """
-        SELECT * FROM bounce WHERE (ms // 3600000 + 2) * 3600000 <= (SELECT max(ms) FROM page_log)""",
+        SELECT * FROM bounce WHERE ms + 3600000 <= (SELECT max(ms) FROM page_log)""",
     "display": """
         SELECT CAST(k AS VARCHAR) AS item, 'sku_id' AS item_type, ms AS ts, page_id FROM page_log WHERE event_type = 'view'
         UNION ALL

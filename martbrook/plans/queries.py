@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.times import (
     date_text, event_time_seconds, hour_label, millis_text, text_millis, time_text,
@@ -417,14 +418,30 @@ def _written(house: Warehouse, out: str, topic: str) -> DataFrame:
     return topics.file_source(house.spark, path, schema)
 
 
+BATCHES = 5
+
+
+def _in_batches(rows: DataFrame, out: str, name: str, job: Callable[[DataFrame], DataStreamWriter], by: str = "ts",
+                empty_batches: bool = True) -> None:
+    """Rows that arrive in parts, by a number they have; the job is stopped after each part and started again,
+    so that it goes on from its checkpoint."""
+    least, most = rows.agg(F.min(by), F.max(by)).first()
+    if least is None:
+        return
+    session, arrived = streaming_session(rows.sparkSession), f"{out}/arrived/{name}"
+    cuts = [least + (most - least) * k // BATCHES for k in range(BATCHES)] + [most + 1]
+    for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        rows.filter((F.col(by) >= start) & (F.col(by) < end)).write.parquet(f"{arrived}/part={k}")
+        drain(job(topics.file_source(session, arrived, rows.schema)), empty_batches)
+
+
 @query
 def stream_log_split(spark, folder):
-    house, out = _streams(spark, folder, "log_split")
-    drain(log_jobs.split_job(house.logs, out))
-    read = lambda topic: read_result(spark, f"{out}/{topic}")
-    side = lambda topic: read(topic).select(
+    house, out = Warehouse(spark, folder), work_dir(spark, "log_split")
+    _in_batches(house.logs, out, "logs", lambda logs: log_jobs.split_job(logs, out))
+    side = lambda topic: log_jobs.read_topic(spark, out, topic, house.logs.schema).select(
         F.lit(topic).alias("topic"), "seq", F.col("common.is_new").alias("detail"))
-    shown = read(log_jobs.DISPLAY).select(
+    shown = log_jobs.read_topic(spark, out, log_jobs.DISPLAY, applog.display_logs(house.pages).schema).select(
         F.lit(log_jobs.DISPLAY).alias("topic"), F.col("ts").alias("seq"),
         F.concat_ws("/", "page_id", "item_type", "item").alias("detail"))
     return side(log_jobs.START).unionByName(side(log_jobs.PAGE)).unionByName(shown)
@@ -432,27 +449,27 @@ def stream_log_split(spark, folder):
 
 @query
 def stream_unique_visitor(spark, folder):
-    house, out = _streams(spark, folder, "unique_visitor")
-    drain(log_jobs.unique_visitor_job(house.pages, out, ORDER))
+    house, out = Warehouse(spark, folder), work_dir(spark, "unique_visitor")
+    _in_batches(house.pages, out, "pages", lambda pages: log_jobs.daily_unique_job(pages, out, ORDER), empty_batches=False)
     return _visit(read_result(spark, f"{out}/dwm_unique_visitor"))
 
 
 @query
 def stream_bounce(spark, folder):
-    house, out = _streams(spark, folder, "bounce")
-    drain(log_jobs.bounce_job(house.pages, out, BOUNCE_MS, ORDER))
-    return _visit(spark.read.parquet(f"{out}/dwm_user_jump_detail"))
+    house, out = Warehouse(spark, folder), work_dir(spark, "bounce")
+    _in_batches(house.pages, out, "pages", lambda pages: log_jobs.bounce_timer_job(pages, out, BOUNCE_MS, ORDER))
+    return _visit(spark.read.schema(house.pages.schema).parquet(f"{out}/dwm_user_jump_detail"))
 
 
 @query
 def stream_visitor_stats(spark, folder):
     house, out = _streams(spark, folder, "visitor_stats")
     drain(log_jobs.split_job(house.logs, out))
-    drain(log_jobs.unique_visitor_job(_written(house, out, log_jobs.PAGE), out, ORDER))
-    drain(log_jobs.bounce_job(_written(house, out, log_jobs.PAGE), out, BOUNCE_MS, ORDER))
+    pages = lambda: topics.file_source(house.spark, log_jobs.topic_folder(out, log_jobs.PAGE), house.logs.schema)
+    drain(log_jobs.daily_unique_job(pages(), out, ORDER), empty_batches=False)
+    drain(log_jobs.bounce_timer_job(pages(), out, BOUNCE_MS, ORDER))
     drain(log_jobs.visitor_stats_job(
-        _written(house, out, log_jobs.PAGE), _written(house, out, "dwm_unique_visitor"),
-        _written(house, out, "dwm_user_jump_detail"), out, WINDOW))
+        pages(), _written(house, out, "dwm_unique_visitor"), _written(house, out, "dwm_user_jump_detail"), out, WINDOW))
     return read_result(spark, f"{out}/visitor_stats").drop("ts", "dt")
 
 

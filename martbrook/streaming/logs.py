@@ -5,64 +5,59 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.times import date_text
-from ..operators.applog import split_logs
+from ..operators.applog import outputs
 from ..operators.keywords import keyword_stats, keywords, searches
-from ..operators.visitors import bounces, first_visits, repair_new_flag, unique_visitors, visitor_metrics, visitor_stats
+from ..operators.visitors import bounces, repair_new_flag, unique_visitors, visitor_metrics, visitor_stats
 from ..schemas import KEYWORD_STATS, VISITOR_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
 from .runtime import adaptive, read_if_there
+from .state import DAY_MS, bounces_by_timer, daily_firsts, visits_of_batch
 
-START, PAGE, DISPLAY, VISITS = "dwd_start_log", "dwd_page_log", "dwd_display_log", "first_visit"
-VISIT_SCHEMA = "mid string, first_date string"
-REBASE = 500  # every so many batches all first visits are written again, as the new starting point
+# The names of the topics.
+START, PAGE, DISPLAY = "dwd_start_log", "dwd_page_log", "dwd_display_log"
 
 
-def known_visits(spark: SparkSession, out: str, before: int, rebase: int = REBASE) -> DataFrame | None:
-    """The first visits written by earlier batches: the last full copy and the additions since."""
-    if before == 0:
-        return None
-    start = (before - 1) // rebase * rebase
-    return spark.read.schema(VISIT_SCHEMA).parquet(*(f"{out}/{VISITS}/batch={n}" for n in range(start, before)))
+def topic_folder(out: str, topic: str) -> str:
+    """Where :func:`split_job` leaves the records of a topic."""
+    return f"{out}/logs/topic={topic}"
+
 
+def read_topic(spark: SparkSession, out: str, topic: str, schema: T.StructType) -> DataFrame:
+    """All records of a topic; none if no batch has had any."""
+    found = read_if_there(spark, topic_folder(out, topic), schema)
+    return spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
 
-def split_job(logs: DataFrame, out: str, rebase: int = REBASE) -> DataStreamWriter:
+
+def split_job(logs: DataFrame, out: str) -> DataStreamWriter:
     """Repair the new-visitor flag and write the start, page and exposure logs.
 
-    What must be remembered, each visitor's first date, is an append-only table: a batch adds
-    the visitors it sees first, and every ``rebase`` batches one writes all of them, so that no
-    batch reads more than that many folders. That keeps the job inside Spark's join and
-    aggregation, which spread a visitor with very many records; keyed state would run them
-    through one task.
+    What must be remembered, each visitor's first visit, is keyed state (:class:`~.state.FirstVisit`), which
+    gets one row of each visitor and task. A batch brings its records together with the first visits of its own
+    visitors, and they are joined like any tables, a busy visitor's records over several tasks. What a batch reads
+    follows its size alone. All outputs are one write, in folders by topic and batch; a repeated batch replaces
+    its own.
     """
+    records = logs.select(F.struct(*logs.columns).alias("log"))
+    visits = visits_of_batch(logs).select(F.struct("mid", date_text(F.col("first_ts")).alias("first_date"), "records").alias("visit"))
+    together = records.unionByName(visits, allowMissingColumns=True)
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        found = first_visits(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        earlier = known_visits(spark, out, number, rebase)
-        if earlier is None:
-            new, visits = found, found
-        else:
-            known = earlier.join(found.select("mid", "records"), "mid")
-            new = found.join(known, "mid", "left_anti")
-            visits = known.unionByName(new)
-        repaired = repair_new_flag(batch, visits).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for topic, rows in zip((START, PAGE, DISPLAY), split_logs(repaired)):
-                append_batch(rows, f"{out}/{topic}", number)
-            added = new.drop("records")
-            full = earlier is not None and number % rebase == 0
-            append_batch(earlier.unionByName(added) if full else added, f"{out}/{VISITS}", number)
-        finally:
-            for held in (repaired, found, batch):
-                held.unpersist()
-
-    return logs.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/split")
+        with adaptive(batch.sparkSession):
+            batch.persist(StorageLevel.MEMORY_AND_DISK)  # the state is gone through once
+            try:
+                repaired = repair_new_flag(
+                    batch.filter("log IS NOT NULL").select("log.*"), batch.filter("visit IS NOT NULL").select("visit.*"))
+                outputs(repaired, START, PAGE, DISPLAY).withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").parquet(f"{out}/logs")
+            finally:
+                batch.unpersist()
+
+    return together.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/split")
 
 
 UNIQUES = "dwm_unique_visitor"
@@ -105,6 +100,27 @@ def unique_visitor_job(pages: DataFrame, out: str, order: Sequence[str] = ("ts",
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/unique_visitor")
 
 
+def daily_unique_job(pages: DataFrame, out: str, order: Sequence[str] = ("ts",), ttl_ms: int = DAY_MS) -> DataStreamWriter:
+    """Streaming daily uniques from keyed state: a batch costs what its visitors cost, and a visitor's day is
+    forgotten ``ttl_ms`` after it was written. :func:`unique_visitor_job` forgets nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        append_batch(batch.drop("dt"), f"{out}/{UNIQUES}", number, date_text(F.col("ts")))
+
+    return (
+        daily_firsts(pages, order, ttl_ms).writeStream.outputMode("append").foreachBatch(write)
+        .option("checkpointLocation", f"{out}/checkpoints/daily_unique")
+    )
+
+
+def bounce_timer_job(pages: DataFrame, out: str, within_ms: int = 1000, order: Sequence[str] = ("ts",),
+                     delay: str = "0 seconds") -> DataStreamWriter:
+    """Bounces when they are decided, from keyed state and timers; :func:`bounce_job` needs no state of its
+    own but waits for its windows to close."""
+    return folder_sink(bounces_by_timer(pages, within_ms, order, delay), f"{out}/dwm_user_jump_detail",
+                       f"{out}/checkpoints/user_jump_timer")
+
+
 def bounce_job(pages: DataFrame, out: str, within_ms: int = 1000, order: Sequence[str] = ("ts",),
                delay: str = "0 seconds") -> DataStreamWriter:
     return folder_sink(bounces(pages, within_ms, order, delay), f"{out}/dwm_user_jump_detail",

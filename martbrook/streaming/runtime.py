@@ -10,9 +10,22 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def drain(writer: DataStreamWriter) -> StreamingQuery:
-    """Run a job over everything its source holds now, then stop."""
-    query = writer.trigger(availableNow=True).start()
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def drain(writer: DataStreamWriter, empty_batches: bool = True) -> StreamingQuery:
+    """Run a job over everything its source holds now, then stop.
+
+    State that expires by the clock asks for another batch for ever, so such a job is drained without
+    ``empty_batches``; others need them to act on the last watermark.
+    """
+    conf = writer._spark.conf
+    before = conf.get(NO_DATA)
+    conf.set(NO_DATA, str(empty_batches).lower())  # a query takes the settings of when it starts
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set(NO_DATA, before)
     query.awaitTermination()
     return query
 

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import json
+import random
+import time
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F, types as T
 
 from martbrook import schemas
-from martbrook.operators import products, visitors, wide
+from martbrook.operators import applog, products, visitors, wide
 from martbrook.session import streaming_session
 from martbrook.sources import results, topics
 from martbrook.sources.given import stream
-from martbrook.streaming import changes as change_jobs, logs as log_jobs, orders as order_jobs
+from martbrook.streaming import changes as change_jobs, logs as log_jobs, orders as order_jobs, state
 from martbrook.streaming.runtime import drain
 from rows import LOGS, log, logs, ms, table, values
 
@@ -57,12 +59,13 @@ def test_log_jobs_equal_batch(spark, tmp_path):
     everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
     repaired = visitors.repair_new_flag(everything)
     pages = repaired.filter("start IS NULL")
-    written = lambda name: results.read_result(spark, f"{out}/{name}")
+    written = lambda name: results.read_result(spark, f"{out}/{name}" if name.startswith("dwm") or "stats" in name else log_jobs.topic_folder(out, name))
     assert values(written(log_jobs.PAGE), "seq", "common.is_new") == values(pages, "seq", "common.is_new")
     assert values(written(log_jobs.START), "seq") == values(repaired.filter("start IS NOT NULL"), "seq")
     assert written(log_jobs.DISPLAY).count() == pages.filter("displays IS NOT NULL").count()
 
-    source = lambda name: topics.file_source(topic.spark, f"{out}/{name}", LOGS)
+    source = lambda name: topics.file_source(
+        topic.spark, log_jobs.topic_folder(out, name) if name == log_jobs.PAGE else f"{out}/{name}", LOGS)
     drain(log_jobs.unique_visitor_job(source(log_jobs.PAGE), out, ("ts", "seq")))
     uniques = visitors.unique_visitors(pages, ("ts", "seq"))
     assert values(written("dwm_unique_visitor"), "seq") == values(uniques, "seq")
@@ -83,18 +86,110 @@ def test_log_jobs_equal_batch(spark, tmp_path):
     assert set(schemas.VISITOR_STATS) < set(stats.columns)
 
 
-def test_first_visits_are_written_whole_now_and_then(spark, tmp_path):
+def test_first_visits_are_kept_as_state(spark, tmp_path):
+    """Six batches with a restart before each: a visitor's day holds, and a batch reads as much as the one before."""
     topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
-    days = [logs(spark, log("old", T0 + day * 86_400_000, seq=10 * day), log(f"m{day}", T0 + day * 86_400_000, seq=10 * day + 1))
-            for day in range(5)]
-    for rows in days:
-        topic.add(rows)
-    drain(log_jobs.split_job(topic.read(), out, rebase=2))
-    assert values(results.read_result(spark, f"{out}/{log_jobs.PAGE}"), "seq", "common.is_new") == sorted(
-        [(10 * d, "1" if d == 0 else "0") for d in range(5)] + [(10 * d + 1, "1") for d in range(5)], key=str)
-    counts = [spark.read.parquet(f"{out}/{log_jobs.VISITS}/batch={n}").count() for n in range(5)]
-    assert counts == [2, 1, 4, 1, 6]
-    assert log_jobs.known_visits(spark, out, 5, rebase=2).count() == 6
+    read = []
+    for day in range(6):
+        at = T0 + day * 86_400_000
+        topic.add(logs(spark, log("old", at, seq=100 * day), *(log(f"m{day}-{n}", at + n, seq=100 * day + n) for n in range(1, 30))))
+        query = drain(log_jobs.split_job(topic.read(), out))
+        (progress,) = [p for p in query.recentProgress if p.numInputRows]
+        read.append((progress.numInputRows, progress.stateOperators[0].numRowsUpdated))
+        assert progress.stateOperators[0].numRowsTotal == 1 + 29 * (day + 1)
+    pages = log_jobs.read_topic(spark, out, log_jobs.PAGE, LOGS)
+    assert values(pages.filter("common.is_new = '0'"), "seq") == sorted([(100 * day,) for day in range(1, 6)], key=str)
+    assert pages.count() == 180
+    # Rows in do not grow with the visitors known so far; nor do the keys that are written.
+    assert {rows for rows, _ in read} == {read[0][0]} and {written for _, written in read[1:]} == {29}
+
+
+def test_first_visit_is_the_first_to_arrive(spark, tmp_path):
+    """A claim of an earlier date that comes later changes nothing, and records without claim, visitor or time pass."""
+    topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+    day = 86_400_000
+    topic.add(logs(spark, log("a", T0, seq=1), log("a", T0 + day, seq=2), log(None, T0, seq=3), log("b", T0, is_new="0", seq=4)))
+    topic.add(logs(spark, log("a", T0 - day, seq=5), log("a", T0 + 1, seq=6), log("b", T0 + day, is_new=None, seq=7)))
+    drain(log_jobs.split_job(topic.read(), out))
+    pages = log_jobs.read_topic(spark, out, log_jobs.PAGE, LOGS)
+    assert values(pages, "seq", "common.is_new") == sorted(
+        [(1, "1"), (2, "0"), (3, "1"), (4, "0"), (5, "0"), (6, "1"), (7, None)], key=str)
+    assert log_jobs.read_topic(spark, out, log_jobs.START, LOGS).count() == 0
+
+
+def test_outputs_of_a_batch_are_one_write(spark, tmp_path):
+    """The records of all topics in one pass equal the three filtered ones, columns and all."""
+    rows = day_logs(spark, 0, range(40)).unionByName(logs(spark, log("x", T0, displays=[], seq=90), log("y", T0, displays=[None, ("2", "t")], seq=91)))
+    together = applog.outputs(rows, "s", "p", "d")
+    start, page, display = applog.split_logs(rows)
+    for topic, frame in (("s", start), ("p", page), ("d", display)):
+        mine = together.filter(F.col("topic") == topic)
+        assert values(mine, *frame.columns) == values(frame, *frame.columns) and frame.count()
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 2 and "Exchange" not in plan
+
+
+def test_uniques_expire(spark, tmp_path):
+    """What was written longer ago than the limit is never returned, what was written later still is."""
+    topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+    job = lambda: drain(log_jobs.daily_unique_job(topic.read(), out, ("ts", "seq"), ttl_ms=8000), empty_batches=False)
+    found = lambda: values(results.read_result(spark, f"{out}/dwm_unique_visitor"), "seq")
+    topic.add(logs(spark, log("a", T0 + 5, seq=1), log("a", T0 + 5, seq=0), log("a", T0 + 9, last="x", seq=2), log("b", T0, seq=3)))
+    job()
+    topic.add(logs(spark, log("a", T0 + 1, seq=4), log("a", T0 + 86_400_000, seq=5)))
+    job()
+    assert found() == [(0,), (3,), (5,)]
+    time.sleep(9)
+    topic.add(logs(spark, log("a", T0 + 7, seq=6), log("c", T0, seq=7)))
+    job()
+    assert found() == [(0,), (3,), (5,), (6,), (7,)]
+    topic.add(logs(spark, log("c", T0 - 1, seq=8)))
+    job()
+    assert found() == [(0,), (3,), (5,), (6,), (7,)]
+
+
+def test_thinning_loses_no_bounce():
+    """Records of a visitor cut into parts and thinned in any grouping decide the same entries."""
+    rng = random.Random(7)
+    for _ in range(400):
+        limit = rng.choice([1, 3, 10])
+        records = sorted((ts, n, f"p{n}" if rng.random() < 0.5 else None) for n, ts in enumerate(rng.choices(range(30), k=rng.randrange(1, 14))))
+        want = [r[-1] for k, r in enumerate(records) if r[-1] and (k + 1 == len(records) or records[k + 1][0] - r[0] >= limit)]
+        parts = [[], [], []]
+        for r in records:
+            rng.choice(parts).append(r)
+        left = state.thinned(sorted((r for part in parts for r in state.thinned(part, limit)), key=state._place), limit)
+        assert [r[-1] for r in left if r[-1]] == want
+        assert sum(r[-1] is None for r in state.thinned([(t, t, None) for t in range(100)], 10)) <= 22
+
+
+def test_bounces_come_when_decided(spark, tmp_path):
+    """A timer fires as soon as the watermark passes the limit; records out of order within the delay count."""
+    topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+    job = lambda delay: drain(log_jobs.bounce_timer_job(topic.read(), out, 1000, ("ts", "seq"), delay))
+    found = lambda: values(spark.read.schema(LOGS).parquet(f"{out}/dwm_user_jump_detail"), "seq")
+    topic.add(logs(spark, log("a", T0, seq=1), log("b", T0 + 400, seq=2), log("c", T0 + 500, seq=3), log("c", T0 + 500, seq=4)))
+    topic.add(logs(spark, log("b", T0 + 1399, last="x", seq=5), log("z", T0 + 1000, last="x", seq=6)))
+    job("0 seconds")
+    assert found() == [(1,)]  # not refuted, and the watermark is at its limit; the others are not decided yet
+    topic.add(logs(spark, log("z", T0 + 1500, last="x", seq=7)))
+    job("0 seconds")
+    assert found() == [(1,), (4,)]  # of two at one moment the later is the last
+    topic.add(logs(spark, log("z", T0 + 90_000, last="x", seq=8), log("d", T0 + 90_000, seq=9)))
+    topic.add(logs(spark, log("a", T0 + 100, seq=10), log("d", T0 + 90_000, last="x", seq=11)))
+    job("0 seconds")
+    assert found() == [(1,), (4,)]
+
+
+def test_bounces_out_of_order(spark, tmp_path):
+    topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
+    times = [0, 5000, 2500, 4100, 9000, 7900, 8100, 30_000]
+    rows = [log(f"m{n % 2}", T0 + t, seq=n, last=None if n % 3 else "x") for n, t in enumerate(times)]
+    for row in rows:
+        topic.add(logs(spark, row))
+    drain(log_jobs.bounce_timer_job(topic.read(), out, 1000, ("ts", "seq"), "4 seconds"))
+    whole = visitors.bounces(logs(spark, *rows), 1000, ("ts", "seq")).filter(F.col("ts") < T0 + 26_000)
+    assert values(spark.read.schema(LOGS).parquet(f"{out}/dwm_user_jump_detail"), "seq") == values(whole, "seq")
 
 
 def test_bounce_next_record_in_a_later_batch(spark, tmp_path):
