@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession, functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
+
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -68,12 +72,26 @@ def longest_match(run: str, words: frozenset[str], longest: int) -> list[str]:
 
 
 def register_keyword_function(spark: SparkSession, name: str = "ik_analyze", dictionary: Iterable[str] | None = None) -> None:
-    """``SELECT ... FROM t, LATERAL name(text) AS k(word)``; Catalyst inlines the body. A dictionary is
-    limited to what one pattern takes."""
+    """``SELECT ... FROM t, LATERAL name(text) AS k(word)``. Catalyst inlines the body of a pattern; a dictionary
+    of more than ``PATTERN_WORDS`` words becomes a table function in Python that cuts alike."""
     words = [] if dictionary is None else sorted({word.lower() for word in dictionary if word})
-    if len(words) > PATTERN_WORDS:
-        raise ValueError(f"the SQL function takes at most {PATTERN_WORDS} words; use tokens() for more")
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING) "
-        f"RETURN SELECT explode(regexp_extract_all(lower(text), r'{word_pattern(words)}', 0))"
-    )
+    if len(words) <= PATTERN_WORDS:
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING) "
+            f"RETURN SELECT explode(regexp_extract_all(lower(text), r'{word_pattern(words)}', 0))"
+        )
+        return
+    shared = spark.sparkContext.broadcast((frozenset(words), max(map(len, words))))
+
+    class Cut:
+        def __init__(self):
+            import regex
+
+            self.known, self.run = shared.value, regex.compile(WORD)
+
+        def eval(self, text):
+            for run in self.run.findall(text.lower()) if text is not None else ():
+                for word in longest_match(run, *self.known):
+                    yield (word,)
+
+    spark.udtf.register(name, F.udtf(Cut, returnType="word string", useArrow=True))

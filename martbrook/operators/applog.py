@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schemas import APP_LOG
 
@@ -15,12 +15,35 @@ class SplitLogs(NamedTuple):
     display: DataFrame
 
 
-def parse_logs(raw: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to app-log records.
+def parsed(raw: DataFrame, schema: T.StructType = APP_LOG, column: str = "value") -> DataFrame:
+    """JSON text as records of ``schema``, the other columns of ``raw``, and ``bad``: the text, where it is no
+    whole record.
 
-    The generator parses each text once; as a projection, later filters would repeat the parsing.
+    That is text which is not JSON, blank or null, no object, or has a field of another type. A field that is
+    missing is null; what follows a whole object is not looked at. The generator parses each text once; as a projection, later filters would repeat the parsing.
     """
-    return raw.select(F.inline(F.array(F.from_json(column, APP_LOG))))
+    rest = [F.col(f"`{name}`") for name in raw.columns if name != column]
+    corrupt = T.StructType([*schema, T.StructField("__corrupt", T.StringType())])
+    record = F.from_json(F.col(f"`{column}`"), corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
+    text = F.coalesce(F.col(f"`{column}`"), F.lit(""))
+    rows = raw.select(*rest, F.inline(F.array(F.struct(text.alias("__text"), record.alias("__record")))))
+    whole = F.startswith(F.ltrim("__text"), F.lit("{")) & F.col("__record").isNotNull() & F.col("__record.__corrupt").isNull()
+    return rows.select(*rest, *(F.col(f"__record.`{f.name}`").alias(f.name) for f in schema), F.when(~whole, F.col("__text")).alias("bad"))
+
+
+def good(rows: DataFrame) -> DataFrame:
+    """The records among rows of :func:`parsed`."""
+    return rows.filter(F.col("bad").isNull()).drop("bad")
+
+
+def bad_lines(rows: DataFrame) -> DataFrame:
+    """The text of what is none among rows of :func:`parsed`, as ``value``."""
+    return rows.filter(F.col("bad").isNotNull()).select(F.col("bad").alias("value"))
+
+
+def parse_logs(raw: DataFrame, column: str = "value") -> DataFrame:
+    """JSON text to app-log records; lines that are none are left out (:func:`parsed` has them)."""
+    return good(parsed(raw.select(F.col(f"`{column}`")), APP_LOG, column))
 
 
 def is_start() -> Column:

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import CHANGE, CHANGE_ENVELOPE
+from .applog import good, parsed
 
 TO_TOPIC, TO_DIMENSION = "kafka", "hbase"  # fixed values: sink types in the routing configuration
 
@@ -22,13 +23,13 @@ def flatten_envelopes(raw: DataFrame, column: str = "value", deletes: bool = Fal
     """Capture envelopes to ``database, table, type, data``; a delete has empty data, unless
     ``deletes`` asks for the row as it was before.
 
-    Columns of ``raw`` other than the text (an offset, a time) are kept. The generator parses
-    each text once; as a projection, later filters would repeat the parsing.
+    Columns of ``raw`` other than the text (an offset, a time) are kept. Text that is no envelope
+    is left out; :func:`~.applog.parsed` with that schema has it.
     """
     after = F.when(op_is_delete(), F.col("before")).otherwise(F.col("after")) if deletes else F.col("after")
     rest = [name for name in raw.columns if name != column]
     op = F.lower("op")
-    return raw.select(*rest, F.inline(F.array(F.from_json(column, CHANGE_ENVELOPE)))).select(
+    return good(parsed(raw, CHANGE_ENVELOPE, column)).select(
         *rest,
         F.col("source.db").alias("database"),
         F.col("source.table").alias("table"),
@@ -43,9 +44,8 @@ def op_is_delete() -> Column:
 
 
 def parse_changes(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Change events that are already flat JSON."""
-    rest = [name for name in raw.columns if name != column]
-    return raw.select(*rest, F.inline(F.array(F.from_json(column, CHANGE))))
+    """Change events that are already flat JSON; text that is none is left out."""
+    return good(parsed(raw, CHANGE, column))
 
 
 def clean_changes(changes: DataFrame) -> DataFrame:

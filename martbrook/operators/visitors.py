@@ -149,11 +149,20 @@ def visitor_metrics(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> D
     )
 
 
-def visitor_stats(metrics: DataFrame, window: str = "10 seconds", delay: str = "3 seconds") -> DataFrame:
-    """Metrics summed per tumbling window, version, channel, area and visitor kind."""
+def with_watermark(metrics: DataFrame, delay: str) -> DataFrame:
+    """Metrics of one input with an event time and a watermark of its own.
+
+    After a union of such inputs, :func:`visitor_stats` without a delay goes by all their watermarks: by the least of
+    them, so that a slow input loses nothing, or by the greatest (``spark.sql.streaming.multipleWatermarkPolicy``).
+    """
+    return metrics.withColumn("event_time", event_time(F.col("ts"))).withWatermark("event_time", delay)
+
+
+def visitor_stats(metrics: DataFrame, window: str = "10 seconds", delay: str | None = "3 seconds") -> DataFrame:
+    """Metrics summed per tumbling window, version, channel, area and visitor kind. Without ``delay`` the metrics
+    have watermarks already."""
     return (
-        metrics.withColumn("event_time", event_time(F.col("ts")))
-        .withWatermark("event_time", delay)
+        (metrics if delay is None else with_watermark(metrics, delay))
         .groupBy(F.window("event_time", window), *STAT_KEYS)
         .agg(*(F.sum(name).alias(name) for name in STAT_SUMS))
         .select(*window_bounds(), *STAT_KEYS, *STAT_SUMS)

@@ -37,6 +37,12 @@ VIEWS = {
         WHERE is_entry AND (next_ms IS NULL OR next_ms - ms >= 3600000)""",
     "closed_bounce": """
         SELECT * FROM bounce WHERE ms + 3600000 <= (SELECT max(ms) FROM page_log)""",
+    "raw_page": """
+        SELECT *, seq % 5 AS turn, (ms // 3600000 + 1) * 3600000 AS window_end FROM app_log WHERE NOT is_start""",
+    "turn_latest": "SELECT turn AS of, max(ms) AS latest FROM raw_page GROUP BY turn",
+    "late_page": """
+        SELECT p.* FROM raw_page p
+        WHERE window_end <= (SELECT max(latest) FROM turn_latest WHERE of <= p.turn - 2) - 10 * 86400000""",
     "display": """
         SELECT CAST(k AS VARCHAR) AS item, 'sku_id' AS item_type, ms AS ts, page_id FROM page_log WHERE event_type = 'view'
         UNION ALL
@@ -220,6 +226,49 @@ def _closed(latest: str, delay_ms: int = 3000) -> str:
     return f" WHERE (hour_no + 1) * {HOUR} <= (SELECT {latest}) - {delay_ms}"
 
 
+def _damaged(body: str) -> str:
+    """``body`` over the logs without every eleventh line, which is broken."""
+    return _sql(body).replace("AS k FROM events)", "AS k FROM events WHERE event_id % 11 <> 3)")
+
+
+def _segments() -> str:
+    """From its end to its start, each run carries the cost of the best cut of every rest (a million for a letter in
+    no word, one for a word) and the length of the word it begins with, 0 for a letter in none."""
+    is_word = "regexp_full_match({}, '[bcdfghjklmnpqrstvwxyz][aeiou]([bcdfghjklmnpqrstvwxyz][aeiou]?)?')"
+    takes = ", ".join(
+        f"CASE WHEN pos + {n - 1} <= length(run) AND {is_word.format(f'substr(run, pos, {n})')} THEN "
+        f"(coalesce(costs[{n}], 0) + 1) * 10 + {9 - n} END" for n in (4, 3, 2))
+    return f"""WITH RECURSIVE runs AS (
+        SELECT run, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS run FROM documents) GROUP BY run),
+      cut AS (
+        SELECT run, n, length(run) AS pos, CAST([] AS BIGINT[]) AS costs, CAST([] AS INTEGER[]) AS steps FROM runs
+        UNION ALL
+        SELECT run, n, pos - 1, list_prepend(choice // 10, costs),
+               list_prepend(CAST(CASE WHEN choice % 10 = 9 THEN 0 ELSE 9 - choice % 10 END AS INTEGER), steps)
+        FROM (SELECT *, list_min([x for x in [(coalesce(costs[1], 0) + 1000000) * 10 + 9, {takes}] if x IS NOT NULL]) AS choice
+              FROM cut WHERE pos > 0)),
+      walk AS (
+        SELECT run, n, steps, 1 AS pos, 1 AS plain, CAST([] AS VARCHAR[]) AS words FROM cut WHERE pos = 0
+        UNION ALL
+        SELECT run, n, steps, pos + greatest(step, 1), CASE WHEN step > 0 THEN pos + step ELSE plain END,
+               CASE WHEN step = 0 THEN words WHEN plain < pos THEN words || [substr(run, plain, pos - plain), substr(run, pos, step)]
+                    ELSE words || [substr(run, pos, step)] END
+        FROM (SELECT *, steps[pos] AS step FROM walk WHERE pos <= length(run))),
+      found AS (
+        SELECT n, unnest(CASE WHEN plain < pos THEN words || [substr(run, plain)] ELSE words END) AS keyword
+        FROM walk WHERE pos > length(run))
+      SELECT keyword, CAST(sum(n) AS BIGINT) AS ct, CAST(sum(n) AS BIGINT) AS sql_ct FROM found GROUP BY keyword"""
+
+
+def _late() -> str:
+    """A window is closed by a batch when it ends ten days before the latest of all earlier batches; what comes for
+    it in a batch after that is late."""
+    return _sql(f"""SELECT 'row' AS kind, CAST(turn AS INTEGER) AS batch, mid || '/' || seq AS mid, {AT.format('ms')} AS at,
+               CAST(1 AS BIGINT) AS n FROM late_page
+        UNION ALL SELECT 'dropped', CAST(batch AS INTEGER), NULL, NULL, count(DISTINCT (ms // {HOUR}, vc, ch, ar, is_new)) FILTER (WHERE seq IS NOT NULL)
+        FROM range(5) AS batches(batch) LEFT JOIN late_page ON turn = batch GROUP BY batch""")
+
+
 def _top(keys: str, extra: str = "") -> str:
     return f"""SELECT {keys}, CAST(sum(order_amount) AS DOUBLE) AS order_amount{extra} FROM sales
         GROUP BY {keys} HAVING sum(order_amount) > 0 ORDER BY sum(order_amount) DESC, {keys} LIMIT 5"""
@@ -325,6 +374,17 @@ ORACLES = {
     "stream_log_split": _sql("""
         SELECT CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, seq, is_new AS detail FROM repaired
         UNION ALL SELECT 'dwd_display_log', ts, page_id || '/' || item_type || '/' || item FROM display"""),
+    "bad_log_lines": _damaged("""
+        SELECT CASE event_id % 33 WHEN 3 THEN '{"common": {"mid": "' || event_id WHEN 14 THEN '[' || event_id || ']' ELSE '' END AS line,
+               count(*) AS ct FROM events WHERE event_id % 11 = 3 GROUP BY line
+        UNION ALL SELECT 'page ' || page_id, count(*) FROM page_log GROUP BY page_id"""),
+    "stream_text_split": _damaged("""
+        SELECT CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, CAST(seq AS VARCHAR) AS line,
+               is_new AS detail FROM repaired
+        UNION ALL SELECT 'bad_log_line', CASE event_id % 33 WHEN 3 THEN '{"common": {"mid": "' || event_id
+               WHEN 14 THEN '[' || event_id || ']' ELSE '' END, NULL FROM events WHERE event_id % 11 = 3"""),
+    "stream_late_rows": _late(),
+    "keyword_segments": _segments(),
     "stream_unique_visitor": _sql(VISIT + "uniques"),
     "stream_bounce": _sql(VISIT + "closed_bounce"),
     "stream_visitor_stats": _sql(VISITOR + _closed("max(ms) FROM visitor_metric"), "closed_bounce"),

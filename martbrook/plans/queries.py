@@ -6,17 +6,18 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.times import (
     date_text, event_time_seconds, hour_label, millis_text, text_millis, time_text,
 )
+from ..functions.segments import register_segment_function, segments
 from ..functions.tokens import tokens
 from ..operators import applog, changes, dashboard, keywords, products, provinces, visitors, wide
 from ..session import streaming_session, work_dir
 from ..sources import given, topics
 from ..sources.results import append_batch, read_result, result_rows
-from ..streaming import changes as change_jobs, logs as log_jobs, orders as order_jobs
+from ..streaming import changes as change_jobs, late, logs as log_jobs, orders as order_jobs
 from ..streaming.runtime import drain
 from .warehouse import AS_OF, BOUNCE_MS, ORDER, WINDOW, Warehouse
 
@@ -264,6 +265,29 @@ def keyword_dictionary(spark, folder):
     return words.groupBy("keyword").agg(F.count("*").alias("ct"))
 
 
+CONSONANTS, VOWELS = "bcdfghjklmnpqrstvwxyz", "aeiou"
+
+
+def syllables() -> list[str]:
+    """A dictionary of 13,335 words by rule: a consonant and a vowel, the same and a consonant, and two such pairs."""
+    pairs = [c + v for c in CONSONANTS for v in VOWELS]
+    return [*pairs, *(p + c for p in pairs for c in CONSONANTS), *(p + q for p in pairs for q in pairs)]
+
+
+@query
+def keyword_segments(spark, folder):
+    """All documents cut at the words of a large dictionary, the best of overlapping cuts; as a column function
+    and as a table function of SQL, which must say the same."""
+    documents = Warehouse(spark, folder).table("documents")
+    words = documents.select(F.explode(segments(F.col("text"), syllables())).alias("keyword"))
+    register_segment_function(spark, "cut_text", syllables())
+    documents.createOrReplaceTempView("texts_to_cut")
+    in_sql = spark.sql("SELECT k.word AS keyword FROM texts_to_cut, LATERAL cut_text(text) AS k(word)")
+    each = words.groupBy("keyword").agg(F.count("*").alias("ct")).withColumn("sql_ct", F.lit(0).cast("bigint")).unionByName(
+        in_sql.groupBy("keyword").agg(F.count("*").alias("sql_ct")).withColumn("ct", F.lit(0).cast("bigint")))
+    return each.groupBy("keyword").agg(F.sum("ct").alias("ct"), F.sum("sql_ct").alias("sql_ct"))
+
+
 @query
 def view_messages(spark, folder):
     """Messages for one topic."""
@@ -422,17 +446,25 @@ BATCHES = 5
 
 
 def _in_batches(rows: DataFrame, out: str, name: str, job: Callable[[DataFrame], DataStreamWriter], by: str = "ts",
-                empty_batches: bool = True) -> None:
-    """Rows that arrive in parts, by a number they have; the job is stopped after each part and started again,
-    so that it goes on from its checkpoint."""
+                empty_batches: bool = True, text: bool = False) -> list[StreamingQuery]:
+    """Rows that arrive in parts, by a number they have, as they are or as the ``text`` in their column ``value``; the
+    job is stopped after each part and started again, so that it goes on from its checkpoint."""
     least, most = rows.agg(F.min(by), F.max(by)).first()
     if least is None:
-        return
+        return []
+    queries = []
     session, arrived = streaming_session(rows.sparkSession), f"{out}/arrived/{name}"
     cuts = [least + (most - least) * k // BATCHES for k in range(BATCHES)] + [most + 1]
     for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
-        rows.filter((F.col(by) >= start) & (F.col(by) < end)).write.parquet(f"{arrived}/part={k}")
-        drain(job(topics.file_source(session, arrived, rows.schema)), empty_batches)
+        part = rows.filter((F.col(by) >= start) & (F.col(by) < end))
+        if text:
+            part.select("value").write.text(f"{arrived}/part={k}")
+            source = topics.log_source(session, arrived)
+        else:
+            part.write.parquet(f"{arrived}/part={k}")
+            source = topics.file_source(session, arrived, rows.schema)
+        queries.append(drain(job(source), empty_batches))
+    return queries
 
 
 @query
@@ -447,6 +479,58 @@ def stream_log_split(spark, folder):
     return side(log_jobs.START).unionByName(side(log_jobs.PAGE)).unionByName(shown)
 
 
+def _damaged_lines(logs: DataFrame) -> DataFrame:
+    """Logs as JSON lines, some of which are broken, blank or no object."""
+    seq = F.col("seq")
+    line = F.when(seq % 33 == 3, F.concat(F.lit('{"common": {"mid": "'), seq)).when(seq % 33 == 14, F.concat(F.lit("["), seq, F.lit("]")))
+    line = line.when(seq % 33 == 25, "").otherwise(F.to_json(F.struct(*logs.columns)))
+    return logs.select(line.alias("value"), "ts")
+
+
+@query
+def bad_log_lines(spark, folder):
+    """Lines that are no records, and how often each comes, beside the records that each page has."""
+    logs = Warehouse(spark, folder).logs
+    rows = applog.parsed(_damaged_lines(logs).select("value"), logs.schema)
+    bad = applog.bad_lines(rows).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("ct"))
+    pages = applog.page_logs(applog.good(rows)).groupBy(F.concat(F.lit("page "), "page.page_id").alias("line"))
+    return bad.unionByName(pages.agg(F.count("*").alias("ct")))
+
+
+@query
+def stream_text_split(spark, folder):
+    """The log job from JSON text, some of it broken."""
+    house, out = Warehouse(spark, folder), work_dir(spark, "text_split")
+    schema = house.logs.schema
+    _in_batches(_damaged_lines(house.logs), out, "lines",
+                lambda lines: log_jobs.split_job(applog.parsed(lines, schema), out), text=True)
+    side = lambda topic: log_jobs.read_topic(spark, out, topic, schema).select(
+        F.lit(topic).alias("topic"), F.col("seq").cast("string").alias("line"), F.col("common.is_new").alias("detail"))
+    bad = log_jobs.read_topic(spark, out, log_jobs.BAD, T.StructType.fromDDL("value string"))
+    return side(log_jobs.START).unionByName(side(log_jobs.PAGE)).unionByName(bad.select(
+        F.lit(log_jobs.BAD).alias("topic"), F.col("value").alias("line"), F.lit(None).cast("string").alias("detail")))
+
+
+LATE_DELAY = "10 days"
+
+
+@query
+def stream_late_rows(spark, folder):
+    """Page metrics that arrive in turns over the whole time: rows that come for closed windows, and the groups
+    that Spark says it has dropped in each batch."""
+    house, out = Warehouse(spark, folder), work_dir(spark, "late_rows")
+    metrics = visitors.page_view_metrics(house.pages.withColumn("common", F.col("common").withField(
+        "mid", F.concat_ws("/", "common.mid", "seq")))).withColumn("turn", F.element_at(F.split("mid", "/"), 2).cast("bigint") % BATCHES * 10)
+    queries = _in_batches(metrics, out, "metrics", lambda rows: late.visitor_stats_and_late_rows(rows.drop("turn"), out, WINDOW, LATE_DELAY),
+                          by="turn", empty_batches=False)
+    counts = [(batch, n) for q in queries for batch, n in late.dropped_by_batch(q).items()]
+    dropped = spark.createDataFrame(counts, "batch int, n bigint").select(
+        F.lit("dropped").alias("kind"), "batch", F.lit(None).cast("string").alias("mid"), F.lit(None).cast("string").alias("at"), "n")
+    rows = late.late_rows(spark, out, metrics.drop("turn").schema).select(
+        F.lit("row").alias("kind"), "batch", "mid", millis_text(F.col("ts")).alias("at"), F.lit(1).cast("bigint").alias("n"))
+    return rows.unionByName(dropped)
+
+
 @query
 def stream_unique_visitor(spark, folder):
     house, out = Warehouse(spark, folder), work_dir(spark, "unique_visitor")

@@ -39,7 +39,7 @@ def declare_view(raw: DataFrame, name: str, schema: T.StructType, time_column: s
 
     The event time ``rowtime`` comes from a time text, or from epoch milliseconds.
     """
-    rows = raw.select(F.from_json("value", schema).alias("r")).select("r.*")
+    rows = raw.select(F.inline(F.array(F.from_json("value", schema))))  # parsed once, whatever filters follow
     when = F.timestamp_millis(F.col(time_column)) if millis else text_time(F.col(time_column))
     view = rows.withColumn("rowtime", when).withWatermark("rowtime", delay)
     view.createOrReplaceTempView(name)

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.times import date_text
-from ..operators.applog import outputs
+from ..operators.applog import bad_lines, good, outputs
 from ..operators.keywords import keyword_stats, keywords, searches
-from ..operators.visitors import bounces, repair_new_flag, unique_visitors, visitor_metrics, visitor_stats
+from ..operators.visitors import (
+    bounce_metrics, bounces, page_view_metrics, repair_new_flag, unique_visitor_metrics, unique_visitors, visitor_metrics,
+    visitor_stats, with_watermark,
+)
 from ..schemas import KEYWORD_STATS, VISITOR_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
@@ -20,6 +23,7 @@ from .state import DAY_MS, bounces_by_timer, daily_firsts, visits_of_batch
 
 # The names of the topics.
 START, PAGE, DISPLAY = "dwd_start_log", "dwd_page_log", "dwd_display_log"
+BAD = "bad_log_line"
 
 
 def topic_folder(out: str, topic: str) -> str:
@@ -40,8 +44,10 @@ def split_job(logs: DataFrame, out: str) -> DataStreamWriter:
     gets one row of each visitor and task. A batch brings its records together with the first visits of its own
     visitors, and they are joined like any tables, a busy visitor's records over several tasks. What a batch reads
     follows its size alone. All outputs are one write, in folders by topic and batch; a repeated batch replaces
-    its own.
+    its own. Rows of :func:`~..operators.applog.parsed` go on as records or, where they are none, as their text to
+    a topic of bad lines.
     """
+    text = "bad" in logs.columns
     records = logs.select(F.struct(*logs.columns).alias("log"))
     visits = visits_of_batch(logs).select(F.struct("mid", date_text(F.col("first_ts")).alias("first_date"), "records").alias("visit"))
     together = records.unionByName(visits, allowMissingColumns=True)
@@ -50,9 +56,12 @@ def split_job(logs: DataFrame, out: str) -> DataStreamWriter:
         with adaptive(batch.sparkSession):
             batch.persist(StorageLevel.MEMORY_AND_DISK)  # the state is gone through once
             try:
-                repaired = repair_new_flag(
-                    batch.filter("log IS NOT NULL").select("log.*"), batch.filter("visit IS NOT NULL").select("visit.*"))
-                outputs(repaired, START, PAGE, DISPLAY).withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+                rows, visits = batch.filter("log IS NOT NULL").select("log.*"), batch.filter("visit IS NOT NULL").select("visit.*")
+                repaired = repair_new_flag(good(rows) if text else rows, visits)
+                found = outputs(repaired, START, PAGE, DISPLAY)
+                if text:
+                    found = found.unionByName(bad_lines(rows).withColumn("topic", F.lit(BAD)), allowMissingColumns=True)
+                found.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic").partitionBy("topic", "batch").parquet(f"{out}/logs")
             finally:
                 batch.unpersist()
@@ -137,7 +146,15 @@ def _stats_job(stats: DataFrame, columns: Sequence[str], out: str, name: str) ->
 
 
 def visitor_stats_job(pages: DataFrame, uniques: DataFrame, jumps: DataFrame, out: str,
-                      window: str = "10 seconds", delay: str = "3 seconds") -> DataStreamWriter:
+                      window: str = "10 seconds", delay: str = "3 seconds", per_input: bool = False) -> DataStreamWriter:
+    """``per_input`` gives each input a watermark of its own instead of one to all; see
+    :func:`~..operators.visitors.with_watermark`."""
+    if per_input:
+        parts = (page_view_metrics(pages), unique_visitor_metrics(uniques), bounce_metrics(jumps))
+        first, *rest = (with_watermark(part, delay) for part in parts)
+        for part in rest:
+            first = first.unionByName(part)
+        return _stats_job(visitor_stats(first, window, None), VISITOR_STATS, out, "visitor_stats")
     stats = visitor_stats(visitor_metrics(pages, uniques, jumps), window, delay)
     return _stats_job(stats, VISITOR_STATS, out, "visitor_stats")
 

@@ -10,11 +10,11 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F, types as T
 
 from martbrook import schemas
-from martbrook.operators import applog, products, visitors, wide
+from martbrook.operators import applog, changes as change_ops, products, visitors, wide
 from martbrook.session import streaming_session
 from martbrook.sources import results, topics
 from martbrook.sources.given import stream
-from martbrook.streaming import changes as change_jobs, logs as log_jobs, orders as order_jobs, state
+from martbrook.streaming import changes as change_jobs, late, logs as log_jobs, orders as order_jobs, state
 from martbrook.streaming.runtime import drain
 from rows import LOGS, log, logs, ms, table, values
 
@@ -376,3 +376,76 @@ def test_given_table_as_a_stream_of_a_folder(spark, tmp_path):
     numbers = stream(streaming_session(spark), f"{tmp_path}/given", "numbers")
     drain(topics.folder_sink(numbers, f"{tmp_path}/o", f"{tmp_path}/c"))
     assert spark.read.parquet(f"{tmp_path}/o").count() == 10
+
+
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    """What Spark says it drops is what the job keeps, batch by batch, and what is counted per query."""
+    schema = visitors.page_view_metrics(logs(spark, log("a", T0))).schema
+    topic, out = Topic(spark, tmp_path / "metrics", schema), f"{tmp_path}/out"
+    listener = late.LateCounts()
+    topic.spark.streams.addListener(listener)
+    try:
+        for at in ([0, 14_000], [30_000], [1, 12_000], [60_000, 2], [29_000, 3, 31_000], [57_000, 49_999]):
+            topic.add(visitors.page_view_metrics(logs(spark, *(log(f"m{t}", T0 + t, last="x", vc=f"v{t}") for t in at))))
+        query = drain(late.visitor_stats_and_late_rows(topic.read(), out).queryName("stats"), empty_batches=False)
+        kept = late.late_rows(spark, out, schema)
+        per_batch = {b: n for b, n in late.dropped_by_batch(query).items() if n}
+        assert per_batch == {r["batch"]: r["count"] for r in kept.groupBy("batch").count().collect()} and per_batch
+        for _ in range(100):
+            if listener.dropped["stats"] == sum(per_batch.values()):
+                break
+            time.sleep(0.1)
+        assert listener.dropped["stats"] == sum(per_batch.values())
+        stats = results.read_result(spark, f"{out}/visitor_stats")
+        counted = stats.agg(F.sum("pv_ct")).first()[0] + kept.count()
+        assert counted <= 12 and stats.filter("vc = 'v1'").count() == 0 and ("m1",) in values(kept, "mid")
+    finally:
+        topic.spark.streams.removeListener(listener)
+
+
+def test_a_watermark_for_each_input(spark, tmp_path):
+    """A slow input behind a fast one loses nothing by the least of their watermarks, and its rows by the greatest."""
+    sums = {}
+    for policy in ("min", "max"):
+        out = f"{tmp_path}/{policy}"
+        fast, slow = Topic(spark, f"{out}/fast", LOGS), Topic(spark, f"{out}/slow", LOGS)
+        fast.spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+        for n in range(3):
+            fast.add(logs(spark, log("f", T0 + 3_600_000 * (n + 1), last="x")))
+            slow.add(logs(spark, log("s", T0 + 20_000 * n), log("s", T0 + 20_000 * n + 1)))
+        fast.add(logs(spark, log("f", T0 + 86_400_000, last="x")))
+        slow.add(logs(spark, log("s", T0 + 86_400_000)))
+        uniques = topics.file_source(fast.spark, slow.folder, LOGS, files_per_batch=1)
+        empty = Topic(spark, f"{out}/none", LOGS)
+        empty.add(logs(spark, log("e", T0 + 86_400_000)))
+        jumps = topics.file_source(fast.spark, empty.folder, LOGS, files_per_batch=1)
+        drain(log_jobs.visitor_stats_job(fast.read(), uniques, jumps, out, per_input=True))
+        sums[policy] = results.read_result(spark, f"{out}/visitor_stats").agg(F.sum("uv_ct")).first()[0]
+    assert sums["min"] == 6 and sums["max"] < 6
+
+
+def test_broken_lines_have_a_topic(spark, tmp_path):
+    good_line = '{"common":{"mid":"m","is_new":"1"},"page":{"page_id":"home"},"ts":1704067200000}'
+    lines = ["{bad json", good_line, "", "   ", "null", "[1]", "[" + good_line + "]", '"text"', "7", '{"ts":"soon"}', "{}",
+             '{"common":{"mid":"s"},"start":{"entry":"icon"},"ts":1704067200000}', good_line + "}", '{"common": 5, "ts": 1}']
+    frame = spark.createDataFrame([(line, n) for n, line in enumerate([*lines, None])], "value string, offset int")
+    rows = applog.parsed(frame, schemas.APP_LOG)
+    assert rows.columns == ["offset", *schemas.APP_LOG.names, "bad"]
+    assert {r.offset for r in rows.filter("bad IS NULL").collect()} == {1, 10, 11, 12}
+    assert {r.offset: r.bad for r in rows.filter("bad IS NOT NULL").collect()} == {
+        n: line or "" for n, line in enumerate([*lines, None]) if n not in (1, 10, 11, 12)}
+    assert applog.parse_logs(frame).count() == 4
+
+    frame.filter("value IS NOT NULL").select("value").coalesce(1).write.text(f"{tmp_path}/in")
+    session, out = streaming_session(spark), f"{tmp_path}/out"
+    drain(log_jobs.split_job(applog.parsed(topics.log_source(session, f"{tmp_path}/in")), out))
+    read = lambda topic, schema: log_jobs.read_topic(spark, out, topic, schema)
+    assert read(log_jobs.BAD, T.StructType.fromDDL("value string")).count() == len(lines) - 4
+    assert read(log_jobs.PAGE, schemas.APP_LOG).count() == 3 and read(log_jobs.START, schemas.APP_LOG).count() == 1
+
+
+def test_broken_change_events_are_left_out(spark):
+    text = '{"source":{"db":"d","table":"t"},"op":"c","after":{"id":"1"}}'
+    frame = spark.createDataFrame([("{oops", 1), (text, 2), ("", 3), ("[]", 4)], "value string, seq bigint")
+    assert values(change_ops.flatten_envelopes(frame), "seq", "table", "type") == [(2, "t", "insert")]
+    assert values(change_ops.parse_changes(spark.createDataFrame([('{"table":"t"}', 1), ("{", 2)], "value string, seq int")), "seq") == [(1,)]
