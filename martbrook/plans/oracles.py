@@ -385,6 +385,9 @@ ORACLES = {
                WHEN 14 THEN '[' || event_id || ']' ELSE '' END, NULL FROM events WHERE event_id % 11 = 3"""),
     "stream_late_rows": _late(),
     "keyword_segments": _segments(),
+    "stream_dim_lookup": """SELECT o_orderkey AS order_id, o_custkey AS user_id, c_name AS name,
+        coalesce(latest, c_mktsegment) AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+        LEFT JOIN (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS latest FROM orders GROUP BY o_custkey) ON k = o_custkey""",
     "stream_unique_visitor": _sql(VISIT + "uniques"),
     "stream_bounce": _sql(VISIT + "closed_bounce"),
     "stream_visitor_stats": _sql(VISITOR + _closed("max(ms) FROM visitor_metric"), "closed_bounce"),

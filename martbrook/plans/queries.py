@@ -17,7 +17,7 @@ from ..operators import applog, changes, dashboard, keywords, products, province
 from ..session import streaming_session, work_dir
 from ..sources import given, topics
 from ..sources.results import append_batch, read_result, result_rows
-from ..streaming import changes as change_jobs, late, logs as log_jobs, orders as order_jobs
+from ..streaming import changes as change_jobs, dimensions, late, logs as log_jobs, orders as order_jobs
 from ..streaming.runtime import drain
 from .warehouse import AS_OF, BOUNCE_MS, ORDER, WINDOW, Warehouse
 
@@ -609,11 +609,25 @@ def stream_cdc_route(spark, folder):
     house, out = _streams(spark, folder, "cdc_route")
     flat = changes.flatten_envelopes(house.change_text)
     drain(change_jobs.route_job(flat, out, given.routing))
-    facts = read_result(spark, f"{out}/facts").select(
+    event = "`table` string, type string, data map<string,string>"
+    facts = change_jobs.read_routed(spark, out, "fact", event).select(
         "sink_table", F.col("data")["id"].alias("id"), F.col("data")["order_status"].alias("detail"))
-    unrouted = read_result(spark, f"{out}/unrouted").select(
+    unrouted = change_jobs.read_routed(spark, out, "unrouted", event).select(
         F.lit("unrouted").alias("sink_table"), F.col("table").alias("id"), F.col("type").alias("detail"))
     users = change_jobs.read_dimension(spark, out, "dim_user_info", "id", ["id", "name", "segment"])
     users = users.select(F.lit("dim_user_info").alias("sink_table"), "id",
                          F.concat_ws("/", "name", "segment").alias("detail"))
     return facts.unionByName(unrouted).unionByName(users)
+
+
+@query
+def stream_dim_lookup(spark, folder):
+    """Customer changes in five batches, merged in tiers of two; then each customer's row looked up for all orders
+    from the buckets that their keys lie in."""
+    house, out = Warehouse(spark, folder), work_dir(spark, "dim_lookup")
+    history = given.customer_changes(house.table("customer"), house.table("orders")).select(
+        F.lit("mart").alias("database"), F.lit("customer").alias("table"), "type", "data", "seq")
+    _in_batches(history, out, "changes", lambda rows: change_jobs.route_job(rows, out, given.routing, fan_in=2), by="seq")
+    orders = house.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"))
+    users = dimensions.lookup(orders, out, "dim_user_info", "user_id", "id", ["id", "name", "segment"], fan_in=2)
+    return wide.enrich(orders, users, "user_id", {"name": "name", "segment": "segment"})

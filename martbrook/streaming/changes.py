@@ -2,53 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.changes import (
-    CELLS, clean_changes, create_dimension_tables, dimension_cells, dimension_rows, keyless, latest_config,
-    newest_cells, route_changes,
-)
-from ..sources.results import append_batch
-from .runtime import read_if_there
+from ..operators.changes import clean_changes, dimension_cells, latest_config, tag_changes
+from .dimensions import FAN_IN, as_stored, finish_batch, land_dimensions, merge_tiers, read_dimension
+from .runtime import adaptive, read_if_there
 
-def read_cells(spark: SparkSession, out: str, table: str) -> DataFrame | None:
-    """All cells that were written for a dimension table; other tables' files are not listed."""
-    cells = T.StructType.fromDDL(CELLS)
-    schema = T.StructType([*(f for f in cells if f.name != "sink_table"), T.StructField("batch", T.LongType())])
-    found = read_if_there(spark, f"{out}/dim/sink_table={table}", schema)
-    return None if found is None else found.drop("batch").withColumn("sink_table", F.lit(table))
-
-
-def read_dimension(spark: SparkSession, out: str, table: str, key: str, columns: Sequence[str],
-                   apply_deletes: bool = False) -> DataFrame | None:
-    """A dimension as it is now."""
-    cells = read_cells(spark, out, table)
-    return None if cells is None else dimension_rows(cells, key, columns, apply_deletes)
-
-
-def compact_dimension(spark: SparkSession, out: str, table: str, into: str) -> None:
-    """Write the newest cells of a table to another folder, laid out alike; for whoever runs the job to
-    put in the place of the many small ones while it does not run."""
-    cells = read_cells(spark, out, table)
-    if cells is not None:
-        newest_cells(cells).withColumn("batch", F.lit(-1).cast("bigint")).write.mode("overwrite").partitionBy(
-            "sink_table", "batch").parquet(f"{into}/dim")
+__all__ = ["read_dimension", "read_routed", "route_job"]
 
 
 def route_job(changes: DataFrame, out: str, config: Callable[[SparkSession], DataFrame], order: str = "seq",
-              match: str = "exact", config_order: str = "seq", create_tables: bool = False) -> DataStreamWriter:
-    """Flat change events to fact files (one folder per target), dimension cells, and folders of events
-    without a rule and of dimension rows without a key.
+              match: str = "exact", config_order: str = "seq", create_tables: bool = False, fan_in: int = FAN_IN) -> DataStreamWriter:
+    """Flat change events to facts, dimension cells, events without a rule and dimension rows without a key.
 
     ``config`` is read again for every batch. It may be a history, ordered by ``config_order``; the newest
-    entry of each table and operation counts. A batch writes the cells that it changes, to a folder
-    of its own in each dimension's folder, all in one job: its cost follows the batch, not the
-    dimensions. Dimensions are put together when read (:func:`read_dimension`). A repeated batch replaces
-    what it wrote.
+    entry of each table and operation counts. All that a batch routes is one write, in folders by outcome and
+    target; of dimensions it is the cells that the batch changes, so its cost follows the batch. They are read
+    with :func:`read_dimension`, which opens few files however many batches there were
+    (:mod:`.dimensions`). With ``create_tables`` the catalog tables of the rules follow. A repeated batch
+    replaces what it wrote.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -56,19 +32,30 @@ def route_job(changes: DataFrame, out: str, config: Callable[[SparkSession], Dat
         rules = config(spark)
         if config_order in rules.columns:
             rules = latest_config(rules, config_order)
-        if create_tables:
-            create_dimension_tables(spark, rules)
-        routed = route_changes(clean_changes(batch.persist(StorageLevel.MEMORY_AND_DISK)), rules, match)
-        try:
-            routed.facts.write.mode("overwrite").partitionBy("sink_table").parquet(f"{out}/facts/batch={number}")
-            append_batch(routed.unrouted, f"{out}/unrouted", number)
-            append_batch(keyless(routed.dims).drop("sink_pk"), f"{out}/keyless", number)
-            cells = dimension_cells(routed.dims, order).withColumn("batch", F.lit(number).cast("bigint"))
-            cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "sink_table", "batch").parquet(f"{out}/dim")
-        finally:
-            batch.unpersist()
+        with adaptive(spark):
+            tagged = tag_changes(clean_changes(batch.persist(StorageLevel.MEMORY_AND_DISK)), rules, match)
+            try:
+                dims = tagged.filter("outcome = 'dim'")
+                no_key = F.col("data")[F.col("key")].isNull()
+                rest = tagged.filter("outcome != 'dim'").unionByName(dims.filter(no_key).withColumn("outcome", F.lit("keyless")))
+                routed = rest.drop("sink_pk").unionByName(as_stored(dimension_cells(dims, order)), allowMissingColumns=True)
+                routed.write.mode("overwrite").partitionBy("outcome", "sink_table", "bucket").parquet(f"{out}/routed/batch={number}")
+            finally:
+                batch.unpersist()
+            merge_tiers(spark, out, number, fan_in=fan_in)
+            finish_batch(spark, out, number)
+            if create_tables:
+                stored = spark.read.schema("outcome string, sink_table string, bucket int").parquet(f"{out}/routed/batch={number}")
+                land_dimensions(spark, out, rules, stored.filter("outcome = 'dim'"), fan_in)
 
     return (
         changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/route")
     )
+
+
+def read_routed(spark: SparkSession, out: str, outcome: str, columns: str) -> DataFrame:
+    """Routed events of all batches: ``outcome`` is fact, unrouted or keyless; ``columns`` are those of the events, as
+    DDL, to which comes their ``sink_table``."""
+    found = read_if_there(spark, f"{out}/routed", f"{columns}, batch int, outcome string, sink_table string, bucket int")
+    found = spark.createDataFrame([], f"{columns}, batch int, outcome string, sink_table string, bucket int") if found is None else found
+    return found.filter(F.col("outcome") == outcome).drop("batch", "outcome", "bucket")

@@ -16,20 +16,28 @@ from ..operators.wide import order_wide, payment_wide, with_dimensions
 from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
+from .dimensions import StoredDimensions
 from .runtime import adaptive
 
 LINE_SALTS = 4  # state partitions that the lines of one order may spread over
 
 
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
-                   dims: Callable[[SparkSession], dict[str, DataFrame]], as_of: str | None = None,
+                   dims: Callable[[SparkSession], dict[str, DataFrame]] | StoredDimensions, as_of: str | None = None,
                    salts: int = LINE_SALTS) -> DataStreamWriter:
-    """``dims`` gives the ``users``, ``provinces`` and ``products`` tables."""
+    """``dims`` gives the ``users``, ``provinces`` and ``products`` tables: whole, or, where a change job keeps them,
+    the buckets that a batch's keys lie in."""
 
     def write(batch: DataFrame, number: int) -> None:
         with adaptive(batch.sparkSession):
-            wide = with_dimensions(batch, **dims(batch.sparkSession), as_of=as_of)
-            append_batch(wide, f"{out}/dwm_order_wide", number)
+            if not isinstance(dims, StoredDimensions):
+                append_batch(with_dimensions(batch, **dims(batch.sparkSession), as_of=as_of), f"{out}/dwm_order_wide", number)
+                return
+            batch.persist()  # its keys are looked at first; the join's state is gone through once
+            try:
+                append_batch(with_dimensions(batch, **dims.for_batch(batch), as_of=as_of), f"{out}/dwm_order_wide", number)
+            finally:
+                batch.unpersist()
 
     return (
         order_wide(orders, details, salts=salts).writeStream.outputMode("append").foreachBatch(write)
