@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .texts import ROWS, named, output_schema, ship_package, whole_text
 
 #: Entries that a worker keeps of each memo: pieces of text, and pairs of tokens.
-PIECES, PAIRS = 100_000, 100_000
+PIECES, PAIRS = 300_000, 400_000
 #: A run of white space that may not be cut at its spaces: a space after white space, before no sign.
 _INNER = regex.compile(r"\s (?!\S)")
 
@@ -60,6 +60,7 @@ class Encoder:
         }
         self.halves: dict[int, tuple[int, int]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.old_fits: dict[tuple[int, int], bool] = {}  # what was known before the last turn of half the limit
         self.pieces = _Memo(self.chunk_ids, PIECES)
 
     def split(self, token: int) -> tuple[int, int]:
@@ -96,6 +97,8 @@ class Encoder:
         """
         key = (left, right)
         known = self.fits.get(key)
+        if known is None and (known := self.old_fits.get(key)) is not None:
+            self._know(key, known)
         if known is not None:
             return known
         bytes_of, id_of = self.bytes_of, self.id_of
@@ -115,10 +118,14 @@ class Encoder:
                 undone, left = left, parts_left[1]
             else:
                 undone, right = right + 1, parts_right[0]
-        if len(self.fits) >= PAIRS:
+        self._know(key, fits)
+        return fits
+
+    def _know(self, key: tuple[int, int], fits: bool) -> None:
+        if 2 * len(self.fits) >= PAIRS:  # copied and emptied: others hold this dict by name
+            self.old_fits = dict(self.fits)
             self.fits.clear()
         self.fits[key] = fits
-        return fits
 
     def piece_ids(self, piece: str) -> list[int]:
         """Ids of one match of the pattern."""

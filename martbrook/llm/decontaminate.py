@@ -17,7 +17,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import work_dir, written
-from .texts import file_system, map_texts, named, text_test, whole_text
+from .texts import file_system, keep_texts, map_texts, named, whole_text
 
 WINDOW = 10
 #: Benchmark text that one automaton takes, in bytes. Its nodes take about 100 bytes per byte of
@@ -196,13 +196,15 @@ def decontaminated(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` without a hit word, with their columns; no shuffle."""
-    spark = docs.sparkSession
+    """The rows of ``docs`` without a hit word, with their columns; no shuffle.
+
+    Null and empty texts have no words and stay. Repeated rows are judged alike; without items all rows stay, and no
+    rows give no rows. Ids of documents are not looked at."""
     for block in _blocks(items, item_id_col, item_text_col, block_bytes):
 
         def make(block=block):
             automaton = Automaton(_items(block), window)
             return lambda text: not automaton.scan(text)[1]
 
-        docs = docs.filter(text_test(spark, make)(whole_text(text_col)))
+        docs = keep_texts(docs, make, text_col)
     return docs

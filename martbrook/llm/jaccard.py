@@ -19,6 +19,7 @@ different components is compared pair by pair.
 
 from __future__ import annotations
 
+import itertools
 import math
 from bisect import bisect_right
 from collections import OrderedDict
@@ -41,8 +42,9 @@ _U = np.uint64
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Places in which a task counts shingles, to find frequent ones.
 COUNTER_BITS = 22
-#: Rounds of linking sets to one other before the rest is compared pair by pair.
-STAR_ROUNDS = 2
+#: Rounds of linking sets to one other go on until no more pairs than rows are left to compare, or the pairs
+#: hardly get fewer: a round leaves more than this share of them.
+HARDLY = 0.9
 SET_ID = "struct<hash: bigint, size: int>"
 
 
@@ -403,7 +405,7 @@ def linked_sets(docs: DataFrame, join: Join, sets: DataFrame, frequent: np.ndarr
     texts = _stored(_texts(docs, join, sets, shared, id_col, text_col), f"{folder}/texts")
 
     links, groups, found, before = None, shared, none, None
-    for turn in range(STAR_ROUNDS):
+    for turn in itertools.count():
         best = _to_centres(groups, turn, join, texts)
         new = _stored(verified(best, texts, join), f"{folder}/links{turn}")
         links = new if links is None else links.unionByName(new)
@@ -411,11 +413,11 @@ def linked_sets(docs: DataFrame, join: Join, sets: DataFrame, frequent: np.ndarr
         groups = _stored(_mixed(groups, found), f"{folder}/mixed{turn}")
         sizes = groups.groupBy("entry", "least").agg(F.count("*").alias("n")).groupBy("entry").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        across = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0]
+        across, rows = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2), F.sum("n")).first()
         if not across:
             return found
-        if before is not None and across > 0.7 * before:
-            break  # what is left over is hardly linked at all
+        if across <= rows or before is not None and across > HARDLY * before:
+            break  # few are left, or what is left over is hardly linked at all
         before = across
     rest = _stored(verified(_across(groups, join, texts), texts, join), f"{folder}/rest")
     if rest.isEmpty():

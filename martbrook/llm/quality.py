@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .features import WordCounts, remainder, sample, sigmoid
-from .texts import map_texts, text_test, whole_text
+from .texts import keep_texts, map_texts
 
 HELD_OUT = 1
 #: Labelled texts of each grade that the weights are fit on.
@@ -126,14 +126,16 @@ def _tail(model: Model, above: np.ndarray, level: int | None) -> float:
 
 
 def selected(docs: DataFrame, model: Model, level: int | None = None, select: float = SELECT, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are selected, with their columns; no shuffle."""
+    """The rows of ``docs`` that are selected, with their columns; no shuffle.
+
+    Null and empty texts are graded like others; repeated rows are judged alike; no rows give no rows."""
     shared = docs.sparkSession.sparkContext.broadcast((model, level))
 
     def make():
         counts, (told, least) = WordCounts(BITS), shared.value
         return lambda text: _tail(told, told.above(counts(text)), least) >= select
 
-    return docs.filter(text_test(docs.sparkSession, make)(whole_text(text_col)))
+    return keep_texts(docs, make, text_col)
 
 
 def with_fold(scored: DataFrame, held_out: int = HELD_OUT) -> DataFrame:

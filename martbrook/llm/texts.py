@@ -7,7 +7,6 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -62,17 +61,21 @@ def map_texts(
     return docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def text_test(spark: SparkSession, make: Callable[[], Callable[[str], bool]]) -> Callable[[Column], Column]:
-    """A condition on whole texts for ``filter``: rows keep their columns and need no join."""
-    ship_package(spark)
+def keep_texts(docs: DataFrame, make: Callable[[], Callable[[str], bool]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, whose whole text passes a test; null counts as empty.
 
-    @F.pandas_udf(T.BooleanType())
-    def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    ``make`` runs once per task and returns the test. Rows go through a few hundred at a time."""
+    at_text = docs.columns.index(text_col)
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for texts in batches:
-            yield texts.map(step).astype(bool)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                yield part.filter(pa.array([bool(step(t.as_py() or "")) for t in part.column(at_text)], pa.bool_()))
 
-    return test
+    return docs.mapInArrow(run, docs.schema)
 
 
 _shipped: set[str] = set()

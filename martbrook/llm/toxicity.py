@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .features import CharGrams, labelled, remainder, sample, sigmoid
-from .texts import map_texts, ship_package, text_test, whole_text
+from .texts import keep_texts, map_texts, ship_package
 
 HELD_OUT = 1
 #: Labelled texts of each label that the regression is fit on; the counts take all.
@@ -135,11 +135,13 @@ def with_fold(scored: DataFrame, held_out: int = HELD_OUT) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with their columns; no shuffle."""
+    """The rows of ``docs`` that score below the threshold, with their columns; no shuffle.
+
+    A null or empty text has the score of no n-gram. Repeated rows are judged alike; no rows give no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         score = _scorer(shared)
         return lambda text: score(text) < threshold
 
-    return docs.filter(text_test(docs.sparkSession, make)(whole_text(text_col)))
+    return keep_texts(docs, make, text_col)

@@ -127,7 +127,7 @@ def test_against_brute_force(spark, tmp_path, join):
 
 def test_pairwise_rest_is_enough_alone(spark, tmp_path, monkeypatch):
     """Without rounds to centres that link anything, pairs across components find all."""
-    monkeypatch.setattr(ja, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(ja, "HARDLY", 0.0)  # one round more, at most, and then the rest
     rows = rows_of_all_kinds()[100:260]
     docs = documents(spark, [t for _, t in rows], [i for i, _ in rows], tmp_path)
     assert plain(ja.similar_documents(docs), "doc_id", "n_shingles", "component_id") == brute(rows, ja.Join())

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 import io
 import struct
 import zipfile
@@ -101,11 +102,20 @@ def test_awkward_pages(spark, tmp_path):
 
     folder = str(tmp_path / "packages")
     packages = warc.write_packages(pages, folder, package_bytes=2000)
-    assert packages.count() > 3  # tasks begin another package when one is full
     texts = {(r.page_id, bytes(r.payload)) for r in warc.read_packages(packages, pages.schema["page_id"].dataType).collect() if r.payload is not None}
     assert {(i, (h or "").encode()) for i, _, h in rows if (i, h) not in [(5, big), (6, big), (None, big), (10, wide), (12, LONG)]} == texts
 
 
+def test_full_packages_are_closed(spark, tmp_path):
+    """Payloads that don't compress: each fills a package, so a task closes several."""
+    rng = random.Random(2)
+    rows = [(n, "u", rng.randbytes(4000).hex()) for n in range(40)]
+    packages = warc.write_packages(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "packages"), package_bytes=2000)
+    assert packages.count() == 40 > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = warc.write_packages(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "whole"))
+    assert whole.agg(F.sum("n_records")).first()[0] == 40 and whole.count() < 10
+
+
 def test_empty_table(spark):
     assert warc.archived(spark.createDataFrame([], SCHEMA)).count() == 0
 
