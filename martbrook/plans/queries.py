@@ -28,9 +28,10 @@ QUERIES: dict[str, Query] = {}
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def tuned(spark: SparkSession, folder: str) -> DataFrame:
-        own = spark.newSession()  # same context and catalog; the caller's options stay as they are
-        for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-            own.conf.set(key, spark.conf.get(key))
+        own = spark.newSession()  # same context and catalog; the caller's options hold here, and stay as they are
+        for key, value in spark.conf.getAll.items():
+            if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+                own.conf.set(key, value)
         for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
                     "spark.sql.adaptive.forceOptimizeSkewedJoin"):
             own.conf.set(key, "true")

@@ -41,6 +41,9 @@ def build_session(master: str | None = None, app: str = "martbrook", **extra: st
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session on the same context, so that state-store settings stay out of the caller's."""
     child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and child.conf.isModifiable(key):
+            child.conf.set(key, value)
     for key, value in SETTINGS.items():
         if key.startswith("spark.sql."):
             child.conf.set(key, value)

@@ -136,3 +136,20 @@ def test_distinct_orders_of_a_best_seller_are_counted_apart(spark, shuffle_joins
     assert any("sku_id" in keys and "ref_id" in keys for keys in shuffles), shuffles
     exact = refunds.groupBy("sku_id").agg(F.countDistinct("order_id").alias("n"), F.sum("refund_amount").alias("a"))
     assert values(stats, "sku_id", "refund_order_ct", "refund_amount") == values(exact, "sku_id", "n", "a")
+
+
+def test_queries_go_by_the_settings_of_the_caller(spark):
+    """Options that the caller has set hold inside a registered query, and stay as they were."""
+    from martbrook.plans.queries import QUERIES
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    plans = {}
+    for limit in ("10485760", "-1"):
+        spark.conf.set(key, limit)
+        try:
+            frame = QUERIES["order_wide_dims"](spark, "/root/testdata/sf0.001")
+            plans[limit] = frame._jdf.queryExecution().executedPlan().toString()
+            assert spark.conf.get(key) == limit
+        finally:
+            spark.conf.unset(key)
+    assert "BroadcastHashJoin" in plans["10485760"] and "Broadcast" not in plans["-1"]

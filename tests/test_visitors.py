@@ -79,4 +79,4 @@ def test_parse(spark):
          ("not json",)], "value string")
     parsed = applog.parse_logs(raw)
     assert values(parsed, "common.mid", "page.during_time", F.size("displays").alias("n"), "ts") == [
-        ("m", 3, 2, 5), (None, None, None, None)]
+        ("m", 3, 2, 5)]
