@@ -132,14 +132,14 @@ def test_outputs_of_a_batch_are_one_write(spark, tmp_path):
 def test_uniques_expire(spark, tmp_path):
     """What was written longer ago than the limit is never returned, what was written later still is."""
     topic, out = Topic(spark, tmp_path / "logs", LOGS), f"{tmp_path}/out"
-    job = lambda: drain(log_jobs.daily_unique_job(topic.read(), out, ("ts", "seq"), ttl_ms=8000), empty_batches=False)
+    job = lambda: drain(log_jobs.daily_unique_job(topic.read(), out, ("ts", "seq"), ttl_ms=40_000), empty_batches=False)
     found = lambda: values(results.read_result(spark, f"{out}/dwm_unique_visitor"), "seq")
     topic.add(logs(spark, log("a", T0 + 5, seq=1), log("a", T0 + 5, seq=0), log("a", T0 + 9, last="x", seq=2), log("b", T0, seq=3)))
     job()
     topic.add(logs(spark, log("a", T0 + 1, seq=4), log("a", T0 + 86_400_000, seq=5)))
     job()
     assert found() == [(0,), (3,), (5,)]
-    time.sleep(9)
+    time.sleep(41)
     topic.add(logs(spark, log("a", T0 + 7, seq=6), log("c", T0, seq=7)))
     job()
     assert found() == [(0,), (3,), (5,), (6,), (7,)]
