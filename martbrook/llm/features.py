@@ -22,7 +22,8 @@ class CharGrams:
         self.orders, self.bits = orders, bits
         self._last = np.zeros(1 << bits, dtype=np.int64)
 
-    def __call__(self, text: str) -> np.ndarray:
+    def places(self, text: str) -> list[np.ndarray]:
+        """For each order the places of the n-grams that begin at each byte, as far as the text goes."""
         codes = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint64)
         parts, rolled = [], codes
         for n in range(2, max(self.orders) + 1):
@@ -30,8 +31,11 @@ class CharGrams:
                 break
             rolled = rolled[:-1] * _BASE + codes[n - 1:]
             if n in self.orders:
-                parts.append(((rolled + np.uint64(n)) * _MIX) >> np.uint64(64 - self.bits))
-        found = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, dtype=np.int64)
+                parts.append((((rolled + np.uint64(n)) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64))
+        return parts
+
+    def __call__(self, text: str) -> np.ndarray:
+        found = np.concatenate([np.zeros(0, dtype=np.int64), *self.places(text)])
         # Each place is kept where it was written last: the distinct ones, without sorting.
         order = np.arange(len(found))
         self._last[found] = order
@@ -105,22 +109,31 @@ def _judged(labels: DataFrame, label: Column, held_out: int) -> DataFrame:
 MOST_LABELS = 100
 
 
-def sample(
+def chosen(
     docs: DataFrame, labels: DataFrame, label: Column, id_col: str, text_col: str, held_out: int, most: int,
-) -> Iterator[tuple[str, int]]:
-    """Whole texts and labels of at most ``most`` labelled documents of each label, those whose ids'
+) -> list[tuple[DataFrame, int]]:
+    """For each label whole texts (doc_id, text) of at most ``most`` documents, those whose ids'
     hashes are least; outside the held-out fold, as :func:`labelled`. Of several texts of an id the one
     whose hash is least counts. More than ``MOST_LABELS`` different labels are an error."""
     y = _judged(labels, label, held_out)
     levels = sorted(r["y"] for r in y.select("y").distinct().limit(MOST_LABELS + 1).collect())
     if len(levels) > MOST_LABELS:
         raise ValueError(f"there are more than {MOST_LABELS} different labels")
-    texts = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    texts, out = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text")), []
     for level in levels:
-        chosen = y.filter(F.col("y") == level).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        rows = texts.join(F.broadcast(chosen), "doc_id")  # at most so many ids
+        ids = y.filter(F.col("y") == level).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        rows = texts.join(F.broadcast(ids), "doc_id")  # at most so many ids
         one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
-        for row in one.select("doc_id", "first.text").orderBy("doc_id").toLocalIterator():
+        out.append((one.select("doc_id", "first.text"), level))
+    return out
+
+
+def sample(
+    docs: DataFrame, labels: DataFrame, label: Column, id_col: str, text_col: str, held_out: int, most: int,
+) -> Iterator[tuple[str, int]]:
+    """The texts of :func:`chosen` with their labels, one after the other."""
+    for texts, level in chosen(docs, labels, label, id_col, text_col, held_out, most):
+        for row in texts.orderBy("doc_id").toLocalIterator():
             yield row["text"], level
 
 

@@ -1,8 +1,10 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Over all labelled texts of the training folds it is counted in how many texts of each label an
-n-gram occurs. The log of the ratio of the two shares is the n-gram's value wherever it is present,
-and a logistic regression on these values, fit on a bounded sample of the texts, is the classifier.
+n-gram occurs. The log of the ratio of the two shares is the n-gram's value wherever it occurs,
+and a logistic regression on these values is the classifier. It judges windows of a fixed width, and a text by
+its worst window, so that a passage counts alike in short and in long texts. It is fit on the window
+of greatest total ratio of each text of a bounded sample.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .features import CharGrams, labelled, remainder, sample, sigmoid
+from .features import CharGrams, chosen, labelled, remainder, sigmoid
 from .texts import keep_texts, map_texts, ship_package
 
 HELD_OUT = 1
@@ -25,6 +27,22 @@ THRESHOLD = 0.7
 #: Texts' worth of prior belief that an n-gram says nothing; ratios nearer to 0 than LEAST are left out.
 PRIOR, LEAST = 10.0, 0.4
 ORDERS, BITS = (3, 4, 5), 20
+#: Bytes in which the n-grams of a window begin.
+WINDOW = 150
+
+
+def worst(places: list[np.ndarray], weights: np.ndarray, width: int = WINDOW) -> tuple[int, float]:
+    """Where the window of greatest weight begins (the first of equal ones), and that weight. A text that is no longer than a window is one."""
+    starts = max((len(p) for p in places), default=0)
+    each = np.zeros(starts)
+    for p in places:
+        each[:len(p)] += weights[p]
+    until = np.concatenate([[0.0], np.cumsum(each)])
+    if starts <= width:
+        return 0, float(until[-1])
+    sums = until[width:] - until[:-width]
+    at = int(sums.argmax())
+    return at, float(sums[at])
 
 
 @dataclass(frozen=True)
@@ -32,8 +50,9 @@ class Model:
     weights: np.ndarray  # of each hashed n-gram, ratio included
     bias: float
 
-    def score(self, grams: np.ndarray) -> float:
-        return float(sigmoid(self.weights[grams].sum() + self.bias))
+    def score(self, places: list[np.ndarray]) -> float:
+        """Of a text by the places of its n-grams, order by order."""
+        return float(sigmoid(worst(places, self.weights)[1] + self.bias))
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
@@ -75,18 +94,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     both labels it says 0.5, or the only label there is, of every text."""
     toxic = F.col("toxic") > 0
     values, share = ratios(labelled(docs, labels, toxic, id_col, text_col, held_out))
-    grams = CharGrams(ORDERS, BITS)
     rows, y = [], []
-    for text, label in sample(docs, labels, toxic, id_col, text_col, held_out, most):
-        found = grams(text)
-        rows.append(found[values[found] != 0])
-        y.append(label)
+    for texts, label in chosen(docs, labels, toxic, id_col, text_col, held_out, most):
+        for row in worst_windows(texts, values).orderBy("doc_id").toLocalIterator():  # at most ``most``, of a window each
+            rows.append(np.array(row["grams"], dtype=np.int64))
+            y.append(label)
     if len(set(y)) < 2:
         return Model(np.zeros(1 << BITS), 0.0 if not y else 35.0 if y[0] else -35.0)
     weights, bias = _logistic(rows, np.array(y, dtype=float), values, share, rounds, ridge)
     return Model(weights, bias)
 
 
+def worst_windows(texts: DataFrame, values: np.ndarray) -> DataFrame:
+    """``doc_id`` and ``grams``, the n-grams of each text's window of greatest total ratio that have a ratio, with repeats."""
+    shared = texts.sparkSession.sparkContext.broadcast(values)  # 2**BITS ratios
+
+    def make():
+        grams, ratio = CharGrams(ORDERS, BITS), shared.value
+
+        def step(text):
+            places = grams.places(text)
+            at, _ = worst(places, ratio)
+            found = np.concatenate([np.zeros(0, dtype=np.int64), *(p[at:at + WINDOW] for p in places)])
+            return (found[ratio[found] != 0].tolist(),)
+        return step
+
+    return map_texts(texts, make, "grams array<int>")
+
+
 def _logistic(rows: list[np.ndarray], y: np.ndarray, values: np.ndarray, share: float, rounds: int, ridge: float) -> tuple[np.ndarray, float]:
     """Full-gradient Adam over the sample, in which the labels weigh ``share`` and 1 - ``share``."""
     places, flat = np.unique(np.concatenate(rows), return_inverse=True)
@@ -108,7 +143,7 @@ def _logistic(rows: list[np.ndarray], y: np.ndarray, values: np.ndarray, share:
 
 def _scorer(shared) -> Callable[[str], float]:
     grams, told = CharGrams(ORDERS, BITS), shared.value
-    return lambda text: told.score(grams(text))
+    return lambda text: told.score(grams.places(text))
 
 
 def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

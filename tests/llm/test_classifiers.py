@@ -42,6 +42,40 @@ def test_toxic_texts_of_the_held_out_fold(tables, toxic_model):
     assert np.mean(ahead) > 0.85
 
 
+def test_toxic_texts_of_all_lengths(spark):
+    """On more rows: precision, and recall in bands of length. Some labels are wrong, most of them on short texts."""
+    docs, labels = [spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels")]
+    scored = toxicity.scores(docs, toxicity.fit(docs, labels)).join(docs.select("doc_id", F.length("text").alias("long")), "doc_id")
+    rows = held_out(scored, labels)
+    called = [r for r in rows if r.predicted]
+    assert sum(r.toxic for r in called) >= 0.95 * len(called)
+    toxic = [r for r in rows if r.toxic]
+    for least, most, share in ((0, 1 << 40, 0.8), (500, 1500, 0.8), (1500, 4000, 0.8), (4000, 1 << 40, 0.9)):
+        band = [r.predicted for r in toxic if least <= r.long < most]
+        assert sum(band) >= share * len(band)
+
+
+def test_a_passage_counts_alike_wherever_it_stands(toxic_model):
+    grams = features.CharGrams(toxicity.ORDERS, toxicity.BITS)
+    passage, calm = "you stupid worthless idiot, pathetic loser. " * 4, "the rain in the hills and of the one. " * 2000
+    alone = toxic_model.score(grams.places(passage))
+    assert toxic_model.score(grams.places(calm)) < 0.7 <= alone
+    for text in (calm + passage, passage + calm, calm + passage + calm):
+        assert toxic_model.score(grams.places(text)) >= alone - 1e-6
+
+
+def test_worst_window_is_that_of_all_windows():
+    pick = np.random.default_rng(3)
+    weights = pick.normal(size=1 << 20)
+    grams = features.CharGrams((3, 4, 5), 20)
+    for text in ("", "a", "ab", "abc", "short text", "a longer text of words " * 9, "x" * 400):
+        places = grams.places(text)
+        starts = max((len(p) for p in places), default=0)
+        sums = [sum(weights[p[at:at + 20]].sum() for p in places) for at in range(max(1, starts - 19))]
+        at, weight = toxicity.worst(places, weights, 20)
+        assert weight == pytest.approx(max(sums)) and sums[at] == pytest.approx(max(sums))
+
+
 def test_held_out_labels_are_not_looked_at(tables, toxic_model):
     docs, labels = tables
     other = labels.withColumn("toxic", F.when(features.remainder("doc_id") == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
@@ -55,7 +89,7 @@ def test_only_the_text_counts(spark, tmp_path, toxic_model):
     rows = plain(toxicity.scores(docs, toxic_model))
     assert len(rows) == len(texts) and rows[0][1] == rows[1][1] and rows[-1][2] == 1
     grams = features.CharGrams(toxicity.ORDERS, toxicity.BITS)
-    assert [r[1] for r in rows] == [toxic_model.score(grams(t or "")) for t in texts]
+    assert [r[1] for r in rows] == [toxic_model.score(grams.places(t or "")) for t in texts]
     kept = toxicity.without_toxic(docs, toxic_model)
     assert kept.columns == docs.columns and kept.count() == sum(not r[2] for r in rows)
     none = documents(spark, [], folder=tmp_path)
