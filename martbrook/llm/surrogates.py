@@ -1,6 +1,7 @@
 """Personal data replaced by keyed surrogates of the same type, form, gender and script.
 
-Every replacement is a keyed one-to-one mapping of all values of one form, without fixed points: the
+An entity is a value without its ways of writing (case, spaces, separators). Every replacement is a keyed one-to-one
+mapping of all entities of one form, without fixed points, written the way the value was: the
 mapping of a value x is the one that follows x in an order that only the key knows. So different
 entities always get different surrogates, an entity gets the same one wherever it occurs, in
 every document and task, and nothing must be remembered or looked up. What follows in the order is found
@@ -44,17 +45,25 @@ FAMILY = {
     "cyrillic": "Андреев Волков Громов Егоров Зайцев Иванов Козлов Лебедев Морозов Новиков Орлов Павлов Соколов".split(),
     "greek": "Αγγέλου Βλάχος Γεωργίου Δημητρίου Ιωάννου Κώστα Νικολάου Παππάς Σταύρου".split(),
 }
-TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f", "Monsieur": "m", "Madame": "f"}
+TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f", "Monsieur": "m", "Madame": "f",
+          "Dr": "", "Prof": ""}
+#: Letters that are replaced, by script: those of names that are in no list become others of their script.
+ALPHABETS = (_DIGITS, _SMALL, _LARGE, "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω")
 
 EMAIL = r"(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._+-]*[A-Za-z0-9_+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])"
 IPV4 = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"
+IPV6 = r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d)"
 PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,5}){1,4}(?!\w|\.\d)"
 #: In the order in which they win where they overlap.
-PATTERNS = (("email", EMAIL), ("ipv4", IPV4), ("iban", IBAN), ("card", CARD), ("ssn", SSN), ("phone", PHONE))
+PATTERNS = (("email", EMAIL), ("ipv4", IPV4), ("ipv6", IPV6), ("iban", IBAN), ("card", CARD), ("ssn", SSN), ("phone", PHONE))
 PHONE_DIGITS = (9, 15)
+#: Numbers without separators are phones with a plus or after one of these words.
+PHONE_WORDS = ("tel", "telephone", "phone", "mobile", "cell", "call", "fax", "whatsapp", "telefon", "téléphone", "teléfono")
+#: A capitalised word that may be a name, and how many may follow a title.
+NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*"
 #: Numbers of digits, with what may be between and before them in cards, social security and phone numbers.
 RUN = r"\+?\(?\d+(?:\)?[ .-]?[+(]{0,2}\d+)*"
 #: Kinds that part of a run can be, with their patterns and least and most digits.
@@ -106,10 +115,9 @@ class Keyed:
                 left = (left + self._number(place, turn, right)) % sizes[0]
         return _digits(left, bases[:half]) + _digits(right, bases[half:])
 
-    def text(self, form: str, value: str, keep: Callable[[int], bool] = lambda at: False) -> str:
-        """Digits become digits and ASCII letters letters of the same case; other signs stay, and
-        positions that ``keep`` names."""
-        kinds = [next((k for k in (_DIGITS, _SMALL, _LARGE) if c in k and not keep(at)), "") for at, c in enumerate(value)]
+    def text(self, form: str, value: str) -> str:
+        """Digits become digits and letters of the alphabets letters of the same one; other signs stay."""
+        kinds = [next((k for k in ALPHABETS if c in k), "") for c in value]
         places = [at for at, kind in enumerate(kinds) if kind]
         if not places:
             return value
@@ -123,11 +131,42 @@ class Keyed:
     def name(self, group: str, names: list[str], value: str) -> str:
         """Another name of the list, in the case that the value is written in."""
         order = sorted(names, key=lambda n: self._number(group, n))
-        plain = next(n for n in names if n.lower() == value.lower())
+        plain = next(n for n in names if fold(n) == fold(value))
         new = order[(order.index(plain) + 1) % len(order)]
         return new.upper() if value.isupper() else new.lower() if value.islower() else new
 
 
+def fold(value: str) -> str:
+    """In small letters, sign by sign; those that would become several signs stay."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in value).replace("ς", "σ")
+
+
+def in_case_of(value: str, folded: str) -> str:
+    """A text as long as ``value`` with capitals where that has them."""
+    return "".join(n.upper() if c.isupper() and len(n.upper()) == 1 else n for c, n in zip(value, folded))
+
+
+def digits_of(value: str) -> str:
+    return "".join(c for c in value if c in _DIGITS)
+
+
+def with_digits(value: str, digits: str) -> str:
+    """``value`` with other digits, its separators where they were."""
+    new = iter(digits)
+    return "".join(next(new) if c in _DIGITS else c for c in value)
+
+
+def entity(kind: str, value: str) -> str:
+    """What is the same however it is written."""
+    if kind in ("card", "ssn", "phone"):
+        return digits_of(value)
+    if kind == "iban":
+        return value.replace(" ", "")
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(value).exploded
+    return fold(value)
+
+
 def _product(bases: list[int]) -> int:
     out = 1
     for base in bases:
@@ -174,6 +213,12 @@ def _valid(kind: str, value: str) -> bool:
     if kind == "iban":
         plain = value.replace(" ", "")
         return 15 <= len(plain) <= 34 and iban_check(plain[:2], plain[4:]) == plain[2:4]
+    if kind == "ipv6":
+        try:
+            ipaddress.IPv6Address(value)
+        except ValueError:
+            return False
+        return len(value.replace(":", "")) > 4 and any(c in _DIGITS for c in value)  # a::b may be code
     return True
 
 
@@ -191,18 +236,28 @@ class Surrogates:
         #: What a run of numbers may run into.
         self.apart = re.compile(f"{EMAIL}|{IPV4}", re.ASCII)
         self.marks = re.compile(r"[0-9@]")  # without any there is nothing for the pattern
-        self.person = {n.lower(): (gender, script) for (gender, script), names in GIVEN.items() for n in names}
-        self.family = {n.lower(): script for script, names in FAMILY.items() for n in names}
+        self.person = {fold(n): (gender, script) for (gender, script), names in GIVEN.items() for n in names}
+        self.family = {fold(n): script for script, names in FAMILY.items() for n in names}
         #: A text in which names are looked for has one of these as a word, whatever signs are around it.
-        self.openers = {n for names in GIVEN.values() for n in names} | set(TITLES)
+        firsts = [n for names in GIVEN.values() for n in names]
+        titles = [*TITLES, *(t.upper() for t in TITLES if t != "Ms")]  # MS stands for more than that
+        self.openers = {*firsts, *(n.upper() for n in firsts), *titles}
         self.words = re.compile(r"\w+")
-        given = "|".join(n for names in GIVEN.values() for n in names)
-        family = "|".join(n for names in FAMILY.values() for n in names)
+        given = "|".join([*firsts, *(n.upper() for n in firsts)])
+        families = [n for names in FAMILY.values() for n in names]
+        family = "|".join([*families, *(n.upper() for n in families)])
+        title = "|".join(titles)
         # A family name after a given name or a title shows that they are names, and then each counts
         # alone as well.
         self.names = re.compile(
-            rf"(?<!\w)(?:(?P<title>{'|'.join(TITLES)})\.?\s+)?(?:(?P<given>{given})\s+)?(?P<family>{family})(?!\w)|"
+            rf"(?<!\w)(?:(?P<title>{title})\.?\s+)?(?:(?P<given>{given})\s+)?(?P<family>{family})(?!\w)|"
             rf"(?<!\w)(?P<alone>{given})(?!\w)")
+        self.titled = re.compile(rf"(?<!\w)(?:{title})(?:\.[ \t]*|[ \t]+)(?P<first>{NAME})(?:[ \t]+(?P<second>{NAME}))?")
+        self.name = re.compile(NAME)
+        # Numbers with a plus or a word before them.
+        self.plain_phone = re.compile(
+            rf"(?:(?<![\w+.-])\+|(?<!\w)(?:{'|'.join(PHONE_WORDS)})\b[.:]?[ \t]{{0,2}})"
+            rf"(?P<number>[0-9]{{{PHONE_DIGITS[0]},{PHONE_DIGITS[1]}}})(?!\w|\.[0-9]|-[0-9])", re.IGNORECASE)
 
     def replacement(self, kind: str, value: str) -> str:
         found = self.known.get((kind, value))
@@ -214,45 +269,62 @@ class Surrogates:
         return found
 
     def _email(self, value: str) -> str:
-        """The part before @ changes, dots and signs stay; so does the domain, but for a reserved one of
-        the same last part, so that no real address comes out."""
+        """Dots and signs of the part before @ stay. Domains become names under ``.example``, those under it
+        as well, so that no real address comes out and no two domains become one; example.com, .org and .net, to which
+        no other becomes, stay."""
         local, _, domain = value.partition("@")
-        labels = domain.split(".")
-        if domain.lower().endswith((".example.com", ".example.org", ".example.net", ".example")):
+        labels = fold(domain).split(".")
+        if labels[-2:] in (["example", "com"], ["example", "org"], ["example", "net"]):
             changed = domain
         else:
-            changed = ".".join([*(self.keyed.text("label", label) for label in labels[:-1]), labels[-1], "example"])
-        return self.keyed.text("email", local) + "@" + changed
+            new = ".".join([*(self.keyed.text("label", label) for label in labels[:-1]), labels[-1]])
+            changed = in_case_of(domain, new) + ".example"
+        return in_case_of(local, self.keyed.text("email", fold(local))) + "@" + changed
 
     def _ipv4(self, value: str) -> str:
         return str(ipaddress.IPv4Address(bytes(self.keyed.following("ipv4", list(ipaddress.IPv4Address(value).packed), [256] * 4))))
 
+    def _ipv6(self, value: str) -> str:
+        return str(ipaddress.IPv6Address(bytes(self.keyed.following("ipv6", list(ipaddress.IPv6Address(value).packed), [256] * 16))))
+
     def _card(self, value: str) -> str:
-        last = max(at for at, c in enumerate(value) if c.isdigit())
-        first = self.keyed.text("card", value[:last])
-        return first + str(luhn("".join(c for c in first if c.isdigit()))) + value[last + 1:]
+        first = self.keyed.text("card", digits_of(value)[:-1])
+        return with_digits(value, first + str(luhn(first)))
 
     def _iban(self, value: str) -> str:
-        body = self.keyed.text("iban", value[4:])
-        return value[:2] + iban_check(value[:2], body.replace(" ", "")) + body
+        plain = entity("iban", value)
+        body = self.keyed.text("iban", plain[4:])
+        new = iter(plain[:2] + iban_check(plain[:2], body) + body)
+        return "".join(" " if c == " " else next(new) for c in value)
 
     def _ssn(self, value: str) -> str:
-        return self.keyed.text("ssn", value)
+        return with_digits(value, self.keyed.text("ssn", digits_of(value)))
 
     def _phone(self, value: str) -> str:
-        """Country and area codes stay: what stands before the last seven digits."""
-        digits = [at for at, c in enumerate(value) if c.isdigit()]
-        first = digits[-7]
-        return self.keyed.text("phone", value, lambda at: at < first)
+        """Country and area codes stay: what stands before the last seven digits. These become the same with and
+        without the codes."""
+        digits = digits_of(value)
+        return with_digits(value, digits[:-7] + self.keyed.text("phone", digits[-7:]))
 
     def _given(self, value: str) -> str:
-        gender, script = self.person[value.lower()]
+        if fold(value) not in self.person:
+            return self._unlisted("given", value, self.person)
+        gender, script = self.person[fold(value)]
         return self.keyed.name(f"given {gender} {script}", GIVEN[gender, script], value)
 
     def _family(self, value: str) -> str:
-        script = self.family[value.lower()]
+        if fold(value) not in self.family:
+            return self._unlisted("family", value, self.family)
+        script = self.family[fold(value)]
         return self.keyed.name(f"family {script}", FAMILY[script], value)
 
+    def _unlisted(self, kind: str, value: str, listed: dict) -> str:
+        """The next in the key's order that is in no list either, so that it is no listed name's surrogate."""
+        new = self.keyed.text(kind, fold(value))
+        while new in listed:
+            new = self.keyed.text(kind, new)
+        return in_case_of(value, new)
+
     def _run_end(self, text: str, start: int) -> int:
         """Where the numbers from ``start`` on end, or an address among them begins."""
         end = self.run.match(text, start).end()
@@ -319,6 +391,8 @@ class Surrogates:
                 end = next((n for n in ends if _valid(kind, text[m.start():n])), None)
                 at = end or min([m.end(), *ends])
                 spans += [(kind, m.start(), end)] if end else []
+            elif kind == "ipv6" and not _valid(kind, m[0]):
+                at = next((n for n in range(m.start() + 1, m.end()) if text[n] == ":"), m.end())
             elif kind in ("card", "ssn", "phone"):
                 end = self._run_end(text, m.start())
                 if end == m.end() and _valid(kind, m[0]):
@@ -328,17 +402,38 @@ class Surrogates:
                     at = max(end, m.start() + 1)
             else:
                 spans.append((kind, *m.span()))
+        if self.marks.search(text):
+            spans += [("phone", *m.span("number")) for m in self.plain_phone.finditer(text)]
         if not self.openers.isdisjoint(self.words.findall(text)):
             matches = list(self.names.finditer(text))
-            sure = {m[g] for m in matches if m["family"] and (m["title"] or m["given"]) for g in ("given", "family") if m[g]}
+            sure = {fold(m[g]) for m in matches if m["family"] and (m["title"] or m["given"]) for g in ("given", "family") if m[g]}
             spans += [("family" if g == "family" else "given", *m.span(g))
-                      for m in matches for g in ("given", "family", "alone") if m[g] in sure]
+                      for m in matches for g in ("given", "family", "alone") if m[g] and fold(m[g]) in sure]
+            spans += self._titled(text)
         out: list[Entity] = []
         for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
             if not out or start >= out[-1].end:
                 out.append(Entity(kind, start, end, self.replacement(kind, text[start:end])))
         return out
 
+    def _titled(self, text: str) -> list[tuple[str, int, int]]:
+        """Names after titles, in any list or none: one capitalised word is a family name, of two the second is, unless the
+        first is known to be one. Where these words stand without a title they are names as well."""
+        kinds: dict[str, str] = {}
+        for m in self.titled.finditer(text):
+            first, second = m["first"], m["second"] or ""
+            if not first[0].isupper() or not any(c in k for c in fold(first) for k in ALPHABETS):
+                continue
+            if second[:1].isupper() and any(c in k for c in fold(second) for k in ALPHABETS) and (
+                    fold(first) not in self.family or fold(first) in self.person):
+                kinds.setdefault(fold(first), "given")
+                kinds.setdefault(fold(second), "family")
+            else:
+                kinds.setdefault(fold(first), "family")
+        if not kinds:
+            return []
+        return [(kinds[fold(m[0])], *m.span()) for m in self.name.finditer(text) if m[0][0].isupper() and fold(m[0]) in kinds]
+
     def rewrite(self, text: str) -> tuple[str, list[Entity]]:
         found = self.entities(text)
         parts, at = [], 0
@@ -351,7 +446,7 @@ class Surrogates:
     @staticmethod
     def _check(text: str, found: list[Entity]) -> None:
         """No two entities of a text share a surrogate, none keeps its own, and each has one."""
-        pairs = {(e.kind, text[e.start:e.end], e.surrogate) for e in found}
+        pairs = {(e.kind, entity(e.kind, text[e.start:e.end]), entity(e.kind, e.surrogate)) for e in found}
         if len({p[:2] for p in pairs}) != len(pairs) or len({(p[0], p[2]) for p in pairs}) != len(pairs) or any(p[1] == p[2] for p in pairs):
             raise ValueError("surrogates collide")
 
@@ -360,8 +455,9 @@ def pseudonymised(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     """Every whole text with surrogates: ``doc_id``, ``text`` and ``entities``, the spans of each entity
     in the old and in the new text (characters, end exclusive).
 
-    Kinds: email, ipv4, iban, card (with their check digits right again), ssn, phone (country and area
-    codes stay), given and family names of the lists (gender and script stay). One key gives the same
+    Kinds: email, ipv4, ipv6, iban, card (with their check digits right again), ssn, phone (country and area
+    codes stay), given and family names of the lists (gender and script stay) and after titles (script stays). A value
+    written in several ways has one surrogate, written in these ways. One key gives the same
     surrogates in all runs; keep it secret, it undoes them. Null and empty texts become empty; every
     row is rewritten, repeated ones alike; other columns are not looked at.
     """
