@@ -115,6 +115,14 @@ def bounces(pages: DataFrame, within_ms: int = 1000, order: Sequence[str] = ("ts
 
 
 # --- visitor metrics -------------------------------------------------------------
+def metric_pages(pages: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
+    """What the metrics read of page logs, and the order: uniques and bounces keep whole rows in their buffers,
+    so what is not read is left out before them."""
+    return pages.select(
+        F.struct(*(F.col(f"common.{key}").alias(key) for key in ("mid", *STAT_KEYS))).alias("common"),
+        F.struct("page.last_page_id", "page.during_time").alias("page"), *order)
+
+
 def _metric(rows: DataFrame, **counts: Column) -> DataFrame:
     return rows.select(
         F.col("common.mid").alias("mid"),

@@ -123,7 +123,7 @@ class Warehouse:
     def visitor_stats(self) -> DataFrame:
         """The flag depends on visitor and date alone, so it is repaired once, on the metric rows,
         instead of on each of the three inputs they come from."""
-        pages = self.pages.drop("start", "displays")
+        pages = visitors.metric_pages(self.pages, ORDER)
         metrics = visitors.visitor_metrics(
             pages, visitors.unique_visitors(pages, ORDER), visitors.bounces(pages, BOUNCE_MS, ORDER))
         return visitors.visitor_stats(visitors.repair_flag(metrics, visitors.first_visits(self.logs)), WINDOW)
