@@ -1,9 +1,13 @@
+import hashlib
 import math
 import random
 from collections import Counter
 
+import regex
+
 from cases import TEXTS, documents, plain
 from martbrook.llm import secret_scan as ss
+from martbrook.llm.queries import QUERIES
 
 
 def entropy(text):
@@ -78,3 +82,49 @@ def test_awkward_texts(spark, tmp_path):
     assert len(found[-1][1]) == 3
     assert ss.secret_spans(documents(spark, [], folder=tmp_path)).count() == 0
     assert ss.secret_spans(documents(spark, ["token=abcdefg"] * 2, [None, None], tmp_path)).count() == 2
+
+
+def runs(text, signs, least, head=""):
+    """Maximal runs of ``signs`` of at least so many, by going from sign to sign; from the first ``head`` of each run on."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in signs:
+            end += 1
+        start = text.find(head, at, end) if head else at
+        if end > at and start >= 0 and end - start >= least:
+            out.append((start, end))
+        at = max(end, at + 1)
+    return out
+
+
+def base_spans(text):
+    small, large, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    words = "|".join("".join(f"[{c}{c.upper()}]" if c in small else c for c in w) for w in ("password", "passwd", "secret", "token", "api_key", "apikey"))
+    assign = regex.compile(f"(?:{words})[\"']? *[:=] *[\"']?(?<value>[{small}{large}{digits}+/_.=-]+)")
+    found = [("assign", *m.span()) for m in assign.finditer(text) if len(m["value"]) >= 6]
+    found += [("access", a, b) for a, b in runs(text, large + digits, 20, "AKIA")]
+    found += [("hex", a, b) for a, b in runs(text, digits + "abcdef", 24)]
+    return sorted(found, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_registered_columns_of_the_whole_table(spark, tmp_path):
+    """The given documents, and some that have each kind, next to other signs and to each other."""
+    folder, hexes, access = str(tmp_path), "0123456789abcdef" * 2, "AKIA" + "Z9" * 9
+    planted = [f"token={hexes} {access}", f"é{hexes}G{access}x", f"ApiKey: '{access}'", f"xx{hexes}AKIA{access}", hexes[:23], access[:19], "Secret=short", None]
+    rows = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(planted)], "doc_id bigint, text string")
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    given.unionByName(rows).write.parquet(f"{folder}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op5_secret_scan"](spark, folder).collect()}
+    docs, met = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect(), Counter()
+    assert len(docs) == len(rows)
+    for doc in docs:
+        row, base = rows[doc.doc_id], base_spans(doc.text or "")
+        told = [":".join(map(str, s)) for s in base]
+        assert row.base_sha256 == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(s[0] == k for s in base) for k in ("assign", "access", "hex")]
+        spans = row.spans.split(",") if row.spans else []
+        assert [s for s in spans if not s.startswith("entropy")] == told
+        assert [int(s.split(":")[1]) for s in spans] == sorted(int(s.split(":")[1]) for s in spans)
+        met.update(s[0] for s in base)
+    assert all(met[k] for k in ("assign", "access", "hex"))
