@@ -17,7 +17,7 @@ AMOUNTS = ("order_amount", "payment_amount", "refund_amount")
 REFERENCES = {"order": "order_ct", "paid": "paid_order_ct", "refund": "refund_order_ct"}
 
 
-def _metric(rows: DataFrame, sku: Column, ts: Column, kind: str | None = None, ref: Column | None = None,
+def _metric(rows: DataFrame, sku: Column, ts: Column, kind: str | Column | None = None, ref: Column | None = None,
             **measures: Column) -> DataFrame:
     return rows.select(
         sku.cast("bigint").alias("sku_id"),
@@ -74,6 +74,21 @@ def comment_metrics(comments: DataFrame) -> DataFrame:
                    good_comment_ct=F.when(F.col("appraise") == GOOD_APPRAISAL, 1).otherwise(0))
 
 
+def mark_metrics(marks: DataFrame) -> DataFrame:
+    """Favourites and carts in one pass over both; ``kind`` says favor or cart."""
+    count = lambda kind: F.when(F.col("kind") == kind, 1).otherwise(0)
+    return _metric(marks, F.col("sku_id"), _created(), favor_ct=count("favor"), cart_ct=count("cart"))
+
+
+def after_sale_metrics(rows: DataFrame) -> DataFrame:
+    """Refunds and comments in one pass over both; ``kind`` says refund or comment."""
+    refund, comment = F.col("kind") == "refund", F.col("kind") == "comment"
+    return _metric(rows, F.col("sku_id"), _created(), F.when(refund, "refund"), F.when(refund, F.col("order_id")),
+                   refund_amount=F.coalesce(F.when(refund, F.col("refund_amount")), F.lit(0)),
+                   comment_ct=F.when(comment, 1).otherwise(0),
+                   good_comment_ct=F.when(comment & (F.col("appraise") == GOOD_APPRAISAL), 1).otherwise(0))
+
+
 def order_metrics(wide: DataFrame) -> DataFrame:
     return _metric(wide, F.col("sku_id"), F.col("create_ts"), "order", F.col("order_id"),
                    order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"))
@@ -93,6 +108,15 @@ def product_metrics(pages: DataFrame, favors: DataFrame, carts: DataFrame, refun
     ])
 
 
+def merged_metrics(pages: DataFrame, marks: DataFrame, after_sales: DataFrame, orders: DataFrame,
+                   payments: DataFrame) -> DataFrame:
+    """:func:`product_metrics` where favourites and carts, and refunds and comments, come together."""
+    return reduce(DataFrame.unionByName, [
+        page_metrics(pages), mark_metrics(marks), after_sale_metrics(after_sales), order_metrics(orders),
+        payment_metrics(payments),
+    ])
+
+
 def _sums() -> list[Column]:
     return [F.sum(name).alias(name) for name in (*COUNTS, *AMOUNTS)]
 

@@ -7,11 +7,12 @@ split, so one visitor who owns a large share of the log never ends up in a singl
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import date_text, event_time, window_bounds
-from .applog import is_entry
+from .applog import is_entry, is_start
 
 HOT_RECORDS = 1_000_000  # from here on a visitor's records are spread over several tasks
 
@@ -157,6 +158,78 @@ def visitor_metrics(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> D
     )
 
 
+# --- all metrics from one pass over the log ----------------------------------------
+def _position(seq: str) -> Column:
+    """Order by time, then by ``seq``, with whether the record is an entry as the last bit: one number, so that its
+    least and greatest are kept in buffers of fixed width, which Spark aggregates by hashing."""
+    return (F.col("ts").cast("decimal(20,0)") * F.lit(Decimal(1 << 65))
+            + F.coalesce(F.col(seq), F.lit(0)).cast("decimal(20,0)") * 2 + F.when(is_entry(), 1).otherwise(0))
+
+
+def visitor_cells(logs: DataFrame, window: str, within_ms: int, seq: str = "seq") -> DataFrame:
+    """What :func:`cell_metrics` and :func:`cell_visits` need of a log, in one pass over it.
+
+    A row for each visitor, date, window, cell of time as long as the bounce limit, and set of keys: sums, and the first and
+    last records. It combines before the shuffle, and a busy visitor is spread over cells. Records without a time are left out.
+    """
+    page, entry, position = ~is_start(), ~is_start() & is_entry(), _position(seq)
+    flat = logs.filter(F.col("ts").isNotNull()).select(
+        *(F.col(f"common.{key}").alias(key) for key in ("mid", *STAT_KEYS)),
+        "ts", date_text(F.col("ts")).alias("day"), (F.col("ts") - F.pmod("ts", F.lit(within_ms))).alias("cell"),
+        F.window(event_time(F.col("ts")), window)["start"].alias("slot"), page.alias("page"), entry.alias("entry"),
+        F.coalesce(F.col("page.during_time"), F.lit(0)).alias("dur"), position.alias("position"))
+    seen, entered = (lambda value: F.when(F.col("page"), value)), (lambda value: F.when(F.col("entry"), value))
+    return flat.groupBy("mid", *STAT_KEYS, "day", "slot", "cell").agg(
+        F.min("ts").alias("first_ts"), F.count("*").alias("records"),
+        F.count(seen(F.lit(1))).alias("pv_ct"), F.count(entered(F.lit(1))).alias("sv_ct"),
+        F.sum(seen(F.col("dur"))).alias("dur_sum"),
+        F.min(seen(F.col("ts"))).alias("page_ts"), F.max(seen(F.col("ts"))).alias("last_ts"),
+        F.max(seen(F.col("position"))).alias("last"),
+        F.min(entered(F.col("ts"))).alias("entry_ts"), F.min(entered(F.col("position"))).alias("first_entry"))
+
+
+def cell_visits(cells: DataFrame) -> DataFrame:
+    """:func:`first_visits` of the log that ``cells`` are of."""
+    return (
+        cells.filter(F.col("is_new") == "1").groupBy("mid")
+        .agg(F.min("first_ts").alias("first_ts"), F.sum("records").alias("records"))
+        .select("mid", date_text(F.col("first_ts")).alias("first_date"), "records")
+    )
+
+
+def _cell_metric(rows: DataFrame, ts: str, **counts: Column) -> DataFrame:
+    return rows.select("mid", *STAT_KEYS, *(counts.get(name, F.lit(0)).cast("bigint").alias(name) for name in STAT_SUMS),
+                       F.col(ts).alias("ts"))
+
+
+def cell_metrics(cells: DataFrame, within_ms: int) -> DataFrame:
+    """:func:`visitor_metrics` of the log that ``cells`` are of, page views summed by cell.
+
+    The first entry of a date is the first of its cells' first entries. A bounce is the last record of its cell, if an
+    entry, and no record of the next cell comes within the limit.
+    """
+    pages = cells.filter(F.col("pv_ct") > 0)
+    views = _cell_metric(pages, "page_ts", pv_ct=F.col("pv_ct"), sv_ct=F.col("sv_ct"), dur_sum=F.col("dur_sum"))
+    first = (
+        cells.filter(F.col("first_entry").isNotNull()).groupBy("mid", "day")
+        .agg(F.min_by(F.struct(*STAT_KEYS, "entry_ts"), "first_entry").alias("first"))
+    )
+    near = pages.withColumn("back", F.explode(F.array(F.lit(0), F.lit(within_ms))))
+    own = F.col("back") == 0
+    jumps = (
+        near.groupBy("mid", (F.col("cell") - F.col("back")).alias("cell"))
+        .agg(F.max_by(F.struct(*STAT_KEYS, "last_ts", "last"), F.when(own, F.col("last"))).alias("own"),
+             F.min(F.when(~own, F.col("page_ts"))).alias("next_ts"))
+        .filter(F.col("own").isNotNull() & (F.pmod(F.col("own.last"), F.lit(2)) == 1))
+        .filter(F.col("next_ts").isNull() | (F.col("next_ts") - F.col("own.last_ts") >= within_ms))
+    )
+    return (
+        views
+        .unionByName(_cell_metric(first.select("mid", "first.*"), "entry_ts", uv_ct=F.lit(1)))
+        .unionByName(_cell_metric(jumps.select("mid", "own.*"), "last_ts", uj_ct=F.lit(1)))
+    )
+
+
 def with_watermark(metrics: DataFrame, delay: str) -> DataFrame:
     """Metrics of one input with an event time and a watermark of its own.
 

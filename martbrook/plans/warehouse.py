@@ -95,10 +95,8 @@ class Warehouse:
         if payment_wide is None:
             payment_wide = wide.payment_wide(self.payments, order_wide)
         events, lineitem = self.fact("events"), self.fact("lineitem")
-        return products.product_metrics(
-            self.pages, given.favor_info(events), given.cart_info(events),
-            given.order_refund_info(lineitem), given.comment_info(lineitem), order_wide, payment_wide,
-        )
+        return products.merged_metrics(
+            self.pages, given.mark_info(events), given.after_sale_info(lineitem), order_wide, payment_wide)
 
     @cached_property
     def product_stats(self) -> DataFrame:
@@ -121,9 +119,8 @@ class Warehouse:
 
     @cached_property
     def visitor_stats(self) -> DataFrame:
-        """The flag depends on visitor and date alone, so it is repaired once, on the metric rows,
-        instead of on each of the three inputs they come from."""
-        pages = visitors.metric_pages(self.pages, ORDER)
-        metrics = visitors.visitor_metrics(
-            pages, visitors.unique_visitors(pages, ORDER), visitors.bounces(pages, BOUNCE_MS, ORDER))
-        return visitors.visitor_stats(visitors.repair_flag(metrics, visitors.first_visits(self.logs)), WINDOW)
+        """One pass over the log; page views, uniques, bounces and first visits all read the cells it leaves. The flag
+        depends on visitor and date alone, so it is repaired once, on the metric rows."""
+        cells = written(visitors.visitor_cells(self.logs, WINDOW, BOUNCE_MS), "visitor_cells")
+        metrics = visitors.cell_metrics(cells, BOUNCE_MS)
+        return visitors.visitor_stats(visitors.repair_flag(metrics, visitors.cell_visits(cells)), WINDOW)

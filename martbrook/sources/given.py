@@ -204,6 +204,27 @@ def cart_info(events: DataFrame) -> DataFrame:
     return _event_fact(events, "purchase")
 
 
+def mark_info(events: DataFrame) -> DataFrame:
+    """:func:`favor_info` and :func:`cart_info` in one pass."""
+    kind = F.col("event_type")
+    return events.filter(kind.isin("signup", "purchase")).select(
+        _k().alias("sku_id"), millis_text(_event_ms()).alias("create_time"),
+        F.when(kind == "signup", "favor").otherwise("cart").alias("kind"))
+
+
+def after_sale_info(lineitem: DataFrame) -> DataFrame:
+    """:func:`order_refund_info` and :func:`comment_info` in one pass."""
+    refund = F.col("l_returnflag") == "R"
+    return lineitem.filter(F.col("l_returnflag").isin("R", "A")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.when(refund, _split_total()).alias("refund_amount"),
+        F.when(~refund, F.when(F.col("l_linestatus") == "O", "1201").otherwise("1203")).alias("appraise"),
+        millis_text(_detail_ms()).alias("create_time"),
+        F.when(refund, "refund").otherwise("comment").alias("kind"),
+    )
+
+
 # --- dimensions (all text, as a change-fed snapshot would be) ------------------
 def user_dim(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")

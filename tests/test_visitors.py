@@ -2,6 +2,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from martbrook.operators import applog, visitors
+from martbrook.plans.warehouse import Warehouse
 from rows import log, logs, ms, values
 
 D1, D2, D3 = "2024-01-01 10:00:00", "2024-01-02 10:00:00", "2024-01-03 10:00:00"
@@ -61,6 +62,37 @@ def test_visitor_stats_window_edges_and_sums(spark):
         ("2024-01-01 00:00:10", "2024-01-01 00:00:20", 0, 1, 0, 0, 7)]
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 9000), st.booleans(), st.sampled_from("01"), st.booleans()),
+                min_size=1, max_size=30))
+def test_one_pass_equals_one_pass_for_each_metric(spark, seen):
+    """Records of a visitor lie on both sides of midnight; some have other keys, some are starts, and times are tied."""
+    rows = logs(spark, log(None, ms(D1), seq=98), log("a", None, seq=99), *(
+        log(mid, ms("2024-01-01 23:59:55") + at // 100 * 100, last=None if entry else "x", is_new=new, during=at, seq=n,
+            start={"entry": "icon"} if begun and at % 3 == 0 else None, vc=f"v{at % 2}")
+        for n, (mid, at, entry, new, begun) in enumerate(seen)))
+    pages, order = applog.page_logs(rows), ("ts", "seq")
+    plain = visitors.visitor_metrics(pages, visitors.unique_visitors(pages, order), visitors.bounces(pages, 1000, order))
+    cells = visitors.visitor_cells(rows, "2 seconds", 1000)
+    stats = lambda metrics, visits: values(visitors.visitor_stats(visitors.repair_flag(metrics, visits), "2 seconds"), "*")
+    assert stats(visitors.cell_metrics(cells, 1000), visitors.cell_visits(cells)) == stats(plain, visitors.first_visits(rows))
+
+
+def test_cells_keep_order_for_ids_of_any_sign(spark):
+    rows = logs(spark, *(log("a", ms(D1), last=None if seq == -5 else "x", seq=seq) for seq in (-(1 << 63), -5, -7)),
+                log("b", ms(D1), seq=(1 << 63) - 1), log("b", ms(D1) + 1, last="x", seq=-(1 << 63)))
+    metrics = visitors.cell_metrics(visitors.visitor_cells(rows, "10 seconds", 1000), 1000)
+    assert values(metrics.filter("uj_ct = 1"), "mid") == [("a",)]
+
+
+def test_visitor_statistics_scan_the_log_once_and_hash(spark):
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    house = Warehouse(spark, "/root/testdata/sf0.001")
+    first = plan(visitors.visitor_cells(house.logs, "1 hour", 3_600_000))
+    assert first.count("Scan parquet") == 1 and "HashAggregate" in first and "SortAggregate" not in first
+    assert "events.parquet" not in plan(house.visitor_stats)
+
+
 def test_split_and_displays(spark):
     rows = logs(spark,
                 log("a", 1, start={"entry": "icon"}, seq=1),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from martbrook import schemas
 from martbrook.operators import products, provinces, wide
+from martbrook.sources import given
 from rows import ms, table, values
 
 T0 = ms("2024-01-01 10:00:00")
@@ -101,6 +102,15 @@ def test_all_product_metrics(spark):
         "order_ct": 1, "paid_order_ct": 1, "refund_order_ct": 1}
 
 
+def test_inputs_that_come_together_give_the_rows_of_each(spark):
+    tables = [spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("events", "lineitem")]
+    marks, sales = products.mark_metrics(given.mark_info(tables[0])), products.after_sale_metrics(given.after_sale_info(tables[1]))
+    apart = [products.favor_metrics(given.favor_info(tables[0])), products.cart_metrics(given.cart_info(tables[0])),
+             products.refund_metrics(given.order_refund_info(tables[1])), products.comment_metrics(given.comment_info(tables[1]))]
+    for one, two in ((marks, apart[:2]), (sales, apart[2:])):
+        assert values(one, "*") == values(two[0].unionByName(two[1]), "*") != []
+
+
 def test_province_stats(spark):
     rows = wide.order_wide(orders(spark), details(spark, 0, 1))
     assert values(provinces.province_stats(rows), "province_id", "order_count", "order_amount") == [(3, 1, D("20.00"))]
