@@ -3,6 +3,9 @@
 Grades are ordered. One weight for each hashed feature is shared by all grades; a grade's threshold
 says from which score on a text is more likely above it than not. From the chances of lying above each
 threshold come the expected grade and the chance of a grade of at least some level, by which texts are selected.
+
+Words over a whole text cannot tell a good text from one that is good but for a toxic passage, so the score of a
+toxicity classifier, learnt on the same fold, may be one feature more.
 """
 
 from __future__ import annotations
@@ -12,13 +15,16 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .features import WordCounts, remainder, sample, sigmoid
+from . import toxicity
+from .features import CharGrams, WordCounts, chosen, remainder, sigmoid
 from .texts import keep_texts, map_texts
 
 HELD_OUT = 1
 #: Labelled texts of each grade that the weights are fit on.
 SAMPLE = 3000
 BITS = 18
+#: What a toxicity of 1 counts as, so that one feature is learnt as fast as the many words of a text together.
+TOXIC = 4.0
 #: A text is selected if its chance of the highest grade is at least this.
 SELECT = 0.5
 
@@ -29,11 +35,28 @@ def grade() -> Column:
     return F.when(F.col("quality") <= 0, 0).when((F.col("quality") > 0) & (F.coalesce("toxic", F.lit(0)) > 0), 1).when(F.col("quality") > 0, 2)
 
 
+class Features:
+    """Hashed words of a text, and its toxicity where there is a model of it: places and values."""
+
+    SIZE = WordCounts(BITS).size + 1
+
+    def __init__(self, toxic: toxicity.Model | None):
+        self.counts, self.toxic = WordCounts(BITS), toxic
+        self.grams = CharGrams(toxicity.ORDERS, toxicity.BITS) if toxic else None
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        places, values = self.counts(text)
+        if self.toxic is None:
+            return places, values
+        return np.append(places, self.SIZE - 1), np.append(values, TOXIC * self.toxic.score(self.grams.places(text)))
+
+
 @dataclass(frozen=True)
 class Model:
     grades: tuple[int, ...]  # ascending
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one between each grade and the next
+    toxic: toxicity.Model | None = None
 
     def above(self, features: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """The chance of a grade above each threshold."""
@@ -45,21 +68,30 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-        held_out: int = HELD_OUT, most: int = SAMPLE, rounds: int = 200, ridge: float = 1e-6) -> Model:
+        held_out: int = HELD_OUT, most: int = SAMPLE, rounds: int = 200, ridge: float = 1e-6,
+        toxic: toxicity.Model | None = None) -> Model:
     """The regression of a grade (from the labels' columns) on texts outside the held-out fold, at most
-    ``most`` of each grade. Without labels there is the grade 0 only."""
-    counts = WordCounts(BITS)
-    rows, y = [], []
-    for text, level in sample(docs, labels, grade() if label is None else label, id_col, text_col, held_out, most):
-        rows.append(counts(text))
-        y.append(level)
+    ``most`` of each grade. Without labels there is the grade 0 only. ``toxic`` must not know the held-out fold either.
+
+    Tasks make the features, so no text goes to the driver. Null texts count as empty."""
+    rows, y, shared = [], [], docs.sparkSession.sparkContext.broadcast(toxic)  # 2**toxicity.BITS weights
+
+    def make():
+        features = Features(shared.value)
+        return lambda text: tuple(part.tolist() for part in features(text))
+
+    for texts, level in chosen(docs, labels, grade() if label is None else label, id_col, text_col, held_out, most):
+        for row in map_texts(texts, make, "places array<int>, counts array<double>").orderBy("doc_id").toLocalIterator():
+            rows.append((np.array(row["places"], dtype=np.int64), np.array(row["counts"])))
+            y.append(level)
     grades = tuple(sorted(set(y))) or (0,)
     if len(grades) == 1:
-        return Model(grades, np.zeros(counts.size), np.zeros(0))
-    return _ordinal(rows, np.searchsorted(grades, y), grades, counts.size, rounds, ridge)
+        return Model(grades, np.zeros(Features.SIZE), np.zeros(0), toxic)
+    weights, thresholds = _ordinal(rows, np.searchsorted(grades, y), grades, Features.SIZE, rounds, ridge)
+    return Model(grades, weights, thresholds, toxic)
 
 
-def _ordinal(rows: list, y: np.ndarray, grades: tuple[int, ...], size: int, rounds: int, ridge: float) -> Model:
+def _ordinal(rows: list, y: np.ndarray, grades: tuple[int, ...], size: int, rounds: int, ridge: float) -> tuple[np.ndarray, np.ndarray]:
     """Full-gradient Adam on the log-likelihood. The first threshold is free, the others are kept in
     order by the logarithms of their steps."""
     places, flat = np.unique(np.concatenate([p for p, _ in rows]), return_inverse=True)
@@ -93,7 +125,7 @@ def _ordinal(rows: list, y: np.ndarray, grades: tuple[int, ...], size: int, roun
         w, t = w - move[:len(w)], t - move[len(w):]
     weights = np.zeros(size)
     weights[places] = w
-    return Model(grades, weights, np.cumsum(np.concatenate([t[:1], np.exp(t[1:])])))
+    return weights, np.cumsum(np.concatenate([t[:1], np.exp(t[1:])]))
 
 
 def graded(docs: DataFrame, model: Model, level: int | None = None, select: float = SELECT,
@@ -104,13 +136,14 @@ def graded(docs: DataFrame, model: Model, level: int | None = None, select: floa
     Null and empty texts are graded as a text without words. Every row is graded, repeated ones alike;
     only the text is looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, level))  # 2**BITS weights
+    shared = docs.sparkSession.sparkContext.broadcast((model, level))  # 2**BITS weights, and toxicity's
 
     def make():
-        counts, (told, least) = WordCounts(BITS), shared.value
+        told, least = shared.value
+        features = Features(told.toxic)
 
         def step(text):
-            above = told.above(counts(text))
+            above = told.above(features(text))
             tail = _tail(told, above, least)
             return told.expected(above), tail, int(tail >= select)
         return step
@@ -132,8 +165,9 @@ def selected(docs: DataFrame, model: Model, level: int | None = None, select: fl
     shared = docs.sparkSession.sparkContext.broadcast((model, level))
 
     def make():
-        counts, (told, least) = WordCounts(BITS), shared.value
-        return lambda text: _tail(told, told.above(counts(text)), least) >= select
+        told, least = shared.value
+        features = Features(told.toxic)
+        return lambda text: _tail(told, told.above(features(text)), least) >= select
 
     return keep_texts(docs, make, text_col)
 

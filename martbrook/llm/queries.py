@@ -86,8 +86,8 @@ def op7_toxicity(spark, folder):
 
 @query
 def op8_quality(spark, folder):
-    docs = table(spark, folder, "documents")
-    model = quality.fit(docs, table(spark, folder, "labels"))
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels, toxic=toxicity.fit(docs, labels))
     return quality.with_fold(quality.graded(docs, model)).select("doc_id", "held_out", "expected_grade", "tail", "selected")
 
 

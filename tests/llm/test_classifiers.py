@@ -123,6 +123,27 @@ def test_low_quality_of_the_held_out_fold(tables, quality_model):
     assert all(0 <= r.expected_grade <= 2 and r.selected == (r.tail >= 0.5) for r in rows)
 
 
+def test_grades_are_told_apart_on_the_held_out_fold(spark):
+    """Neighbouring grades have different means, and most good but toxic texts are not selected; some labels are wrong."""
+    docs, labels = [spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels")]
+    model = quality.fit(docs, labels, toxic=toxicity.fit(docs, labels))
+    rows = held_out(quality.graded(docs, model), labels.withColumn("grade", quality.grade()))
+    means = [np.mean([r.expected_grade for r in rows if r.grade == g]) for g in (0, 1, 2)]
+    taken = [np.mean([r.selected for r in rows if r.grade == g]) for g in (0, 1, 2)]
+    print("means", means, "selected", taken)
+    assert means[0] + 0.5 < means[1] and means[1] + 0.3 < means[2]
+    assert taken[0] < 0.05 and taken[1] < 0.5 and taken[2] > 0.95
+
+
+def test_grades_any_text_with_toxicity(spark, tmp_path, tables, toxic_model):
+    docs = documents(spark, folder=tmp_path)
+    model = quality.fit(*tables, toxic=toxic_model)
+    rows, features_of = plain(quality.graded(docs, model)), quality.Features(toxic_model)
+    assert [r[2] for r in rows] == [float(model.above(features_of(t or ""))[-1]) for t in TEXTS]
+    assert quality.selected(docs, model).count() == sum(r[3] for r in rows)
+    assert quality.graded(documents(spark, [], folder=tmp_path), model).count() == 0
+
+
 def test_grades_any_text(spark, tmp_path, quality_model):
     docs = documents(spark, folder=tmp_path)
     rows = plain(quality.graded(docs, quality_model))
@@ -140,8 +161,8 @@ def test_ordinal_slopes_and_order():
     x = pick.normal(size=3000)
     y = np.digitize(3 * x + pick.logistic(size=3000), [-2.0, 0.5, 2.5])
     rows = [(np.array([0]), np.array([v])) for v in x]
-    model = quality._ordinal(rows, y, (0, 1, 2, 3), 1, 600, 0.0)
-    assert abs(model.weights[0] - 3) < 0.3 and np.abs(model.thresholds - [-2.0, 0.5, 2.5]).max() < 0.3
+    weights, thresholds = quality._ordinal(rows, y, (0, 1, 2, 3), 1, 600, 0.0)
+    assert abs(weights[0] - 3) < 0.3 and np.abs(thresholds - [-2.0, 0.5, 2.5]).max() < 0.3
 
 
 def test_sample_takes_one_text_an_id_and_no_more_labels_than_it_can(spark, tmp_path):
