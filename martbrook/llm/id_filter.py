@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,8 @@ def _place(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
-def may_contain(keys: DataFrame, column: str):
-    """A condition that holds for all values of a column of ``keys``, and for few others."""
+def _bitmap(keys: DataFrame, column: str):
+    """The bitmap of a column's values, on its way to the tasks."""
     place = _place(F.col(column)) + 1
     parts = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -29,7 +29,25 @@ def may_contain(keys: DataFrame, column: str):
         bits[(row["bucket"] - 1) * len(part):row["bucket"] * len(part)] = part
     spark = keys.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
+    return spark.sparkContext.broadcast(np.packbits(bits))
+
+
+def place_test(keys: DataFrame, column: str) -> tuple[Callable[[Column], Column], Callable[[], Callable[[np.ndarray], np.ndarray]]]:
+    """For rows that go to Python anyway: the column with a value's place, and what a task makes once to tell
+    by the places which rows to keep, all values of a column of ``keys`` and few others. A condition in front of them
+    would take each task another Python worker."""
+    shared = _bitmap(keys, column)
+
+    def make():
+        known = np.unpackbits(shared.value).astype(bool)
+        return lambda places: known[places]
+
+    return _place, make
+
+
+def may_contain(keys: DataFrame, column: str):
+    """A condition that holds for all values of a column of ``keys``, and for few others."""
+    shared = _bitmap(keys, column)
 
     @F.pandas_udf(T.BooleanType())
     def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

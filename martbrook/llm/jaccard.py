@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import work_dir
 from .components import components
-from .id_filter import may_contain
+from .id_filter import may_contain, place_test
 from .texts import ROWS, named, output_schema, ship_package, whole_text
 
 _U = np.uint64
@@ -430,12 +430,13 @@ def _texts(docs: DataFrame, join: Join, sets: DataFrame, shared: DataFrame, id_c
     one = sets.filter("size > 0").groupBy(F.struct("hash", "size").alias("set")).agg(F.min(F.struct("doc_id")).alias("first"))
     one = one.join(shared.select("set").distinct(), "set", "left_semi").select("set", F.col("first.doc_id").alias("first"))
     wanted = _stored(one, work_dir(docs.sparkSession, "jaccard_wanted"))
-    some = may_contain(wanted, "first")
+    place, make = place_test(wanted, "first")
     schema = output_schema(docs, id_col, f"set {SET_ID}, text string, sketch array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = to_arrow_schema(schema)
+        out, wanted_at = to_arrow_schema(schema), make()
         for batch in batches:
+            batch = batch.filter(pa.array(wanted_at(batch.column(2).to_numpy())))
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 found = [hashed_shingles(text, join.words, join.seed) for text in part.column(1).to_pylist()]
@@ -444,7 +445,7 @@ def _texts(docs: DataFrame, join: Join, sets: DataFrame, shared: DataFrame, id_c
                     part.column(0).cast(out.field(0).type), pa.array(names, out.field(1).type),
                     part.column(1).cast(out.field(2).type), pa.array([sketch(x).tolist() for x in found], out.field(3).type)], schema=out)
 
-    rows = docs.filter(some(named(id_col))).select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    rows = docs.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"), place(named(id_col)).alias("place"))
     rows = rows.mapInArrow(run, schema)  # the set again, should an id have several texts
     wanted = wanted.withColumnRenamed("set", "wanted")
     return rows.join(wanted, (F.col("set") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("first"))).select("set", "text", "sketch")

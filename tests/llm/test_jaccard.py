@@ -139,3 +139,16 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, tmp_path):
     assert plain(ja.similar_documents(docs)) == [(None, 5, None), (2, 0, 2), (7, 2, 7), (7, 5, None), (7, 5, None)]
     none = documents(spark, [], folder=tmp_path)
     assert ja.similar_documents(none).count() == 0 and ja.one_of_each(none).count() == 0
+
+
+def test_texts_of_sets_take_one_python_worker_a_task(spark, tmp_path):
+    texts = ["a b c", "d e f", None, "g h i", "a b c"]
+    docs = documents(spark, texts, [3, 1, 2, None, 4], tmp_path)
+    join = ja.Join(words=2)
+    sets = ja.document_sets(docs, join, "doc_id", "text").filter("size IS NOT NULL").select("doc_id", "hash", "size").cache()
+    shared = sets.filter("size > 0 AND (doc_id IS NULL OR doc_id != 1)").selectExpr("struct(hash, size) AS set")
+    found = ja._texts(docs, join, sets, shared, "doc_id", "text")
+    assert sorted(r.text for r in found.collect()) == ["a b c", "g h i"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    sets.unpersist()
