@@ -27,7 +27,8 @@ MOST_ID = (1 << CLASSES) - 2
 _ONE = 1 << 16
 _TOP, _LOW, _MASK = 48, 1 << 32, (1 << 48) - 1
 _SLOTS = 1024
-_STATES = 8
+_STATES, _BITS = 8, 3
+_MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], dtype=np.uint32)
 _RATE = 5
 _SPREAD = _ONE - CLASSES
 _CLASS_OF = np.repeat(np.arange(CLASSES), 1 << np.arange(CLASSES))  # of id + 1, from 1 on
@@ -39,58 +40,58 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.ids = [np.zeros(lanes * _SLOTS, dtype=np.int32) for _ in range(2)]
-        self.trust = [np.zeros(lanes * _SLOTS, dtype=np.int8) for _ in range(2)]
+        self.base, self.row = self.lane * _SLOTS, self.lane * 2 * _STATES
+        #: An id and, in its lowest bits, how often it was right.
+        self.entries = [np.zeros(lanes * _SLOTS, dtype=np.int32) for _ in range(2)]
         #: How often ids occurred, by a hash, and the most frequent id with its count.
         self.counts = np.zeros(lanes * _SLOTS, dtype=np.int32)
-        self.often, self.most = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int32)
-        self.rates = np.full((3, lanes, 2 * _STATES), _ONE // 2, dtype=np.int64)
+        self.often, self.most = np.zeros(lanes, dtype=np.int32), np.zeros(lanes, dtype=np.int32)
+        self.rates = [np.full(lanes * 2 * _STATES, _ONE // 2, dtype=np.int32) for _ in range(3)]
         self.weights = np.full((3, lanes), 1.0 / 3)
-        self.last = np.zeros(lanes, dtype=np.int64)
-        self.before = np.zeros(lanes, dtype=np.int64)
+        self.last = np.zeros(lanes, dtype=np.int32)
+        self.before = np.zeros(lanes, dtype=np.int32)
         steps = (np.arange(CLASSES + 1) * _SPREAD // CLASSES).astype(np.int32)
         self.classes = np.tile(steps, (lanes, 1))
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
         """The candidate id of each lane, and the share of the range that a hit gets."""
-        base = self.lane * _SLOTS
-        one = (self.last * 0x9E3779B1 >> 7) & (_SLOTS - 1)
-        two = ((self.last * 0x85EBCA6B ^ self.before * 0xC2B2AE35) >> 9) & (_SLOTS - 1)
-        self.slots = (base + one, base + two)
-        id1, id2 = (self.ids[k][self.slots[k]] for k in (0, 1))
-        trust1, trust2 = (self.trust[k][self.slots[k]] for k in (0, 1))
-        self.found = (id1, id2), (trust1, trust2)
+        last, before = self.last.astype(np.uint32), self.before.astype(np.uint32)  # products modulo 2**32
+        one = self.base + (last * _MIX[0] >> 7 & _SLOTS - 1)
+        two = self.base + ((last * _MIX[1] ^ before * _MIX[2]) >> 9 & _SLOTS - 1)
+        self.slots = (one, two)
+        self.found = entry1, entry2 = [e.take(slot) for e, slot in zip(self.entries, self.slots)]
+        self.trust = trust1, trust2 = entry1 & _STATES - 1, entry2 & _STATES - 1
+        self.known = id1, id2 = entry1 >> _BITS, entry2 >> _BITS
         guess = np.where(trust2 > 0, id2, np.where(trust1 > 0, id1, self.often))
         self.states = (
-            (0, self.lane, (self.often == guess).astype(np.int8)),
-            (1, self.lane, trust1 + _STATES * (id1 != guess)),
-            (2, self.lane, trust2 + _STATES * (id1 == id2)),
+            self.row + (self.often == guess),
+            self.row + (trust1 + _STATES * (id1 != guess).view(np.int8)),
+            self.row + (trust2 + _STATES * (id1 == id2).view(np.int8)),
         )
-        self.chances = [np.maximum(self.rates[s], 32) for s in self.states]
+        self.chances = [np.maximum(rates.take(s), 32) for rates, s in zip(self.rates, self.states)]
         w, (p0, p1, p2) = self.weights, self.chances
         share = ((w[0] * p0 + w[1] * p1 + w[2] * p2) / (w[0] + w[1] + w[2])).astype(np.int64)
         return guess, np.minimum(np.maximum(share, 64), _ONE - 64)
 
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        goal = np.where(hit, _ONE, 0)
+        ids = ids.astype(np.int32)
+        goal = np.where(hit, np.int32(_ONE), np.int32(0))
         w = self.weights
         for k, (state, chance) in enumerate(zip(self.states, self.chances)):
-            self.rates[state] = chance + ((goal - chance) >> _RATE)
+            self.rates[k][state] = chance + ((goal - chance) >> _RATE)
             w[k] *= np.where(hit, chance, _ONE - chance)
         w /= w[0] + w[1] + w[2]
         np.maximum(w, 0.02, out=w)
+        new = (ids << _BITS) + 1
         for k in (0, 1):
-            slot, known, trust = self.slots[k], self.found[0][k], self.found[1][k]
-            right = (known == ids) & (trust > 0)
-            new = np.where(right, np.minimum(trust + 1, _STATES - 1), trust >> 1).astype(np.int8)
-            empty = ~right & (new == 0)
-            self.ids[k][slot] = np.where(empty, ids, known)
-            self.trust[k][slot] = np.where(empty, 1, new)
-        slot = self.lane * _SLOTS + ((ids * 0x9E3779B1 >> 13) & (_SLOTS - 1))
-        count = self.counts[slot] + 1
+            entry, trust = self.found[k], self.trust[k]
+            right = (self.known[k] == ids) & (trust > 0)
+            less = np.where(trust > 1, entry - trust + (trust >> 1), new)
+            self.entries[k][self.slots[k]] = np.where(right, entry + (trust < _STATES - 1), less)
+        slot = self.base + (ids.astype(np.uint32) * _MIX[0] >> 13 & _SLOTS - 1)
+        count = self.counts.take(slot) + 1
         self.counts[slot] = count
-        more = count >= self.most
-        self.often, self.most = np.where(more, ids, self.often), np.where(more, count, self.most)
+        self.often, self.most = np.where(count >= self.most, ids, self.often), np.maximum(count, self.most)
         self.before, self.last = self.last, ids
 
     def learn_class(self, lanes: np.ndarray, kinds: np.ndarray) -> None:
@@ -184,7 +185,7 @@ def _decode(data: list[bytes], steps: int) -> np.ndarray:
         if len(missed):
             whole, where = place(missed)
             ends = model.classes[missed, 1:] + np.arange(1, CLASSES + 1)
-            kind = (ends <= where[:, None]).sum(axis=1)
+            kind = np.add.reduce((ends <= where[:, None]).view(np.int8), axis=1, dtype=np.int8).astype(np.int64)
             first = model.classes[missed, kind]
             take(missed, whole, first + kind, model.classes[missed, kind + 1] - first + 1)
             whole, where = place(missed)

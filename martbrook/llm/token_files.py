@@ -62,12 +62,11 @@ class TextIds:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._chunks(text) for text in texts]
-        known = self.known
-        new = [c for c in {c for chunks in cut for c in chunks} if c not in known]
+        known, met = self.known, set().union(*cut)
+        new = met.difference(known)
         if len(known) + len(new) > PIECES // 2:
             self.old, self.known = known, {}
-            known = self.known
-            new = list({c for chunks in cut for c in chunks})
+            known, new = self.known, met
         unknown = []
         for chunk in new:
             ids = self.old.get(chunk)
@@ -80,7 +79,7 @@ class TextIds:
         if plain:
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             at = np.cumsum(self.sizes[ids])
-            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in plain])
+            ends = np.cumsum([len(c) if c.isascii() else len(c.encode("utf-8", "surrogatepass")) for c in plain])
             last = np.searchsorted(at, ends)
             if not (at[last] == ends).all():
                 raise ValueError("a token runs across a space")

@@ -55,6 +55,23 @@ def test_most_frequent_id_is_predicted_without_context():
     assert model.predict()[0].tolist() == [5, 9]
 
 
+def test_a_context_is_read_and_written_once_a_step():
+    """An entry holds the id and how often it was right, so a step gathers one array for each order."""
+    model, ids = rc._Model(3), np.array([0, 7, rc.MOST_ID])
+    assert [e.dtype.itemsize * len(e) for e in model.entries] == [4 * 3 * rc._SLOTS] * 2
+    for _ in range(20):  # trust is bounded, and the largest id fits
+        model.learn(ids, model.predict()[0] == ids)
+    assert model.predict()[0].tolist() == ids.tolist()
+    assert [t.tolist() for t in model.trust] == [[rc._STATES - 1] * 3] * 2 and [k.tolist() for k in model.known] == [ids.tolist()] * 2
+
+
+def test_bytes_stay_as_they_were():
+    pick = np.random.default_rng(5)
+    ids = np.minimum(pick.zipf(1.2, 20_000), rc.MOST_ID)
+    data = b"".join(b[2] for b in rc.encode_blocks(ids))
+    assert (len(data), zlib.crc32(data)) == (23738, 1645103371)
+
+
 def test_damage_and_wrong_ids_are_noticed():
     ids = shapes(200)[0]
     (n, check, data), *rest = rc.encode_blocks(ids, 64)
