@@ -200,6 +200,10 @@ class Encoder:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def forget(self) -> None:
+        for memo in (self.fits, self.old_fits, self.pieces, self.pieces.old):
+            memo.clear()
+
 
 class _Memo(dict):
     """A bounded memo of a function: what was not asked for since it was last half full is forgotten."""
@@ -223,9 +227,15 @@ class _Memo(dict):
         return value
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(key: tuple, shared) -> Encoder:
-    return Encoder(shared.value, key[1])
+    while _kept:  # of an earlier job in this worker
+        _kept.pop().forget()
+    _kept.append(Encoder(shared.value, key[1]))
+    return _kept[0]
+
+
+_kept: list[Encoder] = []
 
 
 class Vocabulary:

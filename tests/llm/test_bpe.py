@@ -49,6 +49,19 @@ def test_small_memos_change_nothing(ranks, library, monkeypatch):
     assert len(encoder.pieces) <= 4
 
 
+def test_a_worker_keeps_the_memos_of_one_job(ranks):
+    class Shared:
+        value = ranks
+
+    one, other = Shared(), Shared()
+    first = bpe._encoder(("a", public_tokenizers.PATTERN), one)
+    ids = first.encode("thereof whereupon").tolist()
+    assert first.pieces and bpe._encoder(("a", public_tokenizers.PATTERN), one) is first
+    second = bpe._encoder(("a", public_tokenizers.PATTERN), other)
+    assert not (first.pieces or first.pieces.old or first.fits or first.old_fits)
+    assert second.encode("thereof whereupon").tolist() == first.encode("thereof whereupon").tolist() == ids
+
+
 def test_awkward_texts(spark, tmp_path, library):
     words = bpe.Vocabulary(spark, PATH, public_tokenizers.PATTERN)
     docs = documents(spark, folder=tmp_path)
