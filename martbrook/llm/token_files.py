@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
@@ -32,12 +32,42 @@ from .texts import file_system, named, ship_package, whole_text
 
 # Fixed value: the mark at the start of a file.
 MAGIC = b"MBIDRC2\n"
-#: Ids from which a task begins another file; bounds its memory.
-FILE_IDS = 4 * 1024 * 1024
-#: Pieces of text whose ids a worker keeps, and texts that it tokenises at once.
-PIECES, TEXTS = 300_000, 256
-#: A space after white space, before no sign: a run of white space that may not be cut there.
-_INNER = regex.compile(r"\s (?!\S)")
+#: Ids from which a task begins another file; bounds its memory. A file's blocks are coded side by side.
+FILE_IDS = 7 * 1024 * 1024
+#: Pieces of text whose ids a worker keeps, and bytes of text that it tokenises at once, by whole texts.
+PIECES, TEXT_BYTES = 400_000, 8 * 1024 * 1024
+
+
+def _kinds() -> bytes:
+    """The kind of each byte of UTF-8; 0 stands for signs, white space for one, that nothing is said of."""
+    kinds = bytearray(256)
+    for byte in range(128, 256):
+        kinds[byte] = _HIGH
+    for byte in range(33, 127):
+        kinds[byte] = _LETTER if chr(byte).isalpha() else _DIGIT if chr(byte).isdigit() else _SIGN
+    kinds[ord(" ")], kinds[ord("\n")], kinds[0xC3] = _SPACE, _LINE, _LATIN
+    kinds[0x97] = kinds[0xB7] = _TIMES
+    return bytes(kinds)
+
+
+# Latin: the first byte of U+00C0 to U+00FF, all letters but the signs for times and divided, which end in bytes of their own.
+_SPACE, _LETTER, _SIGN, _LINE, _LATIN, _HIGH, _TIMES, _DIGIT = 1, 2, 4, 8, 16, 32, 64, 128
+_KINDS = _kinds()
+_WORD, _SEEN, _ABOVE = _LETTER | _DIGIT, _LETTER | _DIGIT | _SIGN, _HIGH | _TIMES
+_FIRM = _SEEN | _LATIN
+
+
+def _spelling() -> np.ndarray:
+    """The character of each byte in the spelling of byte-level tokens; a line's end for 0xFF, which UTF-8 never has."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    table = np.zeros(256, np.uint32)
+    table[shown], table[hidden] = shown, 256 + np.arange(len(hidden))
+    table[0xFF] = ord("\n")
+    return table
+
+
+_SPELLED = _spelling()
 MANIFEST = "part bigint, number bigint, file string, n_docs bigint, n_ids bigint"
 
 
@@ -45,60 +75,146 @@ MANIFEST = "part bigint, number bigint, file string, n_docs bigint, n_ids bigint
 class TextIds:
     """Ids of texts by the tokenizers library, without special tokens.
 
-    Byte-level pre-tokenisation never takes a space together with what comes before it, so a text
-    may be cut before its spaces, unless white space runs on there; ids of what lies between are kept.
+    Texts are cut where byte-level pre-tokenisation always begins anew, whatever stands around, so that a piece has
+    the same ids everywhere; each different piece of many texts is looked up, or tokenised, once. Tokenizers that
+    do not pre-tokenise so get whole texts.
     """
 
     def __init__(self, model: str):
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        spec = json.loads(model)
+        before = spec.get("pre_tokenizer") or {}
+        self.cut = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not (
+            before.get("add_prefix_space", True) or spec.get("normalizer")
+            or not all(token["special"] for token in spec.get("added_tokens", ())))
+        #: The same merges for words that are one match as they are, spelled as tokens are.
+        self.words = Tokenizer.from_str(json.dumps({**spec, "pre_tokenizer": None, "added_tokens": []}))
         vocabulary = self.tokenizer.get_vocab()
         #: Bytes of each token: its spelling has a character for each.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._chunks(text) for text in texts]
-        known, met = self.known, set().union(*cut)
-        new = met.difference(known)
-        if len(known) + len(new) > PIECES // 2:
-            self.old, self.known = known, {}
-            known, new = self.known, met
-        unknown = []
-        for chunk in new:
-            ids = self.old.get(chunk)
-            if ids is None:
-                unknown.append(chunk)
-            else:
-                known[chunk] = ids
-        # Cut out of one long text again, at the bytes, what may stand next to anything.
-        plain = [c for c in unknown if len(c) > 1 and c[0] == " " and c[1].isprintable() and not c[1].isspace()]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            at = np.cumsum(self.sizes[ids])
-            ends = np.cumsum([len(c) if c.isascii() else len(c.encode("utf-8", "surrogatepass")) for c in plain])
-            last = np.searchsorted(at, ends)
-            if not (at[last] == ends).all():
-                raise ValueError("a token runs across a space")
-            data, first = ids.tobytes(), 0
-            for chunk, end in zip(plain, (4 * (last + 1)).tolist()):
-                known[chunk] = data[first:end]
-                first = end
-        rest = [c for c in unknown if c not in known]
-        for chunk, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[chunk] = np.array(found.ids, dtype=np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, chunks)), dtype=np.uint32) for chunks in cut]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        if not text:
-            return []
-        if "\x00" in text or _INNER.search(text):
-            return [text]
-        return text.replace(" ", "\x00 ").split("\x00")
+        #: Pieces, their ids one after another, where these end, and in how many calls a piece was met of late.
+        self.known = pa.array([], pa.binary())
+        self.ids, self.ends, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not self.cut:
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.array(x.ids, np.uint32) for x in found]
+        pieces, first = _pieces(texts.cast(pa.binary()))
+        coded = pieces.dictionary_encode()
+        at = self._places(coded.dictionary).take(coded.indices.to_numpy())
+        sizes = np.diff(self.ends).take(at)
+        before = np.cumsum(np.append(0, sizes)).take(first[1:-1])
+        return np.split(_taken(self.ids, self.ends.take(at), sizes), before) if len(texts) else []
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where these pieces stand among the known ones, which they become."""
+        if len(self.known) > PIECES:
+            self._forget()
+        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.known) + np.arange(len(new))
+        pieces = pieces.take(pa.array(new))
+        ids, sizes = self._encode(pieces)
+        self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
+        self.uses[at] += 1
+        return at
+
+    def _forget(self) -> None:
+        """Keep the half that was met most, of those met again."""
+        stay = np.argsort(-self.uses, kind="stable")[:PIECES // 2]
+        stay = stay[self.uses[stay] > 1]
+        sizes = np.diff(self.ends).take(stay)
+        self.ids = _taken(self.ids, self.ends.take(stay), sizes)
+        self.ends = np.cumsum(np.append(0, sizes))
+        self.known, self.uses = self.known.take(pa.array(stay)), self.uses[stay] // 2
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after another, and how many each has."""
+        data, off = _buffers(pieces)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        kinds = np.frombuffer(data.tobytes().translate(_KINDS) + bytes(2), np.uint8)
+        begin, second, last, before = (kinds.take(x) for x in (off[:-1], off[:-1] + 1, off[1:] - 1, off[1:] - 2))
+        # Letters, the first byte aside, which may be a space.
+        other = (kinds & (_LETTER | _LATIN) == 0)
+        other[1:] &= (kinds[1:] != _HIGH) | (kinds[:-1] != _LATIN)
+        other = np.cumsum(np.append(False, other))
+        word = (other.take(off[1:]) == other.take(off[:-1] + 1)) & (begin & (_SPACE | _LETTER) > 0)
+        # White space before a sign, after a sign: cut out of one long text again, at the bytes.
+        closed = (last & _SEEN > 0) | (before == _LATIN) & (last & _ABOVE > 0)
+        joined = ~word & (np.diff(off) > 1) & (begin & (_SPACE | _LINE) > 0) & (second & _FIRM > 0) & closed
+        alone = ~word & ~joined
+        sizes, parts = np.zeros(len(pieces), np.int64), []
+        for some, encode in ((word, self._of_words), (joined, self._of_text)):
+            found = pieces.take(pa.array(np.flatnonzero(some)))
+            if len(found):
+                ids = np.array(encode(found), dtype=np.uint32)
+                at, ends = np.cumsum(self.sizes.take(ids)), _buffers(found)[1][1:]
+                end = np.searchsorted(at, ends)
+                if at[-1] != ends[-1] or not (at.take(end) == ends).all():
+                    raise ValueError("a token runs across pieces")
+                sizes[some] = np.diff(end, prepend=-1)
+                parts.append(ids)
+        texts = [p.decode("utf-8") for p in pieces.take(pa.array(np.flatnonzero(alone))).to_pylist()]
+        found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes[alone] = list(map(len, found))
+        # Back into the order of the pieces.
+        order = np.concatenate([np.flatnonzero(some) for some in (word, joined, alone)])
+        begins = np.empty_like(sizes)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return _taken(np.concatenate([*parts, *found]), begins, sizes), sizes
+
+    def _of_words(self, words: pa.Array) -> list[int]:
+        spelled = np.frombuffer(b"\xff".join(words.to_pylist()), np.uint8)
+        words = _SPELLED.take(spelled).astype("<u4").tobytes().decode("utf-32-le").split("\n")
+        return self.words.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids
+
+    def _of_text(self, pieces: pa.Array) -> list[int]:
+        text = _buffers(pieces)[0].tobytes().decode("utf-8")
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+
+def _taken(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of values, one after another."""
+    ends = np.cumsum(sizes)
+    return values.take(np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0))
+
+
+def _buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary array without nulls, and where its values begin and end in them."""
+    if not len(array):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    off = np.frombuffer(array.buffers()[1], np.int32)[array.offset:array.offset + len(array) + 1].astype(np.int64)
+    data = array.buffers()[2]
+    return np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data else np.zeros(0, np.uint8), off - off[0]
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of texts in UTF-8, and for each text, and the end, how many pieces come before it.
+
+    A piece begins with a text; at a space after a sign, which a match may begin with but not take in later (after a
+    sign that may be white space, if the next one is none); at a line's end after a sign; and at an ASCII sign after a
+    letter or digit of ASCII or Latin-1: no match takes both.
+    """
+    data, off = _buffers(texts)
+    kinds = np.frombuffer(bytes(2) + data.tobytes().translate(_KINDS) + bytes(1), np.uint8)
+    before, last, here, then = kinds[:-3], kinds[1:-2], kinds[2:-1], kinds[3:]
+    high, seen = last & _ABOVE > 0, last & _SEEN > 0
+    cut = (here == _SPACE) & (seen | high & (then & _FIRM > 0))
+    cut |= (here == _LINE) & seen
+    cut |= (here == _SIGN) & ((last & _WORD > 0) | (last == _HIGH) & (before == _LATIN))
+    cut[off[:-1][np.diff(off) > 0]] = True
+    at = np.flatnonzero(cut)
+    ends = np.append(at, len(data)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+    return pieces, np.searchsorted(at, off)
 
 
 @lru_cache(maxsize=2)
@@ -178,10 +294,13 @@ def write_ids(
             files.append((part, len(files), name, len(doc_ids), held))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(at, TEXTS)
+            ends, at = np.cumsum(np.append(0, pc.binary_length(batch.column(2)).to_numpy())), 0
+            while at < batch.num_rows:
+                full = int(np.searchsorted(ends, ends[at] + TEXT_BYTES, "right")) - 1
+                some = batch.slice(at, max(1, full - at))
+                at += some.num_rows
                 part = some.column(0)[0].as_py()
-                for doc_id, found in zip(some.column(1).to_pylist(), of(some.column(2).to_pylist())):
+                for doc_id, found in zip(some.column(1).to_pylist(), of(some.column(2))):
                     doc_ids.append(doc_id)
                     ids.append(np.append(found, np.uint32(end_id)))
                     held += len(found) + 1

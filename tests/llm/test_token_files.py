@@ -1,6 +1,8 @@
+import json
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -40,6 +42,28 @@ def test_groups_of_lanes_change_nothing(monkeypatch):
     assert rc.encode_blocks(ids, 64) == before and (rc.decode_blocks(before, 64) == ids).all()
 
 
+def test_groups_of_lanes_are_even(monkeypatch):
+    """A step costs its calls, however few lanes it has, so no group is left with one block."""
+    lanes, decode = [], rc._decode
+    monkeypatch.setattr(rc, "LANES", 4)
+    monkeypatch.setattr(rc, "_decode", lambda data, steps: lanes.append(len(data)) or decode(data, steps))
+    ids = shapes(1000)[2][:5 * 64]
+    assert (rc.decode_blocks(rc.encode_blocks(ids, 64), 64) == ids).all() and sorted(lanes) == [2, 3]
+
+
+def test_class_frequencies_round_down():
+    """Sixteen-bit arithmetic modulo 2**16 gives what wide signed arithmetic does, to the ends of the range."""
+    pick, model = np.random.default_rng(2), rc._Model(3)
+    rows = model.classes.T.astype(np.int64)
+    for step in range(3000):
+        kinds, missed = pick.integers(0, rc.CLASSES, 3), pick.random(3) < 0.8
+        kinds[0], kinds[1], missed[:2] = 0, rc.CLASSES - 1, True
+        goal = np.where(np.arange(rc.CLASSES + 1) > kinds[:, None], rc._SPREAD, 0)
+        rows = np.where(missed[:, None], rows + ((goal - rows) >> rc._RATE), rows)
+        model.learn_class(kinds.astype(np.uint8), missed)
+        assert (model.classes.T == rows).all()
+
+
 def test_prediction_pays():
     text = np.tile(np.random.default_rng(1).integers(0, 50_000, 100), 40)
     assert sum(len(b[2]) for b in rc.encode_blocks(text)) < 0.4 * 2 * len(text)  # two bytes an id
@@ -103,6 +127,47 @@ def test_cut_texts_as_the_library(library, monkeypatch):
     assert [x.tolist() for at in range(0, 3000, 100) for x in of(texts[at:at + 100])] == [library(t) for t in texts]
 
 
+def test_pieces_are_cut_where_matches_begin_anew():
+    def pieces(*texts):
+        found, first = tf._pieces(pa.array([t.encode() for t in texts], pa.binary()))
+        return [[p.as_py().decode() for p in found[a:b]] for a, b in zip(first, first[1:])]
+
+    assert pieces("The cat's café, x", "", "a  b") == [["The", " cat", "'s", " café", ",", " x"], [], ["a", "  b"]]
+    assert pieces("one.\nTwo \n x\u00a0 y 2×, ") == [["one", ".", "\nTwo", " \n x\u00a0", " y", " 2×,", " "]]
+    assert pieces("x\u3000  y", "é ÷, z") == [["x\u3000  y"], ["é", " ÷,", " z"]]
+
+
+def test_a_word_is_tokenised_once_whatever_follows_it():
+    of = tf.TextIds(tf.read_model(None, PATH))
+    words, lists = of.words, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            lists.extend(texts)
+            return words.encode_batch_fast(texts, **options)
+
+    of.words = Counted()
+    for _ in range(2):
+        of(["an oak, an oak. an oak\nan oak's", "an oak; an oak"])
+    assert [sorted(x) for x in lists] == [["an", "Ġan", "Ġoak"]]
+
+
+def test_other_pre_tokenisers_get_whole_texts():
+    spec = json.loads(tf.read_model(None, PATH))
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    tokenizer, texts = Tokenizer.from_str(json.dumps(spec)), ["one two, one", "", "two\none"]
+    assert [x.tolist() for x in tf.TextIds(json.dumps(spec))(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_unusual_signs_as_the_library(library):
+    """White space, letters and signs in and out of ASCII and Latin-1, in each order."""
+    of = tf.TextIds(tf.read_model(None, PATH))
+    pick = np.random.default_rng(4)
+    signs = np.array([*"aZ9 _,'\"\n\r\x0b\x1c\x7f\u0085\u00a0\u2003\u3000×÷ªéÀÿſΩ٣²¿中。\u200b\ufeff🙂", "e\u0301", " b", "'re", ".\n"])
+    texts = ["".join(pick.choice(signs, pick.integers(1, 9))) for _ in range(10_000)]
+    assert [x.tolist() for x in of(texts)] == [library(t) for t in texts]
+
+
 def brute(rows, library, end_id):
     out, start = [], 0
     for i, text in rows:
