@@ -46,6 +46,13 @@ def _chosen(mask: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return one
 
 
+def _narrow(size: np.ndarray, width: np.ndarray, which: np.ndarray) -> None:
+    """Set sizes to widths where ``which`` is 1, not 0; all are whole numbers, so this is exact."""
+    width -= size
+    width *= which
+    size += width
+
+
 class _Model:
     """What all lanes have learnt so far. Arrays of several rows have one for each order, or class."""
 
@@ -160,7 +167,7 @@ def _encode(ids: np.ndarray) -> list[bytes]:
         if which is None:
             np.multiply(whole, share, out=size)
         else:
-            np.multiply(whole, share, out=size, where=which)
+            _narrow(size, whole * share, which)
             whole *= which
         whole *= first
         low += whole
@@ -183,10 +190,10 @@ def _encode(ids: np.ndarray) -> list[bytes]:
         put(np.where(hit, 0, share), np.where(hit, share, _ONE - share))
         missed = ~hit
         if missed.any():
-            kind = _CLASS_OF.take(now)
-            put(*model.place(kind), missed)
+            kind, passed = _CLASS_OF.take(now), missed.astype(np.float64)
+            put(*model.place(kind), passed)
             share = _PLACES.take(kind)
-            put((now + 1) * share - _ONE, share, missed)
+            put((now + 1) * share - _ONE, share, passed)
             model.learn_class(kind, missed)
         model.learn(now, hit)
     for _ in range(3):
@@ -236,19 +243,20 @@ def _decode(data: list[bytes], steps: int) -> np.ndarray:
             shift()
             now = guess
             if missed.any():
+                passed = missed.astype(np.float64)
                 whole = whole_of()
                 where = np.minimum(np.floor(code / whole), _ONE - 1).astype(np.uint16)
                 kind = np.add.reduce((model.classes[1:CLASSES] + _INNER <= where).view(np.uint8), axis=0, dtype=np.uint8)
                 first, share = model.place(kind)
-                np.multiply(whole, share, out=size, where=missed)
-                whole *= missed
+                _narrow(size, whole * share, passed)
+                whole *= passed
                 code -= whole * first
                 shift()
                 whole = whole_of()
                 share = _PLACES.take(kind)
                 rest = np.floor(np.minimum(np.floor(code / whole), _ONE - 1) / share)
-                np.multiply(whole, share, out=size, where=missed)
-                whole *= missed
+                _narrow(size, whole * share, passed)
+                whole *= passed
                 whole *= rest * share
                 code -= whole
                 shift()

@@ -35,7 +35,10 @@ MAGIC = b"MBIDRC2\n"
 #: Ids from which a task begins another file; bounds its memory. A file's blocks are coded side by side.
 FILE_IDS = 7 * 1024 * 1024
 #: Pieces of text whose ids a worker keeps, and bytes of text that it tokenises at once, by whole texts.
-PIECES, TEXT_BYTES = 400_000, 8 * 1024 * 1024
+PIECES, TEXT_BYTES = 1_000_000, 20 * 1024 * 1024
+
+#: Bytes that are looked at at once for places to cut, two at least.
+WINDOW = 128 * 1024
 
 
 def _kinds() -> bytes:
@@ -97,7 +100,7 @@ class TextIds:
             self.sizes[i] = len(token)
         #: Pieces, their ids one after another, where these end, and in how many calls a piece was met of late.
         self.known = pa.array([], pa.binary())
-        self.ids, self.ends, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self.ids, self.ends, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int32), np.zeros(0, np.int32)
 
     def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -107,20 +110,19 @@ class TextIds:
         pieces, first = _pieces(texts.cast(pa.binary()))
         coded = pieces.dictionary_encode()
         at = self._places(coded.dictionary).take(coded.indices.to_numpy())
-        sizes = np.diff(self.ends).take(at)
-        before = np.cumsum(np.append(0, sizes)).take(first[1:-1])
-        return np.split(_taken(self.ids, self.ends.take(at), sizes), before) if len(texts) else []
+        ids, ends = _taken(self.ids, self.ends, at)
+        return np.split(ids, ends.take(first[1:-1])) if len(texts) else []
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where these pieces stand among the known ones, which they become."""
         if len(self.known) > PIECES:
             self._forget()
-        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().copy()
         new = np.flatnonzero(at < 0)
         at[new] = len(self.known) + np.arange(len(new))
         pieces = pieces.take(pa.array(new))
-        ids, sizes = self._encode(pieces)
-        self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+        ids, ends = self._encode(pieces)
+        self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + ends[1:])
         self.known = pa.concat_arrays([self.known, pieces])
         self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
         self.uses[at] += 1
@@ -130,16 +132,14 @@ class TextIds:
         """Keep the half that was met most, of those met again."""
         stay = np.argsort(-self.uses, kind="stable")[:PIECES // 2]
         stay = stay[self.uses[stay] > 1]
-        sizes = np.diff(self.ends).take(stay)
-        self.ids = _taken(self.ids, self.ends.take(stay), sizes)
-        self.ends = np.cumsum(np.append(0, sizes))
+        self.ids, self.ends = _taken(self.ids, self.ends, stay)
         self.known, self.uses = self.known.take(pa.array(stay)), self.uses[stay] // 2
 
     def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of pieces, one after another, and how many each has."""
+        """The ids of pieces, one after another, and where those of each begin and end."""
         data, off = _buffers(pieces)
         if not len(data):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint32), np.zeros(1, np.int32)
         kinds = np.frombuffer(data.tobytes().translate(_KINDS) + bytes(2), np.uint8)
         begin, second, last, before = (kinds.take(x) for x in (off[:-1], off[:-1] + 1, off[1:] - 1, off[1:] - 2))
         # Letters, the first byte aside, which may be a space.
@@ -151,7 +151,7 @@ class TextIds:
         closed = (last & _SEEN > 0) | (before == _LATIN) & (last & _ABOVE > 0)
         joined = ~word & (np.diff(off) > 1) & (begin & (_SPACE | _LINE) > 0) & (second & _FIRM > 0) & closed
         alone = ~word & ~joined
-        sizes, parts = np.zeros(len(pieces), np.int64), []
+        sizes, parts = [], []
         for some, encode in ((word, self._of_words), (joined, self._of_text)):
             found = pieces.take(pa.array(np.flatnonzero(some)))
             if len(found):
@@ -160,16 +160,15 @@ class TextIds:
                 end = np.searchsorted(at, ends)
                 if at[-1] != ends[-1] or not (at.take(end) == ends).all():
                     raise ValueError("a token runs across pieces")
-                sizes[some] = np.diff(end, prepend=-1)
+                sizes.append(np.diff(end, prepend=-1))
                 parts.append(ids)
         texts = [p.decode("utf-8") for p in pieces.take(pa.array(np.flatnonzero(alone))).to_pylist()]
         found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes[alone] = list(map(len, found))
+        sizes.append(np.array(list(map(len, found)), np.int64))
         # Back into the order of the pieces.
         order = np.concatenate([np.flatnonzero(some) for some in (word, joined, alone)])
-        begins = np.empty_like(sizes)
-        begins[order] = np.cumsum(sizes[order]) - sizes[order]
-        return _taken(np.concatenate([*parts, *found]), begins, sizes), sizes
+        ends = np.cumsum(np.concatenate([[0], *sizes]))
+        return _taken(np.concatenate([*parts, *found]), ends, np.argsort(order))
 
     def _of_words(self, words: pa.Array) -> list[int]:
         spelled = np.frombuffer(b"\xff".join(words.to_pylist()), np.uint8)
@@ -181,10 +180,10 @@ class TextIds:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
 
-def _taken(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Runs of values, one after another."""
-    ends = np.cumsum(sizes)
-    return values.take(np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0))
+def _taken(values: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of values, given by where they begin and end, some, one after another, and where these begin and end."""
+    runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)).take(pa.array(at))
+    return runs.flatten().to_numpy(), runs.offsets.to_numpy()
 
 
 def _buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -204,12 +203,16 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     letter or digit of ASCII or Latin-1: no match takes both.
     """
     data, off = _buffers(texts)
-    kinds = np.frombuffer(bytes(2) + data.tobytes().translate(_KINDS) + bytes(1), np.uint8)
-    before, last, here, then = kinds[:-3], kinds[1:-2], kinds[2:-1], kinds[3:]
-    high, seen = last & _ABOVE > 0, last & _SEEN > 0
-    cut = (here == _SPACE) & (seen | high & (then & _FIRM > 0))
-    cut |= (here == _LINE) & seen
-    cut |= (here == _SIGN) & ((last & _WORD > 0) | (last == _HIGH) & (before == _LATIN))
+    cut = np.empty(len(data), bool)
+    for at in range(0, len(data), WINDOW):  # with two bytes before it and one after it
+        kinds = data[max(0, at - 2):at + WINDOW + 1].tobytes().translate(_KINDS)
+        kinds = np.frombuffer(bytes(2 if at == 0 else 0) + kinds + bytes(at + WINDOW >= len(data)), np.uint8)
+        before, last, here, then = kinds[:-3], kinds[1:-2], kinds[2:-1], kinds[3:]
+        high, seen = last & _ABOVE > 0, last & _SEEN > 0
+        some = cut[at:at + WINDOW]
+        np.logical_and(here == _SPACE, seen | high & (then & _FIRM > 0), out=some)
+        some |= (here == _LINE) & seen
+        some |= (here == _SIGN) & ((last & _WORD > 0) | (last == _HIGH) & (before == _LATIN))
     cut[off[:-1][np.diff(off) > 0]] = True
     at = np.flatnonzero(cut)
     ends = np.append(at, len(data)).astype(np.int32)

@@ -159,8 +159,9 @@ def test_other_pre_tokenisers_get_whole_texts():
     assert [x.tolist() for x in tf.TextIds(json.dumps(spec))(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_unusual_signs_as_the_library(library):
+def test_unusual_signs_as_the_library(library, monkeypatch):
     """White space, letters and signs in and out of ASCII and Latin-1, in each order."""
+    monkeypatch.setattr(tf, "WINDOW", 7)
     of = tf.TextIds(tf.read_model(None, PATH))
     pick = np.random.default_rng(4)
     signs = np.array([*"aZ9 _,'\"\n\r\x0b\x1c\x7f\u0085\u00a0\u2003\u3000×÷ªéÀÿſΩ٣²¿中。\u200b\ufeff🙂", "e\u0301", " b", "'re", ".\n"])
