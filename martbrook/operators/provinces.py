@@ -11,6 +11,8 @@ PROVINCE = {
     "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code",
 }
 
+READ = ("create_ts", "order_id", "split_total_amount", *PROVINCE.values())
+
 
 def province_stats(wide: DataFrame, window: str = "10 seconds", delay: str = "0 seconds") -> DataFrame:
     """Distinct orders and their amount per tumbling window and province; batch and streaming.

@@ -40,6 +40,16 @@ def _salted(many: DataFrame, one: DataFrame, spread: Column, salts: int) -> tupl
     return many, one, F.col("many_salt") == F.col("one_salt")
 
 
+# Columns of a paid row that come from the payment, and columns of a wide row that it does not have.
+FROM_PAYMENT = ("order_id", "user_id", "total_amount")
+NOT_PAID = ("create_ts", "create_time", "create_date", "create_hour", "expire_time", "operate_time")
+# What dimensions add to a wide row, or to its order or line beforehand.
+LOOKED_UP = (
+    "user_age", "user_gender", "province_name", "province_iso_code", "province_area_code", "province_3166_2_code",
+    "spu_id", "category3_id", "tm_id", "spu_name", "category3_name", "tm_name",
+)
+
+
 # --- interval joins ----------------------------------------------------------
 def order_wide(orders: DataFrame, details: DataFrame, seconds: int = 5,
                delay: str = "3 seconds", salts: int = 1) -> DataFrame:
@@ -47,7 +57,7 @@ def order_wide(orders: DataFrame, details: DataFrame, seconds: int = 5,
 
     Batch and streaming. In batch, adaptive execution splits an order with very many lines;
     a streaming join cannot be re-planned, so there ``salts`` > 1 spreads each order's lines
-    over that many state partitions.
+    over that many state partitions. What dimensions have added to either side is kept.
     """
     o = orders.withColumn("o_time", event_time(F.col("create_ts"))).withWatermark("o_time", delay).alias("o")
     d = details.withColumn("d_time", event_time(F.col("create_ts"))).withWatermark("d_time", delay).alias("d")
@@ -65,6 +75,8 @@ def order_wide(orders: DataFrame, details: DataFrame, seconds: int = 5,
             "order_id": F.col("o.id"), "detail_id": F.col("d.id"),
             **{name: F.col(f"o.{name}") for name in ORDER_HEADER},
             **{name: F.col(f"d.{name}") for name in DETAIL_LINE},
+            **{name: F.col(f"{side}.{name}") for side, rows in (("d", details), ("o", orders)) for name in LOOKED_UP
+               if name in rows.columns},
         },
     )
 
@@ -85,14 +97,12 @@ def payment_wide(payments: DataFrame, wide: DataFrame, seconds: int = 1800,
     if salts > 1:
         w, p, same = _salted(w, p, F.xxhash64("w.detail_id", "w.sku_id"), salts)
         paid = paid & same
-    from_payment = ("order_id", "user_id", "total_amount")
-    dropped = (*from_payment, "create_ts", "create_time", "create_date", "create_hour", "expire_time", "operate_time")
     return p.join(w, paid).select(
         F.col("p.id").alias("payment_id"), "p.subject", "p.payment_type",
         F.col("p.create_time").alias("payment_create_time"), "p.callback_time",
-        *(F.col(f"p.{name}") for name in from_payment),
+        *(F.col(f"p.{name}") for name in FROM_PAYMENT),
         millis_text(F.col("w.create_ts")).alias("order_create_time"),
-        *(F.col(f"w.{name}") for name in wide.columns if name not in dropped),
+        *(F.col(f"w.{name}") for name in wide.columns if name not in (*FROM_PAYMENT, *NOT_PAID)),
     )
 
 
@@ -165,3 +175,11 @@ def with_dimensions(wide: DataFrame, users: DataFrame, provinces: DataFrame, pro
     """All six lookups of a wide order row; ``products`` comes from :func:`product_dim`."""
     as_of = F.current_date() if as_of is None else as_of
     return with_product(with_province(with_user(wide, users, as_of), provinces), products)
+
+
+def with_dimensions_ahead(orders: DataFrame, details: DataFrame, users: DataFrame, provinces: DataFrame, products: DataFrame,
+                          as_of: str | Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The lookups of :func:`with_dimensions` on orders and lines that are still to be joined by :func:`order_wide`, whose
+    rows are then the same. An order is looked up once for all its lines, and no row is shuffled at its full width."""
+    as_of = F.current_date() if as_of is None else as_of
+    return with_province(with_user(orders, users, as_of), provinces), with_product(details, products)

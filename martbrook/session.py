@@ -13,6 +13,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 #: Optional session setting: how many partitions the state of streaming jobs has.
 STATE_PARTITIONS = "spark.martbrook.state.partitions"
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -56,6 +58,9 @@ def streaming_session(spark: SparkSession) -> SparkSession:
         wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if spark.conf.get("spark.master", "").startswith("local"):
             wanted = min(wanted, 2 * spark.sparkContext.defaultParallelism)
+    # What a batch does as a table starts from the caller's number; adaptive execution puts small ones together.
+    if child.conf.get(INITIAL, None) is None:
+        child.conf.set(INITIAL, spark.conf.get("spark.sql.shuffle.partitions"))
     child.conf.set("spark.sql.shuffle.partitions", int(wanted))
     return child
 

@@ -15,18 +15,21 @@ def result_rows(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stamped.select(*columns)
 
 
-def append_batch(rows: DataFrame, folder: str, batch: int, day_from: str | Column | None = None) -> None:
+def append_batch(rows: DataFrame, folder: str, batch: int | str, day_from: str | Column | None = None,
+                 compression: str | None = None) -> None:
     """Write one batch of a stream into its own sub-folder, so that a retry replaces it.
 
     ``day_from`` names a time text, or is a column with a day; rows then go to a folder for its day, and the batch's folder is
-    inside that, so readers of one day list and open only that day's files.
+    inside that, so readers of one day list and open only that day's files. A batch that is written in passes has a folder
+    for each.
     """
+    options = {"compression": compression} if compression else {}
     if day_from is None:
-        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+        rows.write.mode("overwrite").options(**options).parquet(f"{folder}/batch={batch}")
         return
     day = F.substring(day_from, 1, 10) if isinstance(day_from, str) else day_from
     placed = rows.withColumns({"dt": day, "batch": F.lit(batch)})
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(folder)
+    placed.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **options).partitionBy("dt", "batch").parquet(folder)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, batch_rows: int = 10_000, **options: str) -> None:

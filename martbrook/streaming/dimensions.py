@@ -122,8 +122,10 @@ class StoredDimensions:
     def __init__(self, out: str, tables: Mapping[str, tuple[str, str, str, Sequence[str]]]):
         self.out, self.tables = out, tables
 
-    def for_batch(self, rows: DataFrame) -> dict[str, DataFrame]:
-        return {name: lookup(rows, self.out, table, on, key, columns) for name, (on, table, key, columns) in self.tables.items()}
+    def for_batch(self, *rows: DataFrame) -> dict[str, DataFrame]:
+        """For one or more kinds of rows; a table is looked up for the first that has its key."""
+        having = lambda on: next(some for some in rows if on in some.columns)
+        return {name: lookup(having(on), self.out, table, on, key, columns) for name, (on, table, key, columns) in self.tables.items()}
 
 
 # --- catalog tables -----------------------------------------------------------------

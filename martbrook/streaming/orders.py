@@ -6,43 +6,47 @@ Dimensions come from functions that are called for every batch, so that changes
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.products import product_stats, product_stats_wide
 from ..operators.provinces import province_stats
-from ..operators.wide import order_wide, payment_wide, with_dimensions
+from ..operators.wide import (
+    DETAIL_LINE, ORDER_HEADER, order_wide, payment_wide, with_dimensions_ahead,
+)
 from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from ..sources.topics import folder_sink
 from .dimensions import StoredDimensions
-from .runtime import adaptive
+from .pending import Input, join_batch, side_by_side
+from .runtime import adaptive, as_tables
 
 LINE_SALTS = 4  # state partitions that the lines of one order may spread over
 
 
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
                    dims: Callable[[SparkSession], dict[str, DataFrame]] | StoredDimensions, as_of: str | None = None,
-                   salts: int = LINE_SALTS) -> DataStreamWriter:
+                   salts: int = 1, seconds: int = 5, delay: str = "3 seconds") -> DataStreamWriter:
     """``dims`` gives the ``users``, ``provinces`` and ``products`` tables: whole, or, where a change job keeps them,
-    the buckets that a batch's keys lie in."""
+    the buckets that a batch's keys lie in. They are looked up for orders and lines before these meet
+    (:func:`.with_dimensions_ahead`). Adaptive execution splits an order with very many lines; ``salts`` does so beforehand."""
+    sides = (
+        Input(orders.select("id", *ORDER_HEADER), "id", F.col("create_ts"), seconds * 1000),
+        Input(details.select("id", "order_id", *DETAIL_LINE, "create_ts"), "order_id", F.col("create_ts"), seconds * 1000))
 
     def write(batch: DataFrame, number: int) -> None:
-        with adaptive(batch.sparkSession):
-            if not isinstance(dims, StoredDimensions):
-                append_batch(with_dimensions(batch, **dims(batch.sparkSession), as_of=as_of), f"{out}/dwm_order_wide", number)
-                return
-            batch.persist()  # its keys are looked at first; the join's state is gone through once
-            try:
-                append_batch(with_dimensions(batch, **dims.for_batch(batch), as_of=as_of), f"{out}/dwm_order_wide", number)
-            finally:
-                batch.unpersist()
+        def joined(pairs: list[tuple[DataFrame, DataFrame]], part: str) -> None:
+            looked_up = (with_dimensions_ahead(*pair, **(
+                dims.for_batch(*pair) if isinstance(dims, StoredDimensions) else dims(batch.sparkSession)), as_of=as_of) for pair in pairs)
+            rows = reduce(DataFrame.unionByName, (order_wide(*pair, seconds, delay, salts) for pair in looked_up))
+            append_batch(rows, f"{out}/dwm_order_wide", part, compression="zstd")
 
-    return (
-        order_wide(orders, details, salts=salts).writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", f"{out}/checkpoints/order_wide")
-    )
+        with as_tables(batch.sparkSession):
+            join_batch(batch, number, f"{out}/pending/order_wide", delay, *sides, joined)
+
+    return side_by_side(*sides).writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/order_wide")
 
 
 def payment_wide_job(payments: DataFrame, wide: DataFrame, out: str, salts: int = LINE_SALTS) -> DataStreamWriter:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -35,18 +35,33 @@ def keep_running(writer: DataStreamWriter, every: str = "5 seconds") -> Streamin
 
 
 @contextmanager
-def adaptive(spark: SparkSession) -> Iterator[None]:
+def held(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Settings that hold for a while, then are as they were."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def adaptive(spark: SparkSession) -> AbstractContextManager[None]:
     """Adaptive execution for the batch queries of a ``foreachBatch``.
 
     Spark turns it off for a whole stateful stream, since it may not change the number of state
     partitions. What is done with a finished batch has no state, and joins there need it.
     """
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+    return held(spark, **{"spark.sql.adaptive.enabled": "true"})
+
+
+def as_tables(spark: SparkSession) -> AbstractContextManager[None]:
+    """For batches that are joined and aggregated as tables: hot keys are split, and what a query has shuffled goes when
+    it ends, not when the driver happens to collect its garbage."""
+    return held(spark, **dict.fromkeys((
+        "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin",
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled"), "true"))
 
 
 def read_if_there(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame | None:
