@@ -11,21 +11,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..functions.times import text_millis
 from ..operators.products import product_stats, product_stats_wide
 from ..operators.provinces import province_stats
 from ..operators.wide import (
-    DETAIL_LINE, ORDER_HEADER, order_wide, payment_wide, with_dimensions_ahead,
+    DETAIL_LINE, FROM_PAYMENT, NOT_PAID, ORDER_HEADER, order_wide, payment_wide, with_dimensions_ahead,
 )
 from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
-from ..sources.topics import folder_sink
 from .dimensions import StoredDimensions
 from .pending import Input, join_batch, side_by_side
 from .runtime import adaptive, as_tables
 
-LINE_SALTS = 4  # state partitions that the lines of one order may spread over
-
-
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
                    dims: Callable[[SparkSession], dict[str, DataFrame]] | StoredDimensions, as_of: str | None = None,
                    salts: int = 1, seconds: int = 5, delay: str = "3 seconds") -> DataStreamWriter:
@@ -49,9 +46,21 @@ def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
     return side_by_side(*sides).writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/order_wide")
 
 
-def payment_wide_job(payments: DataFrame, wide: DataFrame, out: str, salts: int = LINE_SALTS) -> DataStreamWriter:
-    return folder_sink(payment_wide(payments, wide, salts=salts), f"{out}/dwm_payment_wide",
-                       f"{out}/checkpoints/payment_wide")
+def payment_wide_job(payments: DataFrame, wide: DataFrame, out: str, salts: int = 1, seconds: int = 1800,
+                     delay: str = "3 seconds") -> DataStreamWriter:
+    unread = {*FROM_PAYMENT, *NOT_PAID} - {"order_id", "create_ts"}
+    sides = (Input(payments, "order_id", text_millis(F.col("callback_time")), 0),
+             Input(wide.drop(*unread), "order_id", F.col("create_ts"), seconds * 1000))
+
+    def write(batch: DataFrame, number: int) -> None:
+        def joined(pairs: list[tuple[DataFrame, DataFrame]], part: str) -> None:
+            rows = reduce(DataFrame.unionByName, (payment_wide(*pair, seconds, delay, salts) for pair in pairs))
+            append_batch(rows, f"{out}/dwm_payment_wide", part, compression="zstd")
+
+        with as_tables(batch.sparkSession):
+            join_batch(batch, number, f"{out}/pending/payment_wide", delay, *sides, joined)
+
+    return side_by_side(*sides).writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/payment_wide")
 
 
 def product_stats_job(metrics: DataFrame, out: str, products: Callable[[SparkSession], DataFrame],

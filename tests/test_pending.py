@@ -86,6 +86,28 @@ def test_a_join_keeps_only_what_may_still_meet(spark, tmp_path, monkeypatch, dim
     assert stored(spark, f"{out}/pending/order_wide", 0) == 0 and stored(spark, f"{out}/pending/order_wide", 1) == 0
 
 
+@pytest.mark.parametrize("rows_a_pass", [16_000_000, 2])
+def test_payments_meet_wide_rows_of_other_batches(spark, tmp_path, monkeypatch, rows_a_pass):
+    monkeypatch.setattr(pending, "PASS_ROWS", rows_a_pass)
+    out = f"{tmp_path}/out"
+    paid, lines = Topic(spark, tmp_path / "p", schemas.PAYMENT_INFO), Topic(spark, tmp_path / "w", schemas.ORDER_WIDE)
+    unpaid = lambda *rows: table(spark, schemas.ORDER_WIDE, *(
+        {"order_id": k, "detail_id": 10 * (k or 0), "sku_id": 1, "split_total_amount": D(2), "create_ts": T0 + s * 1000} for k, s in rows))
+    lines.add(unpaid((1, 0), (2, 10), (3, 20), (None, 20)))
+    paid.add(table(spark, schemas.PAYMENT_INFO, payment(1, 1, 0), payment(4, 4, 900), payment(5, None, 20)))
+    lines.add(unpaid((4, 800), (5, 850)))
+    paid.add(table(spark, schemas.PAYMENT_INFO, payment(2, 2, 1810), payment(3, 3, 1821), payment(6, 5, 849)))
+    query = drain(order_jobs.payment_wide_job(paid.read(), lines.read(), out))
+    assert not any(p.stateOperators for p in query.recentProgress)
+    rows = spark.read.parquet(f"{out}/dwm_payment_wide")
+    assert values(rows, "payment_id", "detail_id", "total_amount", "order_create_time") == [
+        (1, 10, D("1.00"), text(T0)), (2, 20, D("1.00"), text(T0 + 10_000)), (4, 40, D("1.00"), text(T0 + 800_000))]
+    whole = wide.payment_wide(spark.read.schema(schemas.PAYMENT_INFO).parquet(f"{paid.folder}/*"),
+                              spark.read.schema(schemas.ORDER_WIDE).parquet(f"{lines.folder}/*"))
+    assert values(rows, *whole.columns) == values(whole, *whole.columns)
+    assert not files(f"{out}/pending/payment_wide/arrived") or spark.read.parquet(f"{out}/pending/payment_wide/arrived").count() == 0
+
+
 def test_a_repeated_batch_replaces_what_it_wrote(spark, tmp_path, monkeypatch, dims):
     """The second batch fails after its output is written, and is done again."""
     out = f"{tmp_path}/out"
