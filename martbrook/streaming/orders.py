@@ -13,14 +13,14 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.times import text_millis
 from ..operators.products import product_stats, product_stats_wide
-from ..operators.provinces import province_stats
+from ..operators.provinces import READ, province_stats
 from ..operators.wide import (
     DETAIL_LINE, FROM_PAYMENT, NOT_PAID, ORDER_HEADER, order_wide, payment_wide, with_dimensions_ahead,
 )
 from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from .dimensions import StoredDimensions
-from .pending import Input, join_batch, side_by_side
+from .pending import Input, close_windows, in_windows, join_batch, side_by_side
 from .runtime import adaptive, as_tables
 
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
@@ -79,9 +79,12 @@ def product_stats_job(metrics: DataFrame, out: str, products: Callable[[SparkSes
 def province_stats_job(wide: DataFrame, out: str, window: str = "10 seconds",
                        delay: str = "0 seconds") -> DataStreamWriter:
     def write(batch: DataFrame, number: int) -> None:
-        append_batch(result_rows(batch, PROVINCE_STATS), f"{out}/province_stats", number, day_from="stt")
+        def closed(rows: DataFrame, part: str) -> None:
+            append_batch(result_rows(province_stats(rows, window, delay), PROVINCE_STATS), f"{out}/province_stats", part,
+                         day_from="stt", compression="zstd")
 
-    return (
-        province_stats(wide, window, delay).writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", f"{out}/checkpoints/province_stats")
-    )
+        with as_tables(batch.sparkSession):
+            close_windows(batch, number, f"{out}/pending/province_stats", delay, "create_ts", closed)
+
+    return in_windows(wide.select(*READ), "create_ts", window).writeStream.foreachBatch(write).option(
+        "checkpointLocation", f"{out}/checkpoints/province_stats")

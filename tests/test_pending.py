@@ -136,3 +136,24 @@ def test_lookups_ahead_of_the_join_change_no_row(spark, dims):
     got = wide.order_wide(*wide.with_dimensions_ahead(orders, details, **twice, as_of="2024-01-01"))
     assert values(got, *want.columns) == values(want, *want.columns) and got.count() == 6
     assert got.dtypes == want.dtypes
+
+
+def wide_rows(spark, *rows):
+    return table(spark, schemas.ORDER_WIDE, *(
+        {"order_id": k, "detail_id": k, "sku_id": k % 2, "sku_num": 1, "province_id": p, "split_total_amount": D(2),
+         "create_ts": None if s is None else T0 + s * 1000} for k, p, s in rows))
+
+
+@pytest.mark.parametrize("rows_a_pass", [16_000_000, 1])
+def test_province_windows_close_whole_and_once(spark, tmp_path, monkeypatch, rows_a_pass):
+    monkeypatch.setattr(pending, "PASS_ROWS", rows_a_pass)
+    out, topic = f"{tmp_path}/out", Topic(spark, tmp_path / "w", schemas.ORDER_WIDE)
+    topic.add(wide_rows(spark, (1, 1, 0), (1, 1, 9), (2, 1, 5), (3, None, 12), (4, 1, 25), (5, 1, None)))
+    topic.add(wide_rows(spark, (6, 1, 19), (7, 1, 22), (4, 1, 28), (8, 2, 60)))  # the first is late
+    topic.add(wide_rows(spark, (9, 2, 61)))
+    query = drain(order_jobs.province_stats_job(topic.read(), out))
+    assert not any(p.stateOperators for p in query.recentProgress)
+    rows = results.read_result(spark, f"{out}/province_stats")
+    assert values(rows, F.substring("stt", 12, 8).alias("t"), "province_id", "order_count", "order_amount") == [
+        ("10:00:00", 1, 2, D("6.00")), ("10:00:10", None, 1, D("2.00")), ("10:00:20", 1, 2, D("6.00"))]
+    assert stored(spark, f"{out}/pending/province_stats", 0) == 0 and stored(spark, f"{out}/pending/province_stats", 1) == 1
