@@ -6,6 +6,7 @@ Dimensions come from functions that are called for every batch, so that changes
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,7 +22,7 @@ from ..schemas import PRODUCT_STATS, PROVINCE_STATS
 from ..sources.results import append_batch, result_rows
 from .dimensions import StoredDimensions
 from .pending import Input, close_windows, in_windows, join_batch, side_by_side
-from .runtime import adaptive, as_tables
+from .runtime import as_tables, kept
 
 def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
                    dims: Callable[[SparkSession], dict[str, DataFrame]] | StoredDimensions, as_of: str | None = None,
@@ -34,13 +35,14 @@ def order_wide_job(orders: DataFrame, details: DataFrame, out: str,
         Input(details.select("id", "order_id", *DETAIL_LINE, "create_ts"), "order_id", F.col("create_ts"), seconds * 1000))
 
     def write(batch: DataFrame, number: int) -> None:
+        whole = None if isinstance(dims, StoredDimensions) else dims(batch.sparkSession)
+
         def joined(pairs: list[tuple[DataFrame, DataFrame]], part: str) -> None:
-            looked_up = (with_dimensions_ahead(*pair, **(
-                dims.for_batch(*pair) if isinstance(dims, StoredDimensions) else dims(batch.sparkSession)), as_of=as_of) for pair in pairs)
+            looked_up = (with_dimensions_ahead(*pair, **(whole or dims.for_batch(*pair)), as_of=as_of) for pair in pairs)
             rows = reduce(DataFrame.unionByName, (order_wide(*pair, seconds, delay, salts) for pair in looked_up))
             append_batch(rows, f"{out}/dwm_order_wide", part, compression="zstd")
 
-        with as_tables(batch.sparkSession):
+        with as_tables(batch.sparkSession), kept(whole["products"]) if whole else nullcontext():
             join_batch(batch, number, f"{out}/pending/order_wide", delay, *sides, joined)
 
     return side_by_side(*sides).writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoints/order_wide")
@@ -66,14 +68,15 @@ def payment_wide_job(payments: DataFrame, wide: DataFrame, out: str, salts: int
 def product_stats_job(metrics: DataFrame, out: str, products: Callable[[SparkSession], DataFrame],
                       window: str = "10 seconds", delay: str = "3 seconds") -> DataStreamWriter:
     def write(batch: DataFrame, number: int) -> None:
-        with adaptive(batch.sparkSession):
-            stats = product_stats_wide(batch, products(batch.sparkSession))
-            append_batch(result_rows(stats, PRODUCT_STATS), f"{out}/product_stats", number, day_from="stt")
-
-    return (
-        product_stats(metrics, window, delay).writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", f"{out}/checkpoints/product_stats")
-    )
+        def closed(rows: DataFrame, part: str) -> None:
+            stats = product_stats_wide(product_stats(rows, window, delay), names)
+            append_batch(result_rows(stats, PRODUCT_STATS), f"{out}/product_stats", part, day_from="stt", compression="zstd")
+
+        with as_tables(batch.sparkSession), kept(products(batch.sparkSession)) as names:
+            close_windows(batch, number, f"{out}/pending/product_stats", delay, "ts", closed)
+
+    return in_windows(metrics, "ts", window).writeStream.foreachBatch(write).option(
+        "checkpointLocation", f"{out}/checkpoints/product_stats")
 
 
 def province_stats_job(wide: DataFrame, out: str, window: str = "10 seconds",

@@ -11,6 +11,7 @@ them in several passes, so that only a part of it is shuffled at a time; nothing
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -94,6 +95,7 @@ class Batch:
         self.latest = [max((ms for ms in pair if ms is not None), default=None) for pair in zip(self.before.latest, seen[2:])]
         self.opened, self.closed = watermark(self.spark, self.before.latest, late), watermark(self.spark, self.latest, late)
         self.in_time = (F.col(at) if sides > 1 else until) > self.opened
+        self.keep()
 
     def _read(self, *folders: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*folders) if len(folders) == 1 else self.spark.read.schema(
@@ -122,12 +124,17 @@ class Batch:
             count *= 2
         for n in range(count):
             yield f"{self.number}_{n}" if n else str(self.number), F.col(SLICE) % count == n
+            for side, place in itertools.product(range(self.sides), range(n, SLICES, count) if count > 1 else ()):
+                self._empty(f"{self.arrived}/{SIDE}={side}/{SLICE}={place}")  # makes room for what the others shuffle
 
-    def finish(self) -> None:
-        live = [(batch, end) for batch, end in self.before.live if end > self.closed]
+    def keep(self) -> None:
+        """Store what later batches need."""
         if self.until is not None and self.until > self.closed:
             self.new().filter(self.needed > self.closed).write.mode("overwrite").parquet(f"{self.folder}/rows/batch={self.number}")
-            live.append((self.number, self.until))
+
+    def finish(self) -> None:
+        ends = [*self.before.live, *([] if self.until is None else [(self.number, self.until)])]
+        live = [(batch, end) for batch, end in ends if end > self.closed]
         self.spark.createDataFrame([(self.latest, live)], MARKS).coalesce(1).write.mode("overwrite").parquet(
             f"{self.folder}/marks/batch={self.number}")
         self._empty(self.arrived)
@@ -136,7 +143,8 @@ class Batch:
                 self._empty(f"{self.folder}/rows/batch={batch}")
 
     def _empty(self, folder: str) -> None:
-        self.spark.createDataFrame([], self.schema).coalesce(1).write.mode("overwrite").parquet(folder)
+        schema = T.StructType([field for field in self.schema if field.name not in (SIDE, SLICE)])
+        self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def join_batch(rows: DataFrame, number: int, folder: str, delay: str, left: Input, right: Input,

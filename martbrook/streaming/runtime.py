@@ -57,13 +57,23 @@ def adaptive(spark: SparkSession) -> AbstractContextManager[None]:
 
 
 def as_tables(spark: SparkSession) -> AbstractContextManager[None]:
-    """For batches that are joined and aggregated as tables: hot keys are split, and what a query has shuffled goes when
-    it ends, not when the driver happens to collect its garbage."""
-    return held(spark, **dict.fromkeys((
+    """For batches that are joined and aggregated as tables: hot keys are split, tasks are of the advised size, so that they
+    write few files, and what a query has shuffled goes when it ends, not when the driver happens to collect its garbage."""
+    return held(spark, **{"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}, **dict.fromkeys((
         "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin",
         "spark.sql.classic.shuffleDependency.fileCleanup.enabled"), "true"))
 
 
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """A table that several queries read, computed once."""
+    rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def read_if_there(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame | None:
     """A folder an earlier batch may have written."""
     try:

@@ -157,3 +157,25 @@ def test_province_windows_close_whole_and_once(spark, tmp_path, monkeypatch, row
     assert values(rows, F.substring("stt", 12, 8).alias("t"), "province_id", "order_count", "order_amount") == [
         ("10:00:00", 1, 2, D("6.00")), ("10:00:10", None, 1, D("2.00")), ("10:00:20", 1, 2, D("6.00"))]
     assert stored(spark, f"{out}/pending/province_stats", 0) == 0 and stored(spark, f"{out}/pending/province_stats", 1) == 1
+
+
+@pytest.mark.parametrize("rows_a_pass", [16_000_000, 1])
+def test_product_windows_count_each_order_once(spark, tmp_path, monkeypatch, dims, rows_a_pass):
+    """An order whose lines come in two batches of one window is one order; windows that are not closed yet stay stored."""
+    monkeypatch.setattr(pending, "PASS_ROWS", rows_a_pass)
+    out, topic = f"{tmp_path}/out", Topic(spark, tmp_path / "w", schemas.ORDER_WIDE)
+    parts = [wide_rows(spark, (1, 1, 0), (1, 1, 1), (3, 1, 2), (2, 1, 5), (5, 1, 11)), wide_rows(spark, (5, 1, 12), (7, 1, 19), (9, 1, 30)),
+             wide_rows(spark, (11, 1, 9), (11, 1, 31), (9, 1, 39), (2, 1, 43))]  # the first is late
+    for part in parts:
+        topic.add(part)
+    query = drain(order_jobs.product_stats_job(products.order_metrics(topic.read()), out, lambda session: dims["products"]))
+    assert not any(p.stateOperators for p in query.recentProgress)  # before: a row for each window, product and order
+    rows = results.read_result(spark, f"{out}/product_stats")
+    assert values(rows, F.substring("stt", 12, 8).alias("t"), "sku_id", "order_ct", "order_sku_num", "order_amount", "tm_name") == sorted([
+        ("10:00:00", 0, 1, 1, D("2.00"), None), ("10:00:00", 1, 2, 3, D("6.00"), "t"), ("10:00:10", 1, 2, 3, D("6.00"), "t"),
+        ("10:00:30", 1, 2, 3, D("6.00"), "t")], key=str)
+    assert [stored(spark, f"{out}/pending/product_stats", n) for n in (0, 1, 2)] == [0, 1, 1]
+    everything = parts[0].unionByName(parts[1]).unionByName(parts[2].filter(F.col("create_ts") != T0 + 9000))
+    whole = products.product_stats_wide(products.product_stats(products.order_metrics(everything)), dims["products"]).filter(
+        F.col("edt") <= text(T0 + 40_000))
+    assert values(rows, *whole.columns) == values(whole, *whole.columns)
